@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +50,7 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def slices(batch: pa.RecordBatch, column: str = "_text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of an Arrow batch with about ``most`` bytes of ``column`` each; a longer value is a part of its own."""
     start, size = 0, 0
-    lengths = [len(x) if x is not None else 0 for x in batch.column(column).cast(pa.binary()).to_pylist()] if batch.num_rows else []
-    for i, n in enumerate(lengths):
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
         if size and size + n > most:
             yield batch.slice(start, i - start)
             start, size = i, 0

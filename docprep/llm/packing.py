@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,60 +26,66 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .bpe import byte_names
 from .common import id_text, slices
 
 CAPACITY, END_ID, CLASSES, WINDOW = 4096, 2, 64, 4 << 20
-REMEMBERED, LONGEST = 500_000, 40
+#: Words that a worker remembers at most, and their length.
+REMEMBERED, LONGEST = 700_000, 40
 
 
-class WordIds:
-    """Ids of texts by the tokenizers library; the ids of a word are asked for once.
+class WordIds(dict):
+    """Word -> its ids, as bytes, by the tokenizers library; the ids of a word are asked for once.
 
     The normaliser and the pre-tokeniser never join what stands on two sides of
     a space or a line feed, so such words can be encoded by themselves. They
-    ignore case and part letters from a full stop or comma, so a word of Latin
-    letters is looked up in lower case and without that sign.
+    ignore case and part letters from a full stop or comma after them, so a
+    word of Latin letters is looked up in lower case and without that sign; as
+    it stands it is one pre-token, and the library's model gives its ids.
     """
 
     def __init__(self, path: str) -> None:
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.names = dict(enumerate(byte_names()))
         self.plain: dict[str, bytes] = {}
-
-    def _ask(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        used = {w for words in split for w in words}
-        if len(self.known) + len(used) > REMEMBERED:
-            self.known.clear()
-        if len(self.plain) > REMEMBERED:
-            self.plain.clear()
-        known, plain = self.known, self.plain
-        bases, other = [], []
-        for w in used.difference(known):
-            sign = w[-1:] if w[-1:] in (".", ",") else ""
-            core = w[:-1] if sign else w
-            if core.isalpha() and max(core) < "\u0130":
-                bases.append((w, core.lower(), sign))
-            else:
-                other.append(w)
-        new = list({".", ",", *(b for _, b, _ in bases)}.difference(plain))
-        plain.update(zip(new, self._ask(new), strict=True))
-        known.update((w, plain[b] + (plain[sign] if sign else b"")) for w, b, sign in bases)
-        known.update(zip(other, self._ask(other), strict=True))
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for w in used:
-            if len(w) > LONGEST:
-                known.pop(w, None)
-                plain.pop(w.lower().rstrip(".,"), None)
-        return out
+        self.signs = {s: self._ask(s) for s in (".", ",")}
+
+    def _ask(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of a word of lower-case Latin letters."""
+        ids = self.plain.get(word)
+        if ids is None:
+            named = word if word.isascii() else word.encode().decode("latin-1").translate(self.names)
+            ids = array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
+            if len(word) <= LONGEST:
+                self.plain[word] = ids
+        return ids
+
+    def __missing__(self, word: str) -> bytes:
+        sign = self.signs.get(word[-1:], b"")
+        core = word[:-1] if sign else word
+        if core.isalpha() and (core.isascii() or max(core) < "\u0130"):
+            ids = self._letters(core.lower()) + sign
+        else:
+            ids = self._ask(word)
+        if len(word) <= LONGEST:
+            self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        for kept in (self, self.plain):
+            if len(kept) > REMEMBERED:
+                kept.clear()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @lru_cache(maxsize=2)
@@ -166,7 +173,8 @@ def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
         for batch in batches:
             for part in slices(batch):
-                for i, ids in zip(part.column("_id").to_pylist(), coder.encode(part.column("_text").to_pylist()), strict=True):
+                for i, text in zip(part.column("_id").to_pylist(), part.column("_text").to_pylist(), strict=True):
+                    ids = coder.encode(text)
                     window.append((i, ids + end))
                     held += len(ids) // 4 + 1
                     if held >= WINDOW:
