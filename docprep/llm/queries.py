@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, langid, packing, simhash, toxicity
+from . import bpe, chat_format, exact_dedup, html_extract, jpeg, langid, packing, simhash, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,19 +28,47 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(_table(spark, sf_dir, "conversations"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op3_bpe_round_trip, op4_exact_dedup, op6_toxicity, op8_packing)}
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jpeg.media_digests(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id, op2_simhash_near_dedup, op3_bpe_round_trip, op4_exact_dedup, op5_html_extraction,
+        op6_toxicity, op7_chat_formatting, op8_packing, op9_suffix_dedup, op10_media_columns,
+    )
+}
 
 ORACLES = {
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    # The tables have no tool calls; a message with one would need its JSON parsed, which the operator's tests cover.
+    "op7_chat_formatting": """
+        SELECT conv_id, turn, turn AS order_turn, CAST(0 AS BIGINT) AS order_sub, coalesce(role, 'unknown') AS role,
+               CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_valid, CAST(0 AS BIGINT) AS n_linked, false AS is_linked_result,
+               '{"content":' || CAST(to_json(coalesce(text, '')) AS VARCHAR) || ',"role":' || CAST(to_json(coalesce(role, 'unknown')) AS VARCHAR) || '}' AS message_json
+        FROM conversations""",
 }

@@ -40,6 +40,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .exact_dedup import GEAR
 
@@ -129,6 +130,7 @@ class Block:
 
     def __init__(self, ids: list[int | None], texts: list[bytes], flags: dict[int, np.ndarray], width: int, period: int, cover: tuple[int, ...]) -> None:
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i], i))
+        self.order = order
         self.rows = [(ids[i], texts[i]) for i in order]
         self.ids = np.array([LAST if i is None else i for i, _ in self.rows], np.int64)
         self.flags, self.width = flags, width
@@ -279,13 +281,13 @@ def _whole_characters(text: np.ndarray, gone: np.ndarray) -> np.ndarray:
     return out
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, with_text: bool = False, block_bytes: int = BLOCK_BYTES, period: int = PERIOD, cover: tuple[int, ...] = COVER) -> DataFrame:
-    """One row for each document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with_text adds kept_text.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, with_text: bool = False, carry: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES, period: int = PERIOD, cover: tuple[int, ...] = COVER) -> DataFrame:
+    """One row for each document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with_text adds kept_text, carry other columns.
 
     kept_text keeps characters whole: a character of which only a part would go stays.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
+    base = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"), F.struct(F.lit(0).alias("_none"), *carry).alias("_rest"))
     size = base.agg(F.sum(F.length("_text"))).first()[0] or 0
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(size // block_bytes, tasks)
@@ -312,8 +314,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             arr = np.frombuffer(text, np.uint8)
             out.append((i, len(text), int(gone.sum()), len(_spans(gone)), sha256(arr[~gone].tobytes()).hexdigest(), arr[~_whole_characters(arr, gone)].tobytes().decode() if with_text else None))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
-        return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=names)
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "_rest"]
+        return pa.table([*(pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)), left.column("_rest").take(pa.array(block.order))], names=names)
 
     groups = dealt.groupBy("blk")
 
@@ -324,6 +326,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     two = sorted_(groups.cogroup(one.groupBy("blk")).applyInArrow(lambda a, b: emit(2)(a, b), KEY_SCHEMA), 2)
     flags = one.unionByName(two)
     three = sorted_(groups.cogroup(flags.groupBy("blk")).applyInArrow(lambda a, b: emit(3)(a, b), KEY_SCHEMA), 3)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+    schema = StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string").add(base.schema["_rest"])
     made = groups.cogroup(flags.unionByName(three).groupBy("blk")).applyInArrow(final, schema)
-    return made if with_text else made.drop("kept_text")
+    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept_text"] * with_text, *(f"_rest.{c}" for c in carry))

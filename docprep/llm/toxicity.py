@@ -28,10 +28,11 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import slices
+from .common import id_text, slices
 
 SAMPLE, ENTRIES, LEAST_ODDS, PREFIXES = 400_000, 5000, 3.0, range(4, 9)
 WORD = re.compile(r"[^\W\d_]+")
@@ -180,31 +181,33 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], list[str]
     return weights, spared, (a, b)
 
 
-def score(docs: DataFrame, weights: dict[str, float], exceptions: list[str], curve: tuple[float, float]) -> DataFrame:
-    """docs: _id, _text. Returns doc_id, score."""
+def with_scores(docs: DataFrame, text_col: str, weights: dict[str, float], exceptions: list[str], curve: tuple[float, float], score_col: str = "score") -> DataFrame:
+    """docs with all their columns and the score: rows stay in their tasks."""
     a, b = curve
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(weights, exceptions)
         for batch in batches:
-            for part in slices(batch):
-                made = [1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * lexicon.rate(t))))) for t in part.column("_text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(made, pa.float64())], names=["doc_id", "score"])
+            for part in slices(batch, text_col):
+                made = [1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * lexicon.rate(t or ""))))) for t in part.column(text_col).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.float64())], names=[*part.schema.names, score_col])
 
-    return docs.select("_id", "_text").mapInArrow(run, "doc_id long, score double")
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0) -> DataFrame:
-    """Learn from labelled rows whose crc32(id as text) mod ``folds`` isn't ``held_out_fold``; score all.
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0) -> tuple[dict[str, float], list[str], tuple[float, float]]:
+    """Fit on labelled rows whose crc32(id as text) mod ``folds`` isn't ``held_out_fold``; an id with two labels is toxic."""
+    marks = labels.select(F.col(id_col).cast("long").alias("_lid"), F.col(label_col).cast("int").alias("_toxic")).where(F.col("_toxic").isin(0, 1))
+    learnt = marks.where(~held(F.col("_lid"), folds, held_out_fold)).groupBy("_lid").agg(F.max("_toxic").alias("_toxic"))
+    return fit(id_text(docs, id_col, text_col), learnt)
 
-    Returns doc_id, held_out, score, predicted.
-    """
 
-    def held(c: str):
-        return F.coalesce(F.crc32(F.col(c).cast("string").cast("binary")) % folds == held_out_fold, F.lit(False))
+def held(c: Column, folds: int, fold: int) -> Column:
+    return F.coalesce(F.crc32(c.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
-    base = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    marks = labels.select(F.col(id_col).cast("long").alias("_lid"), F.col(label_col).cast("int").alias("_toxic")).where(F.col("_toxic").isin(0, 1))
-    learnt = marks.where(~held("_lid")).groupBy("_lid").agg(F.max("_toxic").alias("_toxic"))
-    made = score(base, *fit(base, learnt))
-    return made.select("doc_id", held("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0) -> DataFrame:
+    """One row for each document: doc_id, held_out, score, predicted."""
+    model = learn(docs, labels, id_col, text_col, label_col, folds, held_out_fold)
+    made = with_scores(id_text(docs, id_col, text_col), "_text", *model)
+    return made.select(F.col("_id").alias("doc_id"), held(F.col("_id"), folds, held_out_fold).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
