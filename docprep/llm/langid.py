@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from .common import slices, written
 
-WORD = re.compile(r"[^\W\d_]+")
-LONGEST_PIECE, LONGEST_WORD, KEPT_WORDS, BLOCK, ROUNDS = 8, 40, 300_000, 2000, 2
+#: A run of letters; a longer one than 40 is cut, so that nothing is left out.
+WORD = re.compile(r"[^\W\d_]{1,40}")
+LONGEST_PIECE, KEPT_WORDS, BLOCK, ROUNDS = 8, 700_000, 2000, 2
 #: Share of probability for a character that the vocabulary lacks, and a piece's least expected count.
 UNKNOWN, FLOOR = 1e-7, 0.01
 
@@ -47,30 +48,50 @@ def vocabulary(path: str) -> dict[str, int]:
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased runs of letters; a longer run than LONGEST_WORD is cut, so that nothing is left out."""
-    words = WORD.findall(text.lower())
-    if any(len(w) > LONGEST_WORD for w in words):
-        return [w[i : i + LONGEST_WORD] for w in words for i in range(0, len(w), LONGEST_WORD)]
-    return words
+    """Lower-cased runs of letters."""
+    return WORD.findall(text.lower())
 
 
-def lattice(words: list[str], vocab: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+_BASE, _SLOTS = np.uint64(0x9E3779B97F4A7C15), 21
+
+
+@lru_cache(maxsize=1)
+def _slots(path: str) -> list[tuple[np.uint64, np.ndarray, np.ndarray]]:
+    """Hash tables (factor, keys, piece numbers) of the vocabulary; what collides in one is in the next."""
+    left = {}
+    for piece, k in vocabulary(path).items():
+        h = 0
+        for c in piece:
+            h = (h * int(_BASE) + ord(c)) % (1 << 64)
+        left[h] = k
+    out, factor = [], 0xD6E8FEB86659FD93
+    while left:
+        keys, numbers = np.zeros(1 << _SLOTS, np.uint64), np.zeros(1 << _SLOTS, np.int32)
+        more = {}
+        for h, k in left.items():
+            slot = (h * factor % (1 << 64)) >> (64 - _SLOTS)
+            if numbers[slot]:
+                more[h] = k
+            else:
+                keys[slot], numbers[slot] = h, k
+        out.append((np.uint64(factor), keys, numbers))
+        left, factor = more, (factor * 0x94D049BB133111EB + 2) % (1 << 64) | 1
+    return out
+
+
+def lattice(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     """ids[word, end, length - 1] of the piece that ends there (0: none), and the words' lengths with their start mark."""
-    marked = ["▁" + w for w in words]
-    n = np.array([len(m) for m in marked])
-    ids = np.zeros((len(words), int(n.max(initial=1)) + 1, LONGEST_PIECE), np.int32)
-    get = vocab.get
-    w_at, e_at, l_at, found = [], [], [], []
-    for w, m in enumerate(marked):
-        size = len(m)
-        for i in range(size):
-            for j in range(i + 1, min(i + LONGEST_PIECE, size) + 1):
-                if p := get(m[i:j]):
-                    w_at.append(w)
-                    e_at.append(j)
-                    l_at.append(j - i - 1)
-                    found.append(p)
-    ids[w_at, e_at, l_at] = found
+    n = np.array([len(w) + 1 for w in words])
+    width = int(n.max(initial=1))
+    text = "".join(["▁" + w.ljust(width - 1, "\0") for w in words])
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(len(words), width).astype(np.uint64)
+    ids = np.zeros((len(words), width + 1, LONGEST_PIECE), np.int32)
+    h = np.zeros_like(codes)
+    for k in range(min(LONGEST_PIECE, width)):  # h: of the k + 1 characters from each position on
+        h = h[:, : width - k] * _BASE + codes[:, k:]
+        for factor, keys, numbers in _slots(path):
+            slot = (h * factor) >> np.uint64(64 - _SLOTS)
+            ids[:, k + 1 :, k] += np.where(keys[slot] == h, numbers[slot], 0)
     return ids, n
 
 
@@ -144,7 +165,7 @@ def fit(docs: DataFrame, path: str, rounds: int = ROUNDS) -> tuple[list[str], np
     for _ in range(rounds if langs else 0):
 
         def run(batches: Iterator[pa.RecordBatch], now: np.ndarray = probs) -> Iterator[pa.RecordBatch]:
-            vocab, out = vocabulary(path), np.zeros((size, len(langs)))
+            out = np.zeros((size, len(langs)))
             for batch in batches:
                 for at in range(0, batch.num_rows, 10_000):
                     part = batch.slice(at, 10_000)
@@ -153,7 +174,7 @@ def fit(docs: DataFrame, path: str, rounds: int = ROUNDS) -> tuple[list[str], np
                         mine = sorted((i for i, x in enumerate(of) if x == lang), key=lambda i: len(words[i]))
                         for b in range(0, len(mine), BLOCK):
                             some = mine[b : b + BLOCK]
-                            ids, sizes = lattice([words[i] for i in some], vocab)
+                            ids, sizes = lattice([words[i] for i in some], path)
                             out[:, g] += expected(ids, sizes, np.array([n[i] for i in some], float), now[:, g])
             piece, g = np.nonzero(out)
             yield pa.RecordBatch.from_arrays([pa.array(piece.astype(np.int32)), pa.array(g.astype(np.int32)), pa.array(out[piece, g])], names=["piece", "lang", "n"])
@@ -166,29 +187,41 @@ def fit(docs: DataFrame, path: str, rounds: int = ROUNDS) -> tuple[list[str], np
     return langs, probs
 
 
+class Numbers(dict):
+    """Word -> row; a new word gets the next one."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        k = self[word] = len(self)
+        return k
+
+
 class Scorer:
-    """Log-probabilities of words for each language; a worker remembers KEPT_WORDS of them."""
+    """Log-probabilities of words for each language; a worker remembers about KEPT_WORDS of them."""
 
     def __init__(self, path: str, probs: np.ndarray) -> None:
-        self.vocab, self.probs = vocabulary(path), probs
-        self.rows: dict[str, int] = {}
-        self.logs = np.zeros((0, probs.shape[1]))
+        self.path, self.probs, self.rows = path, probs, Numbers()
+        self.logs = np.zeros((KEPT_WORDS, probs.shape[1]))
 
     def texts(self, texts: list[list[str]]) -> np.ndarray:
         """For each text, given as its words, the log-probability by language."""
-        new = {w for words in texts for w in words}.difference(self.rows)
-        if len(self.rows) + len(new) > KEPT_WORDS:
-            self.rows, self.logs = {}, self.logs[:0]
-            new = {w for words in texts for w in words}
-        todo, parts = sorted(new, key=len), [self.logs]
-        for b in range(0, len(todo), BLOCK):
-            some = todo[b : b + BLOCK]
-            ids, n = lattice(some, self.vocab)
-            parts.append(np.log(np.maximum(forward(ids, self.probs)[np.arange(len(some)), n], 1e-300)))
-            self.rows.update(zip(some, range(len(self.rows), len(self.rows) + len(some)), strict=True))
-        self.logs = np.concatenate(parts)
-        at = self.rows
-        return np.array([self.logs[[at[w] for w in words]].sum(axis=0) for words in texts]).reshape(len(texts), -1)
+        if len(self.rows) > KEPT_WORDS:
+            self.rows = Numbers()
+        at = [list(map(self.rows.__getitem__, words)) for words in texts]
+        if len(self.rows) > len(self.logs):
+            self.logs = np.concatenate([self.logs, np.zeros((len(self.rows) - len(self.logs), self.logs.shape[1]))])
+        new = sorted(self.rows.new, key=len)
+        self.rows.new.clear()
+        for b in range(0, len(new), BLOCK):
+            some = new[b : b + BLOCK]
+            ids, n = lattice(some, self.path)
+            logs = np.log(np.maximum(forward(ids, self.probs)[np.arange(len(some)), n], 1e-300))
+            self.logs[[self.rows[w] for w in some]] = logs
+        return np.array([self.logs[i].sum(axis=0) if i else np.zeros(self.logs.shape[1]) for i in at]).reshape(len(texts), -1)
 
 
 def predict(docs: DataFrame, path: str, langs: list[str], probs: np.ndarray) -> DataFrame:
