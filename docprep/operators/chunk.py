@@ -33,7 +33,7 @@ def greedy(parts: Column, limit: int) -> Column:
         return F.struct(F.when(fits, s["starts"]).otherwise(F.array_append(s["starts"], s["i"])).alias("starts"), F.when(fits, s["size"] + n + 2).otherwise(n).alias("size"), (s["i"] + 1).alias("i"))
 
     def joined(own: Column, starts: Column) -> Column:
-        ends = F.array_append(F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0))), F.size(own))
+        ends = F.slice(F.array_append(F.slice(starts, F.lit(2), F.size(own)), F.size(own)), F.lit(1), F.size(starts))
         return F.zip_with(starts, ends, lambda a, b: F.array_join(F.slice(own, a + 1, b - a), "\n\n"))
 
     return let(parts, lambda own: let(F.aggregate(own, start, add, lambda s: s["starts"]), lambda starts: joined(own, starts)))

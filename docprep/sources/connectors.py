@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 Backend = Callable[[str, str, int], tuple[str, int, int, str]]
 RETRY_TOKENS = 32_000
@@ -62,7 +63,7 @@ def call_model(rows: DataFrame, system: str, backend: Backend = offline, retry_c
 
     An answer that looks cut is asked for again with the largest limit, if the first was smaller. All columns of rows stay.
     """
-    schema = rows.schema
+    schema = StructType([*rows.schema.fields])
     for name, kind in (("content", "string"), ("tokens_in", "long"), ("tokens_out", "long"), ("model", "string"), ("truncated", "boolean"), ("error", "string")):
         schema = schema.add(name, kind)
 
