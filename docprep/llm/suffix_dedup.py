@@ -47,7 +47,7 @@ from .exact_dedup import GEAR
 WIDTH, PERIOD, ANCHOR_BITS = 100, 57, 5
 #: A perfect difference cover of 57; each difference occurs among its members.
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)
-BLOCK_BYTES, SLICE, BUCKET_KEYS = 2 << 20, 1 << 20, 256_000
+BLOCK_BYTES, SLICE, BUCKET_KEYS = 1 << 20, 1 << 19, 1_000_000
 _ROOT = 0x9E3779B97F4A7C15
 _BYTE = GEAR.astype(np.uint64) << np.uint64(32) | GEAR[::-1]
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -128,7 +128,8 @@ class Slice:
 class Block:
     """The documents of a block in the order of their ids, and what the steps have found about them so far."""
 
-    def __init__(self, ids: list[int | None], texts: list[bytes], flags: dict[int, np.ndarray], width: int, period: int, cover: tuple[int, ...]) -> None:
+    def __init__(self, ids: list[int | None], texts: list[bytes], flags: dict[int, np.ndarray], width: int, period: int, cover: tuple[int, ...], rank_bits: int = 64) -> None:
+        self.rank_bits = rank_bits
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i], i))
         self.order = order
         self.rows = [(ids[i], texts[i]) for i in order]
@@ -172,10 +173,15 @@ class Block:
         short = self.slices[0].width - self.slices[0].period + 1
         return np.concatenate([s.keys(x[0], short) for s, x in zip(self.slices, self._samples, strict=True)])
 
+    @cached_property
+    def ranks(self) -> np.ndarray:
+        """The leading bits of the samples' keys: a tie by chance costs some suffixes to sort, and nothing else."""
+        return self.samples & ~np.uint64((1 << (64 - self.rank_bits)) - 1)
+
     @cached_property
     def tied(self) -> list[np.ndarray]:
         """Open windows (their numbers) that hold a sample which occurs elsewhere."""
-        _, back, n = np.unique(self.samples, return_inverse=True, return_counts=True)
+        _, back, n = np.unique(self.ranks, return_inverse=True, return_counts=True)
         ties = self._split(self.flags[2][back] | (n[back] > 1), [len(x[0]) for x in self._samples])
         out = []
         for s, o, (_, lo, hi), t in zip(self.slices, self.open_, self._samples, ties, strict=True):
@@ -247,7 +253,7 @@ def _sort_bucket(step: int):
 
 def _key_rows(step: int, block: Block, blk: int, bits: int) -> pa.Table:
     if step == 2:
-        keys, docs = np.unique(block.samples), None
+        keys, docs = np.unique(block.ranks), None
     else:
         keys, docs = block.runs if step == 1 else block.windows
         keys, first = np.unique(keys, return_index=True)
@@ -293,7 +299,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = max(size // block_bytes, tasks)
     bits = max(6, math.ceil(math.log2(max(size * len(cover) // period // BUCKET_KEYS, 1))))
     dealt = base.withColumn("blk", F.pmod(F.xxhash64("_id"), F.lit(blocks))).repartition(max(tasks, blocks // 8), "blk")
-    extra = (width, period, cover)
+    # With 14 bits more than number the samples, one in 16,000 ties by chance.
+    rank_bits = min(64, 8 * math.ceil((math.log2(max(size * len(cover) // period, 2)) + 14) / 8))
+    extra = (width, period, cover, rank_bits)
 
     def opened(left: pa.Table, right: pa.Table | None) -> Block | None:
         if not left.num_rows:
