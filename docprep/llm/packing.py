@@ -31,7 +31,7 @@ from .common import id_text, slices
 
 CAPACITY, END_ID, CLASSES, WINDOW = 4096, 2, 64, 4 << 20
 #: Words that a worker remembers at most, and their length.
-REMEMBERED, LONGEST = 700_000, 40
+REMEMBERED, LONGEST = 250_000, 40
 
 
 class WordIds(dict):
