@@ -81,7 +81,7 @@ def _counted(docs: DataFrame, count) -> DataFrame:
             for part in slices(batch):
                 for text, y in zip(part.column("_text").to_pylist(), part.column("_toxic").to_pylist(), strict=True):
                     held[y].update(count(text))
-                if len(held[0]) + len(held[1]) > 300_000:
+                if len(held[0]) + len(held[1]) > 120_000:
                     yield flush()
         yield flush()
 
@@ -139,13 +139,19 @@ def phrases(lexicon: Lexicon, text: str) -> set[str]:
 
 
 def _chosen(counts: DataFrame, pos: int, neg: int, least: int) -> dict[str, float]:
-    """The entries with the largest log-odds; a word beginning makes the longer ones it covers superfluous."""
+    """The entries with the largest log-odds, longer ones first among equals.
+
+    What an entry covers is superfluous, and a shorter beginning of an entry only blurs it.
+    """
     odds = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
-    rows = counts.withColumn("w", odds).where((F.col("pos") >= least) & (F.col("w") >= LEAST_ODDS)).orderBy(F.desc("pos"), "f").limit(ENTRIES).select("f", "pos", "w").collect()
+    rows = counts.withColumn("w", odds).where((F.col("pos") >= least) & (F.col("w") >= LEAST_ODDS)).orderBy(F.desc("w"), F.desc(F.length("f")), "f").limit(ENTRIES).select("f", "w").collect()
     out: dict[str, float] = {}
-    for f, _, w in sorted(rows, key=lambda r: (len(r[0]), r[0])):
-        if not any("^" + f[1 : 1 + n] in out for n in range(PREFIXES[0], len(f) - 1)):
+    blurred: set[str] = set()
+    for f, w in rows:
+        shorter = ["^" + f[1 : 1 + n] for n in range(PREFIXES[0], len(f) - 1)]
+        if f not in blurred and not any(x in out for x in shorter):
             out[f] = w
+            blurred.update(shorter)
     return out
 
 
@@ -160,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], list[str]
     if not pos or not neg:
         share = pos / (pos + neg) if pos else 0.0
         return {}, [], (math.log(max(share, 1e-9) / max(1 - share, 1e-9)), 0.0)
-    least = max(3, math.isqrt(pos) // 4)
+    least = max(3, pos // 40)
     weights = _chosen(_counted(known, features), pos, neg, least)
     lexicon = Lexicon(weights, [])
     odds = _counted(known, lambda t: phrases(lexicon, t)).where((F.col("neg") >= 3) & (F.col("neg") * pos > 2 * F.col("pos") * neg))
