@@ -30,8 +30,8 @@ from .bpe import byte_names
 from .common import id_text, slices
 
 CAPACITY, END_ID, CLASSES, WINDOW = 4096, 2, 64, 4 << 20
-#: Words that a worker remembers at most, and their length.
-REMEMBERED, LONGEST = 250_000, 40
+#: Words that a worker remembers at most, as they stand (for a task) and plain ones (for its lifetime), and their length.
+KNOWN, PLAIN, LONGEST = 250_000, 400_000, 40
 
 
 class WordIds(dict):
@@ -82,8 +82,8 @@ class WordIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        for kept in (self, self.plain):
-            if len(kept) > REMEMBERED:
+        for kept, most in ((self, KNOWN), (self.plain, PLAIN)):
+            if len(kept) > most:
                 kept.clear()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
@@ -182,6 +182,7 @@ def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                         window, held = [], 0
         if window:
             yield flush()
+        coder.clear()
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
     return id_text(docs, id_col, text_col).mapInArrow(run, schema)
