@@ -46,3 +46,13 @@ def refine_lines(rows: DataFrame) -> DataFrame:
 def caveat_counts(rows: DataFrame) -> DataFrame:
     """SNK6: files by caveat."""
     return rows.select("file_name", F.explode("caveat_ids").alias("caveat_id")).groupBy("caveat_id").agg(F.count_distinct("file_name").alias("n_files"), F.min("file_name").alias("first_file"))
+
+
+def delivery_report(rows: DataFrame) -> DataFrame:
+    """SNK5: a short text for each delivered document, from the columns of ``plans.stages.build`` or a diagnosis with retrieval parameters."""
+    text = F.concat(
+        F.lit("Archivo: "), F.col("file_name"), F.lit("\nTipo: "), F.col("project_type"), F.lit("\nEstrategia: "), F.col("strategy"), F.lit("\nmax_chars / overlap / min_chunk_size: "),
+        F.concat_ws(" / ", F.col("max_chars").cast("string"), F.col("overlap").cast("string"), F.col("min_chunk_size").cast("string")),
+        F.lit("\ntop_k: "), F.col("top_k").cast("string"), F.lit(", tokens: "), F.col("tokens_total").cast("string"), F.lit(", contexto: "), F.col("context_messages").cast("string"),
+    )
+    return rows.select("file_name", text.alias("report"))

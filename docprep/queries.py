@@ -11,6 +11,7 @@ from . import config, corpora
 from .corpora import checked, table
 from .functions import text as T
 from .operators import chunk, clean, deliver, diagnose, gates, report, state, tables, validate
+from .plans import stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -512,3 +513,15 @@ add(
     lambda s, d: table(s, d, "nation").select("n_name", F.row_number().over(Window.orderBy("n_name")).cast("long").alias("i")),
     "SELECT n_name, row_number() OVER (ORDER BY n_name) AS i FROM nation",
 )
+add(
+    "snk5_delivery_report",
+    lambda s, d: report.delivery_report(diagnose.decide(diagnose.diagnose(corpora.chats(s, d))).withColumn("file_name", F.col("doc_id").cast("string")).withColumns(deliver.retrieval(F.col("project_type")))),
+    f"""WITH {_structure("chats")}, p(kind, a, b, c, e, f) AS (VALUES {_RET})
+    SELECT CAST(doc_id AS VARCHAR) AS file_name, 'Archivo: ' || doc_id || {NL} || 'Tipo: ' || project_type || {NL} || 'Estrategia: ' || strategy || {NL} || 'max_chars / overlap / min_chunk_size: ' || max_chars || ' / ' || overlap || ' / ' || min_chunk_size
+        || {NL} || 'top_k: ' || a || ', tokens: ' || b || ', contexto: ' || f AS report FROM de JOIN p ON p.kind = project_type""",
+)
+
+# --- whole stages with the offline backend ---------------------------------------------------------------------------
+
+add("pip6_refine", lambda s, d: stages.refine(corpora.noisy(s, d).select(F.concat("source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text")).drop("model"))
+add("pip7_build", lambda s, d: stages.build(corpora.chats(s, d).select(F.concat(F.lit("c"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text"), date="2026-01-01").select("file_name", "text", "status", "strategy", "project_type", "max_chars", "tokens_in", "tokens_out", F.round("cost", 9).alias("cost"), "n_issues", "gaps", "top_k"))
