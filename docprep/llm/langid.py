@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import drop_written, slices, written
 
 #: A run of letters; a longer one than 40 is cut, so that nothing is left out.
 WORD = re.compile(r"[^\W\d_]{1,40}")
@@ -184,6 +184,7 @@ def fit(docs: DataFrame, path: str, rounds: int = ROUNDS) -> tuple[list[str], np
         new[rows.column("piece").to_numpy(), rows.column("lang").to_numpy()] = rows.column("n").to_numpy()
         new[1:] += FLOOR
         probs = new / new.sum(axis=0)
+    drop_written(counts)
     return langs, probs
 
 
