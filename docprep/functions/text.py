@@ -8,11 +8,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{N}_]"
+#: White space as a plain class, which Java matches faster than (?U)\\s; it also has the separators U+001C to U+001F.
+WHITE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: The same characters.
+WHITE_CHARS = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def strip(c: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(c, r"(?U)\A\s++|\s++\z", "")
+    return F.btrim(c, F.lit(WHITE_CHARS))
 
 
 def lines(c: Column) -> Column:
@@ -21,7 +25,7 @@ def lines(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Runs of what isn't white space."""
-    return F.filter(F.split(c, r"(?U)\s+", -1), lambda w: w != "")
+    return F.filter(F.split(c, f"{WHITE}+", -1), lambda w: w != "")
 
 
 def n_words(c: Column) -> Column:
@@ -34,8 +38,8 @@ def count_words(c: Column) -> Column:
 
 
 def occurrences(c: Column, what: str) -> Column:
-    """Non-overlapping occurrences of a literal string."""
-    return ((F.length(c) - F.length(F.replace(c, F.lit(what), F.lit("")))) / len(what)).cast("long")
+    """Non-overlapping occurrences of a literal string; a quoted pattern is searched for with a skip table."""
+    return F.regexp_count(c, F.lit(rf"\Q{what}\E")).cast("long")
 
 
 def contains_any(c: Column, needles: list[str]) -> Column:

@@ -63,8 +63,9 @@ def windows(c: Column, size: int = WINDOW_WORDS, overlap: int = OVERLAP_WORDS, f
 
 
 def chunk_rows(docs: DataFrame, chunks: Column, key: str = "doc_id") -> DataFrame:
-    """One row for each chunk: key, chunk_idx (from 0), n_chunks, chunk."""
-    return docs.select(key, F.size(chunks).cast("long").alias("n_chunks"), F.posexplode(chunks).alias("chunk_idx", "chunk")).withColumn("chunk_idx", F.col("chunk_idx").cast("long"))
+    """One row for each chunk: key, chunk_idx (from 0), n_chunks, chunk. The array is a column first, else it would be made again for each of its rows."""
+    made = docs.select(key, chunks.alias("_chunks")).select(key, F.size("_chunks").cast("long").alias("n_chunks"), F.posexplode("_chunks").alias("chunk_idx", "chunk"))
+    return made.withColumn("chunk_idx", F.col("chunk_idx").cast("long"))
 
 
 def reassemble(rows: DataFrame, key: str = "doc_id", separator: str = "\n\n", drop_empty: bool = False, text: str = "chunk") -> DataFrame:

@@ -93,7 +93,7 @@ def long_citations(c: Column) -> Column:
 
 def dehyphenate(c: Column) -> Column:
     """CLN11, PRE2"""
-    return F.regexp_replace(c, r"([\p{L}\p{N}_]+)-\n([\p{L}\p{N}_]+)", "$1$2")
+    return F.regexp_replace(c, r"(?<![\p{L}\p{N}_])([\p{L}\p{N}_]++)-\n([\p{L}\p{N}_]+)", "$1$2")
 
 
 def number_lines(c: Column) -> Column:

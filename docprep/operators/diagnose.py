@@ -8,23 +8,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BASE_PARAMS, KEYWORDS_CULTURAL, KEYWORDS_DEFINITIONS, KEYWORDS_OPERATIONAL
-from ..functions.text import lines, n_words, occurrences, strip
+from ..functions.text import let, lines, n_words, occurrences, strip
 
 HEADING = r"\A#{1,3}\s+"
+STRUCTURE = ("n_headings", "n_separators", "avg_section_len", "short_line_ratio")
 
 
-def structure(text: Column) -> dict[str, Column]:
-    """DIA1-4 as columns of the document's row; sections are measured in closed form, without joining them."""
-    ls = lines(text)
-    stripped = F.transform(ls, strip)
-    heads = F.size(F.filter(ls, lambda x: x.rlike(HEADING)))
-    seps = F.size(F.filter(stripped, lambda x: x == "---"))
-    short = F.size(F.filter(stripped, lambda x: (F.length(x) > 0) & (F.length(x) < 30)))
-    breaks = F.filter(F.transform(ls, lambda x, i: F.when(x.rlike(HEADING) | (strip(x) == "---"), i)), lambda i: i.isNotNull())
-    first, last, m = F.element_at(breaks, 1), F.element_at(breaks, -1), F.size(breaks)
-    chars = F.aggregate(F.slice(ls, first + 1, last - first), F.lit(0).cast("long"), lambda a, x: a + F.length(x))
-    section = F.when(m >= 2, F.floor((chars + (last - first) - (m - 1)) / (m - 1))).otherwise(F.length(text)).cast("long")
-    return {"n_headings": heads.cast("long"), "n_separators": seps.cast("long"), "avg_section_len": section, "short_line_ratio": F.round(short / F.size(ls), 3)}
+def structure(text: Column) -> Column:
+    """DIA1-4 as a struct: n_headings, n_separators, avg_section_len, short_line_ratio. Lines are split once; sections are measured in closed form, without joining them."""
+
+    def measured(ls: Column, stripped: Column, breaks: Column) -> Column:
+        heads = F.size(F.filter(ls, lambda x: x.rlike(HEADING)))
+        short = F.size(F.filter(stripped, lambda x: (F.length(x) > 0) & (F.length(x) < 30)))
+        first, last, m = F.element_at(breaks, 1), F.element_at(breaks, -1), F.size(breaks)
+        chars = F.aggregate(F.slice(ls, first + 1, last - first), F.lit(0).cast("long"), lambda a, x: a + F.length(x))
+        section = F.when(m >= 2, F.floor((chars + (last - first) - (m - 1)) / (m - 1))).otherwise(F.length(text)).cast("long")
+        return F.struct(
+            heads.cast("long").alias("n_headings"), (m - heads).cast("long").alias("n_separators"), section.alias("avg_section_len"), F.round(short / F.size(ls), 3).alias("short_line_ratio")
+        )
+
+    def with_breaks(ls: Column, stripped: Column) -> Column:
+        at = F.array_compact(F.transform(ls, lambda x, i: F.when(x.rlike(HEADING) | (F.get(stripped, i) == "---"), i)))
+        return let(at, lambda breaks: measured(ls, stripped, breaks))
+
+    return let(lines(text), lambda ls: let(F.transform(ls, strip), lambda stripped: with_breaks(ls, stripped)))
 
 
 def _score(low: Column, words: tuple[str, ...]) -> Column:
@@ -33,10 +40,14 @@ def _score(low: Column, words: tuple[str, ...]) -> Column:
 
 def project_type(text: Column) -> Column:
     """DIA5"""
-    low = F.lower(text)
-    op, cult, defs = (_score(low, k) for k in (KEYWORDS_OPERATIONAL, KEYWORDS_CULTURAL, KEYWORDS_DEFINITIONS))
-    total = op + cult + defs
-    return F.when(total == 0, "mixto").when(defs / total > 0.5, "definiciones").when(op / total > 0.6, "operativo").when(cult / total > 0.6, "cultural").otherwise("mixto")
+
+    def judged(s: Column) -> Column:
+        op, cult, defs = s[0], s[1], s[2]
+        total = op + cult + defs
+        return F.when(total == 0, "mixto").when(defs / total > 0.5, "definiciones").when(op / total > 0.6, "operativo").when(cult / total > 0.6, "cultural").otherwise("mixto")
+
+    lists = (KEYWORDS_OPERATIONAL, KEYWORDS_CULTURAL, KEYWORDS_DEFINITIONS)
+    return let(let(F.lower(text), lambda low: F.array(*(_score(low, k) for k in lists))), judged)
 
 
 def entity_length(section: Column) -> Column:
@@ -77,7 +88,8 @@ def strategy() -> dict[str, Column]:
 def diagnose(docs: DataFrame, text: str = "text") -> DataFrame:
     """PIP4: docs with the diagnosis as columns. Rows stay where they are."""
     t = F.col(text)
-    out = docs.withColumns({"n_words": n_words(t), "text_chars": F.length(t).cast("long"), **structure(t), "project_type": project_type(t)})
+    out = docs.withColumns({"n_words": n_words(t), "text_chars": F.length(t).cast("long"), "_structure": structure(t), "project_type": project_type(t)})
+    out = out.withColumns({n: F.col(f"_structure.{n}") for n in STRUCTURE}).drop("_structure")
     out = out.withColumn("entity_len", entity_length(F.col("avg_section_len")))
     return out.withColumns(parameters(F.col("project_type"), F.col("entity_len")))
 

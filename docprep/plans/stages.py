@@ -53,8 +53,8 @@ def build(docs: DataFrame, system: str = "", backend: Backend = offline, project
     planned = diagnose.decide(diagnose.diagnose(cleaned))
     part = F.when(F.col("n_chunks") > 1, F.format_string("%d/%d", (F.col("chunk_idx") + 1).cast("int"), F.col("n_chunks").cast("int"))).otherwise("")
     plan = [c for c in planned.columns if c not in ("text", "justification")]
-    pieces = chunk.tree(F.col("text"))
-    rows = planned.select(*plan, F.size(pieces).cast("long").alias("n_chunks"), F.posexplode(pieces).alias("chunk_idx", "chunk"))
+    pieces = planned.select(*plan, chunk.tree(F.col("text")).alias("pieces"))
+    rows = pieces.select(*plan, F.size("pieces").cast("long").alias("n_chunks"), F.posexplode("pieces").alias("chunk_idx", "chunk"))
     rows = rows.withColumns({"prompt": deliver.build_prompt(F.col("chunk"), F.lit(project), day, part), "max_tokens": deliver.max_tokens(F.col("chunk"))}).drop("chunk")
     answers = call_model(rows, system, backend)
     parts = F.transform(F.array_sort(F.collect_list(F.struct("chunk_idx", "content"))), lambda x: x["content"])
