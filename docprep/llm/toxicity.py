@@ -166,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], list[str]
     if not pos or not neg:
         share = pos / (pos + neg) if pos else 0.0
         return {}, [], (math.log(max(share, 1e-9) / max(1 - share, 1e-9)), 0.0)
-    least = max(3, pos // 40)
+    least = max(5, pos // 40)
     weights = _chosen(_counted(known, features), pos, neg, least)
     lexicon = Lexicon(weights, [])
     odds = _counted(known, lambda t: phrases(lexicon, t)).where((F.col("neg") >= 3) & (F.col("neg") * pos > 2 * F.col("pos") * neg))
