@@ -510,8 +510,8 @@ add(
 )
 add(
     "win7_file_ordinal",
-    lambda s, d: table(s, d, "nation").select("n_name", F.row_number().over(Window.orderBy("n_name")).cast("long").alias("i")),
-    "SELECT n_name, row_number() OVER (ORDER BY n_name) AS i FROM nation",
+    lambda s, d: table(s, d, "documents").select("doc_id", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).cast("long").alias("i")),
+    "SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents",
 )
 add(
     "snk5_delivery_report",
