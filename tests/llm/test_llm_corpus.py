@@ -275,6 +275,25 @@ def test_pages_tables(spark):
     assert html_extract.main_texts(pages.limit(0)).count() == 0
 
 
+def test_pages_without_article_by_host(spark):
+    """Copies count once, statistics are of the host and not of a task, and no page is emptied."""
+    head = "<html><body><div class=menu>Menu</div><div>Same line</div>"
+    rows = [(i, "http://a.example/", f"{head}<div><p>Story {i}</p></div></body></html>") for i in range(100)]
+    rows += [(200 + i, "http://b.example/", f"{head}<div><p>Copied</p></div></body></html>") for i in range(40)] + [(300, "http://b.example/", f"{head}<div><p>Other</p></div></body></html>")]
+    rows += [(400 + i, "http://c.example/", f"<html><body><p>All shared</p>{'<hr>' * i}</body></html>") for i in range(4)]
+    out = {}
+    for parts in (1, 60):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            out[parts] = {r.page_id: r.text for r in html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert out[1] == out[60]
+    assert all(out[1][i] == f"Story {i}" for i in range(100))
+    assert {out[1][200 + i] for i in range(40)} == {"Same line\n\nCopied"} and out[1][300] == "Same line\n\nOther"
+    assert all(out[1][400 + i] == "All shared" for i in range(4))
+
+
 # --- chats
 
 
