@@ -1,5 +1,7 @@
 """The pipeline's stages against brute force, and the registered queries against their SQL."""
 
+import random
+
 import duckdb
 import pytest
 
@@ -43,6 +45,29 @@ def test_near_stage(stages):
     assert set(after) == set(root.values())
 
 
+def test_near_stage_finds_all_similar_documents(spark):
+    """Against brute force over all pairs, from a similarity of 0.8 on and below."""
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefg") for _ in range(5)) for _ in range(400)]
+    bases = [r.choices(words, k=k) for k in (3, 12, 40, 90, 200, 200)]
+    texts = ["", " \n", None, "one", "ONE", "one two"]
+    for _ in range(150):
+        w = list(r.choice(bases))
+        for _ in range(r.choice([0, 1, 2, 3, 4, 5])):
+            w[r.randrange(len(w))] = r.choice(words)
+        texts.append(" ".join(w + (bases[4][:60] if r.random() < 0.2 else [])))
+    sets = [frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := (t or "").lower().split()) else frozenset() for t in texts]
+    root = list(range(len(texts)))
+    for x in range(len(texts)):
+        for y in range(x):
+            if 5 * len(sets[x] & sets[y]) >= 4 * len(sets[x] | sets[y]) and root[x] != root[y]:
+                low, high = sorted((root[x], root[y]))
+                root = [low if v == high else v for v in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert set(rows(corpus_pipeline.near_dedup_stage(spark, docs, SF))) == set(root)
+    assert 10 < len(set(root)) < len(texts) - 20
+
+
 def test_suffix_stage(stages):
     before, after = rows(stages[3]), rows(stages[4])
     want = brute_repeats([(i, r.text) for i, r in before.items()])
