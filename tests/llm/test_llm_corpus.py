@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -258,12 +260,98 @@ def test_main_text_without_article():
     assert html_extract.extract(pages) == [f"Story {i}" for i in range(5)]
 
 
+def as_regex(node):
+    if node.name == "#":
+        body = "#"
+    else:
+        inner = "".join(map(as_regex, node.kids))
+        body = f"(?:{inner})" if node.name[0] == "(" else f"(?:{re.escape('<' + node.name + '>')}{inner}{re.escape('</>')})"
+    return body + ("+" if node.repeated else "") if not node.optional else f"(?:{body}{'+' if node.repeated else ''})?"
+
+
+def as_tokens(node):
+    return "#" if node.name == "#" else f"<{node.name}>{''.join(map(as_tokens, node.kids))}</>"
+
+
+def plain_tree(page):
+    """The page's tree without folding: what the wrapper's expression has to match."""
+    root, stream = html_extract.tree_of(page)
+    for n in html_extract.walk(root):
+        if n.name in ("div", "section") and all(k.name == "#" for k in n.kids):
+            n.name += "#"
+    return root
+
+
+def random_page(r, depth=0):
+    out = ""
+    for _ in range(r.randint(0, 4)):
+        kind = r.choice(["p", "div", "ul", "dl", "h2", "text", "hr", 'div class="x"'])
+        if kind == "text":
+            out += r.choice("abc")
+        elif kind == "hr":
+            out += "<hr>"
+        elif kind == "ul":
+            out += "<ul>" + "".join(f"<li>{r.choice('ab')}</li>" for _ in range(r.randint(0, 3))) + "</ul>"
+        elif kind == "dl":
+            out += "<dl>" + "".join("<dt>k</dt><dd>v</dd>" for _ in range(r.randint(1, 3))) + "</dl>"
+        else:
+            out += f"<{kind}>{random_page(r, depth + 1) if depth < 2 and kind != 'p' else r.choice('ab')}</{kind.split()[0]}>"
+    return out
+
+
+@pytest.mark.parametrize("seed", range(150))
+def test_wrapper_matches_every_page_it_was_inferred_from(seed):
+    """The inferred expression, run as a regular expression by brute force, accepts each page's token stream."""
+    r = random.Random(seed)
+    pages = [random_page(r) for _ in range(r.randint(1, 5))]
+    pattern = re.compile(as_regex(html_extract.infer(pages)))
+    assert all(pattern.fullmatch(as_tokens(plain_tree(p))) for p in pages)
+
+
 def test_wrapper_has_slots_repeats_and_options():
-    a = "<ul><li>1</li><li>2</li></ul><p>x</p>"
-    b = "<ul><li>3</li></ul><hr><p>y</p>"
-    w = html_extract.infer([html_extract.page_nodes(html_extract.tokens(p)) for p in (a, a, b)])
-    text = html_extract.expression(w)
-    assert "( <li> #TEXT </li> )+" in text and "<hr>?" in text and "#TEXT" in text
+    a = "<ul><li>1</li><li>2</li></ul><p>x</p><i>same</i><dl><dt>k<dd>v<dt>k<dd>w</dl>"
+    b = "<ul><li>3</li></ul><hr><p>y</p><i>same</i><dl><dt>k<dd>z</dl>"
+    assert html_extract.expression(html_extract.infer([a, a, b])) == (
+        "( <page> ( <ul> ( <li> #TEXT </> )+ </> ) <hr/>? ( <p> #TEXT </> ) #'same' ( <dl> ( ( <dt> #'k' </> ) ( <dd> #TEXT </> ) )+ </> ) </> )"
+    )
+
+
+def test_wrapper_decides():
+    """What goes and stays by the host's pages alone: the same page gives other text with other neighbours."""
+    page = "<body><div><p>Line of all</p><p>Story {0}</p><h2>More {0}</h2></div><div class='x-related'>{1}</div></body>"
+    pages = [page.format(i, f"Essay {i}") for i in range(4)]
+    assert html_extract.extract(pages)[1] == "Line of all\n\nStory 1\n\nMore 1"
+    marked = "<article><p>T {0}</p><div class='related-work'>Prose on {0}</div><section class='share-price'>Fell by {0}</section><div class='cookie-notice'>We use cookies</div><div class='related-posts'>See <a href=x>post number {0}</a></div></article>"
+    assert html_extract.extract([marked.format(i) for i in range(4)])[2] == "T 2\n\nProse on 2\n\nFell by 2"
+    assert "We use cookies" in html_extract.extract([marked.format(2)])[0]
+    bare = "<body><div>Shop of Ann</div><div><h3>Offer {0}</h3><p>Text {0} that is longer than all the others</p></div></body>"
+    assert html_extract.extract([bare.format(i) for i in range(3)])[0] == "Offer 0\n\nText 0 that is longer than all the others"
+    assert html_extract.extract([bare.format(0)])[0].startswith("Shop of Ann")
+    assert html_extract.main_text(html_extract.Node("page"), "<p>alone</p>") == "alone"
+
+
+def test_another_template_on_the_host_has_its_own_wrapper():
+    pages = [PAGE.format(tag="article", title=f"T{i}", more="") for i in range(9)] + ["<body><nav>x</nav><div><p>Quite another page</p></div></body>"]
+    assert html_extract.extract(pages)[9] == "Quite another page"
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<a ="', "<div>", "<b>", "<p><b>", "</div>", "<script>", "<!--", "<a b='", "&amp;<", "<div><p>x", "<i class=ad>"])
+def test_hostile_pages_take_linear_time(unit):
+    start = time.process_time()
+    html_extract.main_text(html_extract.Node("page"), unit * (1_000_000 // len(unit)))
+    assert time.process_time() - start < 20
+
+
+def test_irregular_and_long_pages():
+    r = random.Random(1)
+    pages = ["".join(f"<{t}>x{i}</{t}>" for i, t in ((i, r.choice("div p ul h2 section table pre dl".split())) for i in range(8000))) for _ in range(2)]
+    start = time.process_time()
+    out = html_extract.extract([f"<article>{p}</article>" for p in pages])
+    assert time.process_time() - start < 20
+    assert all(len(t.split()) == 8000 for t in out)
+    long_ = f"<article>{'<p>word &amp; word</p>' * 60_000}</article>"  # beyond the sample's bound
+    assert len(html_extract.extract([long_])[0].split()) == 180_000
+    assert html_extract.extract(["<div>" * 5000 + "deep"])[0] == "deep"
 
 
 def test_pages_tables(spark):
