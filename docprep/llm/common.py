@@ -13,14 +13,18 @@ from pyspark.sql import functions as F
 
 #: Text bytes that a Python task holds as numpy arrays at once.
 SLICE_BYTES = 2 << 20
+#: Most groups whose rows are joined by broadcast.
+MOST_HOT = 50_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``; where unset (tests), a new temporary one."""
+    """The folder that all executors share: ``spark.checkpoint.dir``. Where it is unset in local mode, as in tests, a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -63,7 +67,24 @@ def texts_as_bytes(batch: pa.RecordBatch, column: str = "_text") -> list[bytes]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", decided_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose id is among ``decided``."""
-    ids = decided.select(F.col(decided_id).alias("_kept_id"))
-    return docs.join(ids, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose id and text are among ``decided`` (doc_id, text_sha256); of equal rows, or rows that agree in both, one."""
+    kept = decided.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("_copies")).select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"), "_copies")
+    sha = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
+    found = docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id")) & (sha == F.col("_kept_sha")))
+    once = found.where("_copies = 1").select(docs.columns)
+    row = F.struct(*(docs[c] for c in docs.columns)).alias("_row")
+    more = found.where("_copies > 1").select("_kept_id", "_kept_sha", row).groupBy("_kept_id", "_kept_sha").agg(F.max("_row").alias("_row"))
+    return once.unionByName(more.select(*(F.col(f"_row.{c}").alias(c) for c in docs.columns)))
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """Joins rows with the one row of their group. size: a column of groups with the number of its rows.
+
+    Groups of many rows, of which there are MOST_HOT at most, are broadcast: no task holds the rows of one.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    least = max(1000, total // MOST_HOT)
+    hot = groups.where(F.col(size) > least)
+    rest = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti").join(groups.where(F.col(size) <= least), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)

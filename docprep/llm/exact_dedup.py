@@ -8,7 +8,8 @@ chunk identifiers, and only these short lists are grouped; whole texts never
 move.
 
 Edge cases: a null text counts as empty; empty texts form one group. Rows that
-share a doc_id and a text are all kept or all dropped. A null doc_id stays
+share a doc_id and a text are all kept or all dropped. Very long texts are cut
+into chunks like any other. A null doc_id stays
 only if no row of its group has an id. Other columns are ignored.
 """
 
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, slices, texts_as_bytes, written
+from .common import drop_written, id_text, join_groups, slices, texts_as_bytes, written
 
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 512, 16384, 10
 
@@ -112,10 +113,11 @@ def distinct_chunks(docs: DataFrame, width: int = 16) -> DataFrame:
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fingerprint_bytes: int = 16) -> DataFrame:
     """One row for each document: doc_id, keep_id (largest id of its group), group_size, kept, text_sha256."""
     base = id_text(docs, id_col, text_col)
-    made = recipes(base.withColumn("_sha", F.sha2(F.col("_text"), 256)), fingerprint_bytes)
+    made = written(recipes(base.withColumn("_sha", F.sha2(F.col("_text"), 256)), fingerprint_bytes), "recipes")
     chunks = distinct_chunks(base, fingerprint_bytes)
     shared = written(chunks.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "collisions")
     if shared.isEmpty():
+        drop_written(shared)
         made = made.withColumn("variants", F.array().cast("array<struct<pos:int,variant:int>>"))
     else:  # fingerprints of several chunks: tell their chunks apart by number
         from pyspark.sql import Window
@@ -124,7 +126,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         at = occurrences(base, fingerprint_bytes).join(shared, "fp", "left_semi").join(numbered, ["fp", "chunk"])
         lists = at.groupBy("_id").agg(F.array_sort(F.collect_set(F.struct("pos", "variant"))).alias("variants")).withColumnRenamed("_id", "_vid")
         made = made.join(lists, made["_id"].eqNullSafe(F.col("_vid")), "left").withColumn("variants", F.coalesce("variants", F.array().cast("array<struct<pos:int,variant:int>>"))).drop("_vid")
-    groups = made.groupBy("recipe", "variants").agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size"))
-    return made.join(groups, ["recipe", "variants"]).select(
+    groups = written(made.groupBy("recipe", "variants").agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    return join_groups(made, groups, ["recipe", "variants"], "group_size").select(
         F.col("_id").alias("doc_id"), "keep_id", "group_size", F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("_sha").alias("text_sha256")
     )

@@ -23,19 +23,19 @@ file that isn't a progressive 4:2:0 JPEG raises ValueError.
 from __future__ import annotations
 
 import struct
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from hashlib import sha256
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import id_text, slices, texts_as_bytes
 
-UNIT, PER_MCU, WIDE = 64, 6, 32  # bytes a block, blocks an MCU, MCUs a row
+UNIT, PER_MCU, WIDE, MOST = 64, 6, 32, 4095  # bytes a block, blocks an MCU, MCUs a row, and most of them in a row or column
 #: Spectral bands of the AC scans of Y, Cb and Cr.
 BANDS = (((1, 5), (6, 63)), ((1, 63),), ((1, 63),))
 PARTS = ((1, 2, 2), (2, 1, 1), (3, 1, 1))  # component, horizontal and vertical sampling
@@ -134,7 +134,10 @@ def _plane_order(wide: int, high: int) -> tuple[np.ndarray, ...]:
 def shape(blocks: int) -> tuple[int, int]:
     """MCUs in a row, and rows, of an image that holds so many blocks."""
     mcus = -(-blocks // PER_MCU)
-    return min(mcus, WIDE), -(-mcus // WIDE)
+    wide = min(mcus, max(WIDE, -(-mcus // MOST)))
+    if wide > MOST:
+        raise ValueError("a payload of more than 6 GB")
+    return wide, -(-mcus // wide)
 
 
 def encode(payloads: list[bytes]) -> list[bytes]:
@@ -507,47 +510,49 @@ def _abreast(payloads: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, media: the stored file of each text."""
+    """doc_id, n_bytes, media: the stored file of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(encode([payload(t) for t in texts_as_bytes(part)]), pa.binary())], names=["doc_id", "media"])
+                texts = texts_as_bytes(part)
+                files = [f for some in _abreast([payload(t) for t in texts]) for f in encode(some)]
+                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(files, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, media binary")
+    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
 def read_media(media: DataFrame) -> DataFrame:
-    """doc_id, payload, height, width, rgb (height x width x 3 bytes), from doc_id, media."""
+    """media with all its columns, and from its files payload, height, width, mean (of R, G and B), rgb (height x width x 3 bytes)."""
+    schema = StructType([*media.schema.fields, *StructType.fromDDL("payload binary, height int, width int, mean array<double>, rgb binary")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "media"):
+            for part in slices(batch, "media", SAMPLES):
                 images = decode(texts_as_bytes(part, "media"))
-                cols = [pa.array([payload_of(i) for i in images], pa.binary()), *(pa.array([getattr(i, a) for i in images], pa.int32()) for a in ("height", "width")), pa.array([to_rgb(i).tobytes() for i in images], pa.binary())]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *cols], names=["doc_id", "payload", "height", "width", "rgb"])
+                tensors = [to_rgb(i) for i in images]
+                means = [t.reshape(-1, 3).mean(axis=0, dtype=np.float64).tolist() for t in tensors]
+                cols = [pa.array([payload_of(i) for i in images], pa.binary()), *(pa.array([getattr(i, a) for i in images], pa.int32()) for a in ("height", "width"))]
+                cols += [pa.array(means, pa.list_(pa.float64())), pa.array([t.tobytes() for t in tensors], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=schema.names)
 
-    return media.select("doc_id", "media").mapInArrow(run, "doc_id long, payload binary, height int, width int, rgb binary")
+    return media.mapInArrow(run, schema)
+
+
+def store_tensors(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Writes doc_id, media, height, width and the full-resolution tensor rgb as a Parquet table, and returns the table."""
+    read_media(store_media(docs, id_col, text_col)).select("doc_id", "media", "height", "width", "rgb").write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
 
 
 def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Stores each text and reads it back in the same task; one row for each document with digests of both forms.
+    """Stores each text, reads it back, and gives one row for each document with digests of both forms.
 
     feature: mean of R, G and B with three digits, and the CRC-32 of the tensor.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                texts, rows = texts_as_bytes(part), []
-                for some in _abreast([payload(t) for t in texts]):
-                    files = encode(some)
-                    for f, image in zip(files, decode(files), strict=True):
-                        back, rgb = payload_of(image), to_rgb(image)
-                        mean = "/".join(f"{m:.3f}" for m in rgb.reshape(-1, 3).mean(axis=0, dtype=np.float64))
-                        rows.append((len(back), sha256(back).hexdigest(), zlib.crc32(back[-UNIT:]), len(f), sha256(f).hexdigest(), f"{mean}/{zlib.crc32(rgb.tobytes()):08x}"))
-                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-                names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array([len(t) for t in texts], pa.int64()), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=names)
-
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    read = read_media(store_media(docs, id_col, text_col))
+    mean = F.array_join(F.transform("mean", lambda m: F.format_string("%.3f", m)), "/")
+    return read.select(
+        "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.substring("payload", -UNIT, UNIT)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), F.concat_ws("/", mean, F.lower(F.lpad(F.hex(F.crc32("rgb")), 8, "0"))).alias("feature"),
+    )

@@ -1,19 +1,23 @@
 """Language identification by segmentation-marginalised unigrams.
 
 For each language every piece of a fixed public vocabulary has a probability.
-The probability of a word is the sum over all ways to segment it into pieces,
-by the forward algorithm; pieces never cross a word's start, so a text is
-scored word by word. The probabilities are fitted by expectation-maximisation:
-the forward-backward algorithm gives the expected count of each piece in each
-word, over word counts of all training texts.
+The probability of a word is the sum over all ways to segment it into pieces of
+any length, by the forward algorithm, rescaled on the way so that a word may be
+of any length; pieces never cross a word's start, so a text is scored word by
+word. The probabilities are fitted by expectation-maximisation until the
+likelihood settles (``SETTLED``): the forward-backward algorithm gives the
+expected count of each piece in each word, over word counts of all training texts.
 
 Words are runs of letters in lower case. Only the word counts and the expected
 counts are shuffled; the model has languages x vocabulary numbers whatever the
-input, which bounds what each task receives.
-
-Edge cases: a text that is null or has no letter is ``und`` with score 0; ties
-go to the language that sorts first; with no labelled text all is ``und``;
-other columns are ignored.
+input. The ``most_languages`` languages with the most training documents are
+learnt (ties: the one that sorts first), which bounds the model where the column is dirty.
+
+Edge cases: a text that is null or has no letter is ``und`` with score 0 (a digit,
+fraction or numeral is no letter); ties go to the language that sorts first; with no
+labelled text all is ``und``; repeated rows count, and are predicted, each time;
+long texts are read whole, and a word takes time in proportion to its length.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,9 +34,19 @@ from pyspark.sql import functions as F
 
 from .common import drop_written, slices, written
 
-#: A run of letters; a longer one than 40 is cut, so that nothing is left out.
-WORD = re.compile(r"[^\W\d_]{1,40}")
-LONGEST_PIECE, KEPT_WORDS, BLOCK, ROUNDS = 8, 700_000, 2000, 2
+def _numerals() -> str:
+    """What counts as a word character but is no letter, beside decimal digits, as ranges of a character class."""
+    found = [c for c in range(0x110000) if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal()]
+    starts = [c for c, before in zip(found, [-2, *found], strict=False) if c != before + 1]
+    ends = [c for c, after in zip(found, [*found[1:], -2], strict=True) if c + 1 != after]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends, strict=True))
+
+
+#: A run of letters.
+WORD = re.compile(rf"[^\W\d_{_numerals()}]+")
+KEPT_WORDS, BLOCK, CELLS = 700_000, 2000, 1 << 22
+#: Learning ends when the mean log-likelihood of a word grows by less than this share, or after so many rounds.
+SETTLED, MOST_ROUNDS, MOST_LANGUAGES = 0.01, 20, 200
 #: Share of probability for a character that the vocabulary lacks, and a piece's least expected count.
 UNKNOWN, FLOOR = 1e-7, 0.01
 
@@ -44,7 +58,24 @@ def vocabulary(path: str) -> dict[str, int]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
-    return {p: k for k, p in enumerate(sorted(p for p in pieces if len(p) <= LONGEST_PIECE and "▁" not in p[1:] and p.strip("▁")), 1)}
+    return {p: k for k, p in enumerate(sorted(p for p in pieces if "▁" not in p[1:] and p.strip("▁")), 1)}
+
+
+@lru_cache(maxsize=1)
+def longest_piece(path: str) -> int:
+    return max(map(len, vocabulary(path)), default=1)
+
+
+def blocks(words: list[str]) -> Iterator[list[str]]:
+    """Words, shortest first, in blocks whose lattices have about CELLS positions at most, or one word."""
+    some: list[str] = []
+    for w in sorted(words, key=len):
+        if some and (len(some) == BLOCK or (len(some) + 1) * (len(w) + 2) * 16 > CELLS):
+            yield some
+            some = []
+        some.append(w)
+    if some:
+        yield some
 
 
 def words_of(text: str) -> list[str]:
@@ -85,9 +116,10 @@ def lattice(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     width = int(n.max(initial=1))
     text = "".join(["▁" + w.ljust(width - 1, "\0") for w in words])
     codes = np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(len(words), width).astype(np.uint64)
-    ids = np.zeros((len(words), width + 1, LONGEST_PIECE), np.int32)
+    longest = min(longest_piece(path), width)
+    ids = np.zeros((len(words), width + 1, longest), np.int32)
     h = np.zeros_like(codes)
-    for k in range(min(LONGEST_PIECE, width)):  # h: of the k + 1 characters from each position on
+    for k in range(longest):  # h: of the k + 1 characters from each position on
         h = h[:, : width - k] * _BASE + codes[:, k:]
         for factor, keys, numbers in _slots(path):
             slot = (h * factor) >> np.uint64(64 - _SLOTS)
@@ -95,41 +127,73 @@ def lattice(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     return ids, n
 
 
-def forward(ids: np.ndarray, probs: np.ndarray) -> np.ndarray:
-    """alpha[word, position, ...]: probability of all segmentations up to there. probs: [piece] or [piece, language]."""
+def _swept(ids: np.ndarray, probs: np.ndarray, positions: range, steps, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over segmentations by position, forward or backward, and the logarithms of their scales.
+
+    Every eighth position what later ones use is divided by its largest value. steps(position) gives
+    (earlier position, numbers of the pieces between); start marks the positions where segmentations begin.
+    """
     words, ends, longest = ids.shape
-    alpha = np.zeros((words, ends, *probs.shape[1:]))
-    alpha[:, 0] = 1
-    for e in range(1, ends):
-        total = UNKNOWN * alpha[:, e - 1]
-        for k in range(min(longest, e)):
-            at = ids[:, e, k]
+    more = probs.shape[1:]
+    values, scales = np.zeros((words, ends, *more)), np.zeros((words, ends, *more))
+    near: dict[int, np.ndarray] = {}  # the last values, on the present scale
+    scale = np.zeros((words, *more))
+    for turn, e in enumerate(positions):
+        total = np.zeros((words, *more))
+        begins = start[:, e]
+        if begins.any():
+            total[begins] = 1
+            scale[begins] = 0
+        for k, (before, at) in enumerate(steps(e)):
+            if before not in near:
+                break
+            if k == 0:
+                total = total + UNKNOWN * near[before]
             if at.any():
-                total = total + alpha[:, e - 1 - k] * probs[at]
-        alpha[:, e] = total
-    return alpha
+                total = total + near[before] * probs[at]
+        near[e] = total
+        values[:, e], scales[:, e] = total, scale
+        near.pop(next(iter(near)) if len(near) > longest else None, None)
+        if turn % 8 == 7:
+            top = np.max(list(near.values()), axis=0)
+            top[top == 0] = 1
+            scale = scale + np.log(top)
+            near = {p: v / top for p, v in near.items()}
+    return values, scales
+
+
+def forward(ids: np.ndarray, probs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """[word, position, ...]: probability of all segmentations up to there, as value and logarithm of its scale. probs: [piece] or [piece, language]."""
+    words, ends, longest = ids.shape
+    start = np.zeros((words, ends), bool)
+    start[:, 0] = True
+    return _swept(ids, probs, range(ends), lambda e: [(e - 1 - k, ids[:, e, k]) for k in range(min(longest, e))], start)
+
 
+def log_likelihoods(ids: np.ndarray, n: np.ndarray, probs: np.ndarray) -> np.ndarray:
+    values, scales = forward(ids, probs)
+    at = np.arange(len(n)), n
+    return np.log(np.maximum(values[at], 1e-300)) + scales[at]
 
-def expected(ids: np.ndarray, n: np.ndarray, counts: np.ndarray, probs: np.ndarray) -> np.ndarray:
-    """Expected count of each piece, from words of one language with their counts."""
+
+def expected(ids: np.ndarray, n: np.ndarray, counts: np.ndarray, probs: np.ndarray) -> tuple[np.ndarray, float]:
+    """Expected count of each piece, from words of one language with their counts, and their log-likelihood."""
     words, ends, longest = ids.shape
-    alpha = forward(ids, probs)
-    beta = np.zeros((words, ends + 1))
-    beta[np.arange(words), n] = 1
-    for e in range(ends - 1, -1, -1):
-        if e + 1 < ends:
-            beta[:, e] += UNKNOWN * beta[:, e + 1]
-        for k in range(min(longest, ends - 1 - e)):
-            beta[:, e] += beta[:, e + 1 + k] * probs[ids[:, e + 1 + k, k]]
-    scale = counts / alpha[np.arange(words), n]
+    alpha, above = forward(ids, probs)
+    stop = np.zeros((words, ends), bool)
+    stop[np.arange(words), n] = True
+    beta, below = _swept(ids, probs, range(ends - 1, -1, -1), lambda e: [(e + 1 + k, ids[:, e + 1 + k, k]) for k in range(min(longest, ends - 1 - e))], stop)
+    last = np.arange(words), n
+    whole = np.log(np.maximum(alpha[last], 1e-300)) + above[last]
     out = np.zeros(len(probs))
     for e in range(1, ends):
         for k in range(min(longest, e)):
             at = ids[:, e, k]
             if at.any():
-                out += np.bincount(at, alpha[:, e - 1 - k] * probs[at] * beta[:, e] * scale, len(probs))
+                share = np.exp(np.minimum(above[:, e - 1 - k] + below[:, e] - whole, 700.0))
+                out += np.bincount(at, alpha[:, e - 1 - k] * probs[at] * beta[:, e] * share * counts, len(probs))
     out[0] = 0
-    return out
+    return out, float((whole * counts).sum())
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -154,36 +218,43 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("_text", "_lang").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, path: str, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
+def fit(docs: DataFrame, path: str, rounds: int = MOST_ROUNDS, most_languages: int = MOST_LANGUAGES) -> tuple[list[str], np.ndarray]:
     """docs: _text, _lang (non-null). The languages in order and probs[piece, language]."""
-    counts = written(word_counts(docs), "word-counts")
-    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
+    found = docs.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(most_languages).collect()
+    langs = sorted(r[0] for r in found)
+    counts = written(word_counts(docs.where(F.col("_lang").isin(langs))), "word-counts")
     size = len(vocabulary(path)) + 1
     probs = np.zeros((size, len(langs)))
     for p, k in vocabulary(path).items():
         probs[k] = 32.0 ** -len(p)  # at first all characters alike
+    was = -np.inf
     for _ in range(rounds if langs else 0):
 
         def run(batches: Iterator[pa.RecordBatch], now: np.ndarray = probs) -> Iterator[pa.RecordBatch]:
+            # Piece 0 carries the log-likelihood.
             out = np.zeros((size, len(langs)))
             for batch in batches:
                 for at in range(0, batch.num_rows, 10_000):
                     part = batch.slice(at, 10_000)
                     of, words, n = (part.column(c).to_pylist() for c in ("lang", "word", "n"))
                     for g, lang in enumerate(langs):
-                        mine = sorted((i for i, x in enumerate(of) if x == lang), key=lambda i: len(words[i]))
-                        for b in range(0, len(mine), BLOCK):
-                            some = mine[b : b + BLOCK]
-                            ids, sizes = lattice([words[i] for i in some], path)
-                            out[:, g] += expected(ids, sizes, np.array([n[i] for i in some], float), now[:, g])
+                        mine = {w: c for x, w, c in zip(of, words, n, strict=True) if x == lang}
+                        for some in blocks(list(mine)):
+                            more, likely = expected(*lattice(some, path), np.array([mine[w] for w in some], float), now[:, g])
+                            out[:, g] += more
+                            out[0, g] += likely
             piece, g = np.nonzero(out)
             yield pa.RecordBatch.from_arrays([pa.array(piece.astype(np.int32)), pa.array(g.astype(np.int32)), pa.array(out[piece, g])], names=["piece", "lang", "n"])
 
         rows = counts.mapInArrow(run, "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toArrow()
         new = np.zeros_like(probs)
         new[rows.column("piece").to_numpy(), rows.column("lang").to_numpy()] = rows.column("n").to_numpy()
+        likely, new[0] = new[0].sum(), 0
         new[1:] += FLOOR
         probs = new / new.sum(axis=0)
+        if likely - was < SETTLED * abs(likely):
+            break
+        was = likely
     drop_written(counts)
     return langs, probs
 
@@ -215,13 +286,10 @@ class Scorer:
         at = [list(map(self.rows.__getitem__, words)) for words in texts]
         if len(self.rows) > len(self.logs):
             self.logs = np.concatenate([self.logs, np.zeros((len(self.rows) - len(self.logs), self.logs.shape[1]))])
-        new = sorted(self.rows.new, key=len)
+        new = self.rows.new[:]
         self.rows.new.clear()
-        for b in range(0, len(new), BLOCK):
-            some = new[b : b + BLOCK]
-            ids, n = lattice(some, self.path)
-            logs = np.log(np.maximum(forward(ids, self.probs)[np.arange(len(some)), n], 1e-300))
-            self.logs[[self.rows[w] for w in some]] = logs
+        for some in blocks(new):
+            self.logs[[self.rows[w] for w in some]] = log_likelihoods(*lattice(some, self.path), self.probs)
         return np.array([self.logs[i].sum(axis=0) if i else np.zeros(self.logs.shape[1]) for i in at]).reshape(len(texts), -1)
 
 
@@ -247,13 +315,13 @@ def predict(docs: DataFrame, path: str, langs: list[str], probs: np.ndarray) ->
     return docs.select("_id", "_text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def identify(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 3, held_out_fold: int = 1, rounds: int = ROUNDS) -> DataFrame:
+def identify(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 3, held_out_fold: int = 1, rounds: int = MOST_ROUNDS, most_languages: int = MOST_LANGUAGES) -> DataFrame:
     """Learn from the documents whose crc32(id as text) mod ``folds`` isn't ``held_out_fold``; predict all.
 
     Returns doc_id, held_out, lang_pred, score.
     """
     held_out = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == held_out_fold, F.lit(True))
     base = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.col(lang_col).alias("_lang"), held_out.alias("_held"))
-    langs, probs = fit(base.where(~F.col("_held") & F.col("_lang").isNotNull()).select("_text", "_lang"), path, rounds)
+    langs, probs = fit(base.where(~F.col("_held") & F.col("_lang").isNotNull()).select("_text", "_lang"), path, rounds, most_languages)
     made = predict(base, path, langs, probs)
     return made.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held_out_fold, F.lit(True)).alias("held_out"), "lang_pred", "score")

@@ -13,7 +13,8 @@ which grows with the bucket and not with its square.
 
 Edge cases: a null text or one without words has fingerprint zero and is
 linked like any other; fewer words than a shingle make one shingle; repeated
-shingles count each time; other columns are ignored.
+shingles count each time; repeated rows have one component, a null id is never its
+name while it has another member; very long texts are read whole. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, slices, texts_as_bytes, written
+from .common import drop_written, id_text, join_groups, slices, texts_as_bytes, written
 from .components import connected_components
 
 BLOCK = 2048
@@ -155,7 +156,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if radius % 2:
         block = 1 << 62  # the midpoint form is linear for an even radius only
     made = written(with_fingerprints(id_text(docs, id_col, text_col), words), "fingerprints")
-    nodes = written(made.groupBy("fp").agg(F.min("_id").alias("rep")), "nodes")
-    roots = connected_components(links(nodes.where("rep is not null"), radius, block))
-    whole = nodes.join(roots, nodes["rep"] == roots["node"], "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "rep").alias("component_id"))
-    return made.join(whole, F.col("fp") == F.col("_fp")).select(F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    nodes = written(made.groupBy("fp").agg(F.min("_id").alias("rep"), F.count("*").alias("n")), "nodes")
+    roots = connected_components(links(nodes.where("rep is not null").select("fp", "rep"), radius, block))
+    whole = written(nodes.join(roots, nodes["rep"] == roots["node"], "left").select("fp", "n", F.coalesce("root", "rep").alias("component_id")), "classes")
+    drop_written(nodes)
+    return join_groups(made, whole, ["fp"], "n").select(F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -3,27 +3,34 @@
 Texts are folded first: lower case, look-alike letters of other scripts to
 Latin, digits and signs that stand for letters to those letters. Lexicon
 entries are whole words and word beginnings, weighted by their log-odds among
-labelled documents. Exception phrases (an entry with the word before or after
-it) that occur in clean documents cancel the match they cover. The weights of
-a document's matches are summed, divided by a slowly growing function of its
-length, and turned into a probability by a logistic curve fitted to the same
-labelled rows.
-
-Fitting reads at most about ``SAMPLE`` labelled rows (a hash of the id picks
-them), so the joined labels are of bounded size; the lexicon has at most
-``ENTRIES`` entries. Scoring covers every row.
+labelled documents; an entry needs half as many toxic documents as the root of
+their number, ``LEAST_DOCUMENTS`` at least (a few copies of one document prove
+nothing). Exception phrases (an entry with the word before or after it) that occur in clean documents cancel
+the match they cover. The weights of a document's matches are summed, divided by
+a slowly growing function of its length, and turned into a probability by a
+logistic curve fitted to the same labelled rows.
+
+Fitting reads at most about ``sample`` labelled rows (a hash of the id picks
+them), so that the joined labels, which are broadcast, and the driver's share are of
+bounded size; the lexicon has at most ``entries`` entries and as many exceptions,
+the strongest (ties: the longer, then the one that sorts first). Both are
+parameters. Scoring covers every row and whole texts, in linear time.
 
 Edge cases: a null text counts as empty; a text without a match gets the
 curve's value at zero; without labels, or with one class only, every score is
-the share of toxic labels (0 without any). Other columns are ignored.
+the share of toxic labels (0 without any); an id with several rows has its label
+on each of them, and one with two labels is toxic; equal texts have equal scores.
+Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -32,9 +39,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import id_text, slices
+from .common import drop_written, id_text, slices, written
 
-SAMPLE, ENTRIES, LEAST_ODDS, PREFIXES = 400_000, 5000, 3.0, range(4, 9)
+SAMPLE, ENTRIES, PREFIXES = 400_000, 5000, range(4, 9)
+LEAST_DOCUMENTS, LEAST_ODDS = 5, 3.0
 WORD = re.compile(r"[^\W\d_]+")
 #: Signs and digits that stand for letters.
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "i"}
@@ -116,7 +124,12 @@ class Lexicon:
                 if after if whole else not after:
                     continue
                 (spared if weight is None else hits).append((start, end, weight, f))
-        return [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _, _ in spared)]
+        if not spared:
+            return hits
+        # A hit is covered if, of the phrases that start no later, one reaches its end.
+        spared.sort()
+        starts, reach = [a for a, *_ in spared], list(accumulate((b for _, b, *_ in spared), max))
+        return [h for h in hits if not (k := bisect_right(starts, h[0])) or reach[k - 1] < h[1]]
 
     def rate(self, text: str) -> float:
         """Summed weights of the different entries that match, over a slow function of the length in words."""
@@ -131,20 +144,27 @@ def phrases(lexicon: Lexicon, text: str) -> set[str]:
         stop = end
         while stop < len(folded) and folded[stop].isalpha():
             stop += 1
-        if m := re.search(r"([^\W\d_]+) $", folded[max(0, start - 40) : start]):
-            out.add(m[1] + " " + folded[start:stop])
-        if m := re.match(r" ([^\W\d_]+)", folded[stop : stop + 40]):
-            out.add(folded[start:stop] + " " + m[1])
+        begin = start - 1
+        while begin > 0 and folded[begin - 1].isalpha():
+            begin -= 1
+        if 0 <= begin < start - 1 and folded[start - 1] == " ":
+            out.add(folded[begin:stop])
+        end = stop + 1
+        while end < len(folded) and folded[end].isalpha():
+            end += 1
+        if end > stop + 1 and folded[stop] == " ":
+            out.add(folded[start:end])
     return out
 
 
-def _chosen(counts: DataFrame, pos: int, neg: int, least: int) -> dict[str, float]:
+def _chosen(counts: DataFrame, pos: int, neg: int, entries: int) -> dict[str, float]:
     """The entries with the largest log-odds, longer ones first among equals.
 
     What an entry covers is superfluous, and a shorter beginning of an entry only blurs it.
     """
     odds = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
-    rows = counts.withColumn("w", odds).where((F.col("pos") >= least) & (F.col("w") >= LEAST_ODDS)).orderBy(F.desc("w"), F.desc(F.length("f")), "f").limit(ENTRIES).select("f", "w").collect()
+    sure = counts.where(F.col("pos") >= max(LEAST_DOCUMENTS, math.isqrt(pos) // 2)).withColumn("w", odds).where(F.col("w") >= LEAST_ODDS)
+    rows = sure.orderBy(F.desc("w"), F.desc(F.length("f")), "f").limit(entries).select("f", "w").collect()
     out: dict[str, float] = {}
     blurred: set[str] = set()
     for f, w in rows:
@@ -155,25 +175,27 @@ def _chosen(counts: DataFrame, pos: int, neg: int, least: int) -> dict[str, floa
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], list[str], tuple[float, float]]:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: int = ENTRIES) -> tuple[dict[str, float], list[str], tuple[float, float]]:
     """docs: _id, _text. labels: _lid, _toxic. Weights, exception phrases and the curve's two numbers."""
     total = labels.count()
-    share = min(1.0, SAMPLE / max(total, 1))
+    share = min(1.0, sample / max(total, 1))
     bounded = labels.where(F.pmod(F.xxhash64("_lid"), F.lit(1_000_000)) < int(share * 1_000_000))
-    known = docs.join(F.broadcast(bounded), F.col("_id") == F.col("_lid")).select("_text", "_toxic")
+    # Written once: the steps below read the labelled rows, and not all texts again.
+    known = written(docs.join(F.broadcast(bounded), F.col("_id") == F.col("_lid")).select("_text", "_toxic"), "labelled")
     by = {r[0]: r[1] for r in known.groupBy("_toxic").count().collect()}
     pos, neg = by.get(1, 0), by.get(0, 0)
     if not pos or not neg:
+        drop_written(known)
         share = pos / (pos + neg) if pos else 0.0
         return {}, [], (math.log(max(share, 1e-9) / max(1 - share, 1e-9)), 0.0)
-    least = max(5, pos // 40)
-    weights = _chosen(_counted(known, features), pos, neg, least)
+    weights = _chosen(_counted(known, features), pos, neg, entries)
     lexicon = Lexicon(weights, [])
     odds = _counted(known, lambda t: phrases(lexicon, t)).where((F.col("neg") >= 3) & (F.col("neg") * pos > 2 * F.col("pos") * neg))
-    spared = [r[0] for r in odds.orderBy(F.desc("neg"), "f").limit(ENTRIES).collect()]
+    spared = [r[0] for r in odds.orderBy(F.desc("neg"), "f").limit(entries).collect()]
     lexicon = Lexicon(weights, spared)
-    # The curve: Newton steps on a histogram of the rates, which is of fixed size.
-    bins = _counted(known, lambda t: {str(min(round(lexicon.rate(t) * 10), 200))}).collect()
+    # The curve: Newton steps on a histogram of the rates, whose size doesn't depend on the input's.
+    bins = _counted(known, lambda t: {str(round(lexicon.rate(t) * 10))}).collect()
+    drop_written(known)
     x = np.array([int(r[0]) / 10 for r in bins])
     y1, y0 = np.array([float(r[1]) for r in bins]), np.array([float(r[2]) for r in bins])
     a, b = math.log(pos / neg), 0.5
@@ -201,19 +223,19 @@ def with_scores(docs: DataFrame, text_col: str, weights: dict[str, float], excep
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0) -> tuple[dict[str, float], list[str], tuple[float, float]]:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0, sample: int = SAMPLE, entries: int = ENTRIES) -> tuple[dict[str, float], list[str], tuple[float, float]]:
     """Fit on labelled rows whose crc32(id as text) mod ``folds`` isn't ``held_out_fold``; an id with two labels is toxic."""
     marks = labels.select(F.col(id_col).cast("long").alias("_lid"), F.col(label_col).cast("int").alias("_toxic")).where(F.col("_toxic").isin(0, 1))
     learnt = marks.where(~held(F.col("_lid"), folds, held_out_fold)).groupBy("_lid").agg(F.max("_toxic").alias("_toxic"))
-    return fit(id_text(docs, id_col, text_col), learnt)
+    return fit(id_text(docs, id_col, text_col), learnt, sample, entries)
 
 
 def held(c: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0, sample: int = SAMPLE, entries: int = ENTRIES) -> DataFrame:
     """One row for each document: doc_id, held_out, score, predicted."""
-    model = learn(docs, labels, id_col, text_col, label_col, folds, held_out_fold)
+    model = learn(docs, labels, id_col, text_col, label_col, folds, held_out_fold, sample, entries)
     made = with_scores(id_text(docs, id_col, text_col), "_text", *model)
     return made.select(F.col("_id").alias("doc_id"), held(F.col("_id"), folds, held_out_fold).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -1,6 +1,7 @@
 """Operators that compare documents, against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -59,6 +60,21 @@ def test_chunks_cover_the_text_and_depend_on_it_alone():
     assert len(exact_dedup.chunk_ends([bytes(100_000)])[0]) >= 6
 
 
+def test_repeated_rows_of_an_id(spark):
+    rows = spark.createDataFrame([(5, "A"), (5, "A"), (5, "B"), (9, "B"), (None, "C"), (None, "D"), (2, "D")], "doc_id long, text string")
+    out = sorted(((r.doc_id or 0, r.keep_id or 0, r.group_size, r.kept) for r in exact_dedup.exact_duplicates(rows).collect()))
+    assert out == [(0, 0, 1, True), (0, 2, 2, False), (2, 2, 2, True), (5, 5, 2, True), (5, 5, 2, True), (5, 9, 2, False), (9, 9, 2, True)]
+
+
+def test_groups_of_many_rows(spark, monkeypatch):
+    """Groups over the limit are joined by broadcast, the rest by a shuffle."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("t"), (F.col("id") % 500).cast("string"))).alias("text"))
+    out = exact_dedup.exact_duplicates(docs)
+    assert out.where("text_sha256 = sha2('hot', 256)").agg(F.min("group_size"), F.max("keep_id"), F.count("*")).first()[:] == (1500, 2998, 1500)
+    assert out.count() == 3000 and out.where("kept").count() == 251
+    assert simhash.near_duplicates(docs).where("component_id = 0").count() >= 1500
+
+
 # --- simhash
 
 
@@ -236,6 +252,45 @@ def test_jpeg_round_trip():
     assert jpeg.decode([]) == []
 
 
+def test_images_of_any_payload(monkeypatch):
+    """Where the height would pass the format's bound the image is wider; here the bound is three MCUs."""
+    assert all(h <= 4095 and w * h * 6 >= n for n in (1, 786_432, 786_433, 10**7, 10**8) for w, h in [jpeg.shape(n)])
+    monkeypatch.setattr(jpeg, "MOST", 3)
+    monkeypatch.setattr(jpeg, "WIDE", 2)
+    r = random.Random(2)
+    payloads = [bytes(r.randrange(256) for _ in range(64 * n)) for n in (6, 36, 37, 54)]
+    images = jpeg.decode(jpeg.encode(payloads))
+    assert [jpeg.payload_of(i) for i in images] == payloads and max(i.height for i in images) == 48 and max(i.width for i in images) == 48
+    with pytest.raises(ValueError):
+        jpeg.shape(6 * 3 * 3 + 1)
+
+
+def test_colour_against_the_formula():
+    """Planes, chroma and colour of a random image, sample by sample."""
+    r = random.Random(3)
+    image = jpeg.decode(jpeg.encode([bytes(r.randrange(256) for _ in range(64 * 12))]))[0]
+    rgb, wide = jpeg.to_rgb(image), image.mcus[0]
+
+    def sample(c, x, y, blocks_wide):
+        z = np.zeros(64)
+        z[jpeg.ZIGZAG] = image.planes[c][(y // 8) * blocks_wide + x // 8]
+        f = lambda u: math.sqrt(0.125) if u == 0 else 0.5
+        s = sum(z[8 * v + u] * f(u) * f(v) * math.cos((2 * (x % 8) + 1) * u * math.pi / 16) * math.cos((2 * (y % 8) + 1) * v * math.pi / 16) for u in range(8) for v in range(8))
+        return min(255, max(0, round(s + 128)))
+
+    for _ in range(60):
+        x, y = r.randrange(image.width), r.randrange(image.height)
+        lum, cb, cr = sample(1, x, y, 2 * wide), sample(2, x // 2, y // 2, wide) - 128, sample(3, x // 2, y // 2, wide) - 128
+        want = [lum + 1.402 * cr, lum - 0.344136 * cb - 0.714136 * cr, lum + 1.772 * cb]
+        assert all(abs(a - min(255, max(0, b))) <= 2.5 for a, b in zip(rgb[y, x].tolist(), want, strict=True))
+
+
+def test_stored_tensors(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "x" * 900), (2, None)], "doc_id long, text string")
+    rows = jpeg.store_tensors(docs, str(tmp_path / "t")).collect()
+    assert len(rows) == 2 and all(len(r.rgb) == 3 * r.height * r.width for r in rows)
+
+
 def test_inverse_transform_is_orthonormal():
     assert np.allclose(jpeg.BASIS @ jpeg.BASIS.T, np.eye(64), atol=1e-5)
     flat = np.zeros(64, np.float32)

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from docprep.llm import queries
 
-from .test_llm_corpus import brute_components, brute_fingerprint, brute_repeats
+from .test_llm_corpus import brute_repeats
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,10 +39,44 @@ def test_exact_stage(stages):
     assert set(after) == set(best.values())
 
 
+def similar_roots(texts):
+    """The smallest id that each one reaches by pairs of a similarity of 0.8; all pairs are looked at."""
+    sets = {i: frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := (t or "").lower().split()) else frozenset() for i, t in texts.items()}
+    root = {i: i for i in texts}
+    for x in sets:
+        for y in sets:
+            if y < x and 5 * len(sets[x] & sets[y]) >= 4 * len(sets[x] | sets[y]) and root[x] != root[y]:
+                low, high = sorted((root[x], root[y]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    return root
+
+
 def test_near_stage(stages):
     before, after = rows(stages[2]), rows(stages[3])
-    root = brute_components({i: brute_fingerprint(r.text) for i, r in before.items()}, 4)
-    assert set(after) == set(root.values())
+    assert set(after) == set(similar_roots({i: r.text for i, r in before.items()}).values())
+
+
+def test_stages_on_odd_tables(spark):
+    """Nulls, empty texts, repeated ids and rows, further columns; and empty tables."""
+    long_ = " ".join(f"w{k}" for k in range(60))
+    given = [(1, "A b c", "s"), (1, "A b c", "s"), (1, "D e f", "s"), (2, None, None), (3, "", "t"), (None, long_, "u"), (7, long_ + " end", None), (8, long_ + " End", "v"), (9, "D e f", "w")]
+    docs = spark.createDataFrame([(i, t, None, s, None, i) for i, t, s in given], "doc_id long, text string, lang string, source string, n_chars long, score long")
+    for empty in (False, True):
+        now, seen = (docs.limit(0) if empty else docs), []
+        for name, stage in corpus_pipeline.STAGES:
+            before, now = now, corpus_pipeline.written(stage(spark, now, SF), name)
+            if name != "packing":
+                assert now.columns == docs.columns
+            seen.append(sorted(((r.doc_id is None, r.doc_id, r["text"] if "text" in now.columns else r.start) for r in now.collect()), key=repr))
+        if empty:
+            assert seen == [[]] * 5
+            continue
+        toxicity, exact, near, suffix, _ = seen
+        assert len(toxicity) == len(given)
+        # One row for each text: the largest id; null and empty texts are equal.
+        assert sorted(((i, t or "") for _, i, t in exact), key=repr) == sorted([(1, "A b c"), (9, "D e f"), (3, ""), (None, long_), (7, long_ + " end"), (8, long_ + " End")], key=repr)
+        assert [i for _, i, _ in near].count(8) == 0 and len(near) == 5
+        assert {i for _, i, _ in suffix} == {i for _, i, _ in near}
 
 
 def test_near_stage_finds_all_similar_documents(spark):
@@ -56,16 +90,10 @@ def test_near_stage_finds_all_similar_documents(spark):
         for _ in range(r.choice([0, 1, 2, 3, 4, 5])):
             w[r.randrange(len(w))] = r.choice(words)
         texts.append(" ".join(w + (bases[4][:60] if r.random() < 0.2 else [])))
-    sets = [frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := (t or "").lower().split()) else frozenset() for t in texts]
-    root = list(range(len(texts)))
-    for x in range(len(texts)):
-        for y in range(x):
-            if 5 * len(sets[x] & sets[y]) >= 4 * len(sets[x] | sets[y]) and root[x] != root[y]:
-                low, high = sorted((root[x], root[y]))
-                root = [low if v == high else v for v in root]
+    root = set(similar_roots(dict(enumerate(texts))).values())
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert set(rows(corpus_pipeline.near_dedup_stage(spark, docs, SF))) == set(root)
-    assert 10 < len(set(root)) < len(texts) - 20
+    assert set(rows(corpus_pipeline.near_dedup_stage(spark, docs, SF))) == root
+    assert 10 < len(root) < len(texts) - 20
 
 
 def test_suffix_stage(stages):

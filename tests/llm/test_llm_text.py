@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 
 import duckdb
 import numpy as np
@@ -95,22 +96,70 @@ def test_forward_sums_all_segmentations():
     def total(m):
         if not m:
             return 1.0
-        return sum(probs[vocab[m[:n]]] * total(m[n:]) for n in range(1, min(len(m), langid.LONGEST_PIECE) + 1) if m[:n] in vocab) + langid.UNKNOWN * total(m[1:])
+        return sum(probs[vocab[m[:n]]] * total(m[n:]) for n in range(1, len(m) + 1) if m[:n] in vocab) + langid.UNKNOWN * total(m[1:])
 
-    words = ["a", "hello", "straße", "中文", "año", "xqzt"]
+    words = ["a", "hello", "straße", "中文", "año", "xqzt", "internationally"]
     ids, n = langid.lattice(words, path)
-    got = langid.forward(ids, probs)[np.arange(len(words)), n]
-    assert np.allclose(got, [total("▁" + w) for w in words], rtol=1e-9)
+    assert np.allclose(np.exp(langid.log_likelihoods(ids, n, probs)), [total("▁" + w) for w in words], rtol=1e-9)
 
 
-def test_expected_counts_add_up():
+def test_pieces_of_any_length_and_words_of_any_length():
     path = P.path("piece_bpe_32k.model")
     vocab = langid.vocabulary(path)
+    assert max(map(len, vocab)) == langid.longest_piece(path) > 12
     probs = np.full(len(vocab) + 1, 1 / len(vocab))
-    ids, n = langid.lattice(["hello"], path)
-    out = langid.expected(ids, n, np.array([3.0]), probs)
+    word = "ab" * 2000  # its probability is far below the least float
+    text, best = "▁" + word, [0.0]
+    for e in range(1, len(text) + 1):
+        terms = [best[e - 1] + math.log(langid.UNKNOWN)] + [best[s] - math.log(len(vocab)) for s in range(max(0, e - langid.longest_piece(path)), e) if text[s:e] in vocab]
+        best.append(max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms)))
+    ids, n = langid.lattice([word], path)
+    assert math.isclose(langid.log_likelihoods(ids, n, probs)[0], best[-1], rel_tol=1e-9)
+    counts, _ = langid.expected(ids, n, np.array([1.0]), probs)
     length = {k: len(p) for p, k in vocab.items()}
-    assert math.isclose(sum(out[k] * length[k] for k in np.flatnonzero(out)), 3 * len("▁hello"), rel_tol=1e-3)
+    assert math.isclose(sum(counts[k] * length[k] for k in np.flatnonzero(counts)), len(text), rel_tol=1e-2)
+
+
+def test_expected_counts_against_all_segmentations():
+    path = P.path("piece_bpe_32k.model")
+    vocab = langid.vocabulary(path)
+    probs = np.random.default_rng(2).random(len(vocab) + 1)
+    probs[0] = 0
+    probs /= probs.sum()
+
+    def all_of(m):
+        if not m:
+            yield [], 1.0
+        for n in range(1, len(m) + 1):
+            p = probs[vocab[m[:n]]] if m[:n] in vocab else 0.0
+            for rest, q in all_of(m[n:]):
+                if p:
+                    yield [vocab[m[:n]], *rest], p * q
+                if n == 1:
+                    yield rest, langid.UNKNOWN * q
+
+    for word in ("hello", "straße", "these"):
+        want, whole = np.zeros(len(probs)), 0.0
+        for pieces, q in all_of("▁" + word):
+            whole += q
+            for k in pieces:
+                want[k] += q
+        ids, n = langid.lattice([word], path)
+        got, likely = langid.expected(ids, n, np.array([3.0]), probs)
+        assert np.allclose(got, 3 * want / whole) and math.isclose(likely, 3 * math.log(whole))
+
+
+def test_letters():
+    assert langid.words_of("½ ² Ⅷ ① ٣ 12 _ x٣Y 中文 ab²c") == ["x", "y", "中文", "ab", "c"]
+    assert langid.words_of("x" * 500) == ["x" * 500]
+
+
+def test_languages_are_bounded_and_ties_go_to_the_first(spark):
+    path = P.path("piece_bpe_32k.model")
+    rows = [(i, "wort und haus", "de") for i in range(9)] + [(20 + i, "wort und haus", "aa") for i in range(9)] + [(40, "casa", "es")]
+    docs = spark.createDataFrame([*rows, (50, "½ ²", None), (51, "wort " * 20_000, None)], "doc_id long, text string, lang string")
+    out = {r.doc_id: r.lang_pred for r in langid.identify(docs, path, most_languages=2, folds=1, held_out_fold=1).collect()}
+    assert set(out.values()) == {"aa", "und"} and out[50] == "und" and out[51] == "aa"
 
 
 def test_language_identification(spark):
@@ -161,6 +210,36 @@ def test_toxicity(spark):
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_exceptions_cover_hits_as_by_brute_force():
+    r = random.Random(4)
+    for _ in range(200):
+        words = ["ab", "cd", "ef"]
+        lexicon = toxicity.Lexicon({"=ab": 1.0, "=cd": 1.0}, r.sample([f"{a} {b}" for a in words for b in words], 3))
+        text = " ".join(r.choices(words, k=30))
+        spared = [(m, m + 5) for p in lexicon.auto if " " in p for m in range(len(text)) if text.startswith(p, m)]
+        want = [(m, m + 2) for m in range(0, len(text), 3) if text[m : m + 2] in ("ab", "cd") and not any(a <= m and m + 2 <= b for a, b in spared)]
+        assert sorted(h[:2] for h in lexicon.matches(text)) == want
+
+
+def test_long_texts_are_scored_in_linear_time():
+    lexicon = toxicity.Lexicon({"=bad": 2.0}, ["not bad"])
+    start = time.process_time()
+    assert lexicon.rate("not bad " * 200_000) == 0 and lexicon.rate("bad " * 200_000) > 0
+    assert toxicity.phrases(lexicon, "q" * 100 + " bad " + "z" * 90) == {"q" * 100 + " bad", "bad " + "z" * 90}
+    assert time.process_time() - start < 20
+
+
+def test_repeated_rows_ties_and_parameters(spark):
+    docs = spark.createDataFrame([(i, f"{'scum' if i % 2 else 'nice'} text n{i}") for i in range(80)] * 2 + [(1, "nice text"), (500, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)] + [(2, 1), (2, 0)], "doc_id long, toxic int")
+    rows = toxicity.toxicity(docs, labels).collect()
+    assert len(rows) == 162 and len({r.score for r in rows if r.doc_id == 7}) == 1
+    assert sum(r.predicted for r in rows if r.doc_id % 2 and r.doc_id < 80) >= 80
+    weights, spared, _ = toxicity.learn(docs, labels, entries=1)
+    assert list(weights) == ["=scum"]
+    assert len({r.score for r in toxicity.toxicity(docs, labels, sample=0).collect()}) == 1
+
+
 def test_toxicity_ignores_held_out_labels(spark):
     docs = spark.createDataFrame([(i, f"word{i % 2} text") for i in range(100)], "doc_id long, text string")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
