@@ -4,8 +4,8 @@ Texts are folded first: lower case, look-alike letters of other scripts to
 Latin, digits and signs that stand for letters to those letters. Lexicon
 entries are whole words and word beginnings, weighted by their log-odds among
 labelled documents; an entry needs half as many toxic documents as the root of
-their number, ``LEAST_DOCUMENTS`` at least (a few copies of one document prove
-nothing). Exception phrases (an entry with the word before or after it) that occur in clean documents cancel
+their number, ``LEAST_DOCUMENTS`` at least; equal texts with equal labels count
+once, for copies prove nothing. Exception phrases (an entry with the word before or after it) that occur in clean documents cancel
 the match they cover. The weights of a document's matches are summed, divided by
 a slowly growing function of its length, and turned into a probability by a
 logistic curve fitted to the same labelled rows.
@@ -180,8 +180,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, entries: int =
     total = labels.count()
     share = min(1.0, sample / max(total, 1))
     bounded = labels.where(F.pmod(F.xxhash64("_lid"), F.lit(1_000_000)) < int(share * 1_000_000))
-    # Written once: the steps below read the labelled rows, and not all texts again.
-    known = written(docs.join(F.broadcast(bounded), F.col("_id") == F.col("_lid")).select("_text", "_toxic"), "labelled")
+    # Equal texts count once. Written, so that the steps below read the labelled rows and not all texts again.
+    known = written(docs.join(F.broadcast(bounded), F.col("_id") == F.col("_lid")).select("_text", "_toxic").distinct(), "labelled")
     by = {r[0]: r[1] for r in known.groupBy("_toxic").count().collect()}
     pos, neg = by.get(1, 0), by.get(0, 0)
     if not pos or not neg:
