@@ -18,17 +18,18 @@ def _when(k: int, r: int, *parts: str) -> str:
 #: Documents with extraction noise by doc_id.
 NOISY = f"""
 SELECT doc_id, lang, source, concat(
-  {_when(7, 0, "'Portada'", _NL, "'## Índice'", _NL, "'Capítulo 1 ...... 10'", _NL, "'| Parte ..... 4 |'", _NL, _NL, "'## Inicio'", _NL)},
-  {_when(6, 1, "'Prólogo . . . . . 19'", _NL, "'2.1. Trabajo .... 49'", _NL)},
-  {_when(5, 2, "'| Isla ..... 3 |'", _NL, "'|---|'", _NL, "'| Costa ..... 7 |'", _NL, "'fin de lista'", _NL, "'| a | b |'", _NL, "'|---|---|'", _NL, "'| 1 | 2 |'", _NL)},
-  {_when(4, 1, "'Página 3 de 12'", _NL, "'ﬁn del ﬂujo ﬀ eﬃcaz ﬄ'", _NL, "'corta-'", _NL, "'da la palabra'", _NL, "' 12 / 40 '", _NL)},
+  {_when(7, 0, "'Cubierta'", _NL, "'## Sumario'", _NL, "'I. La marea ........ 7'", _NL, "'| Faros ....... 15 |'", _NL, _NL, "'## Apertura'", _NL)},
+  {_when(6, 1, "'Glosario .......... 88'", _NL, "'III) Molinos . . . . . 203'", _NL)},
+  {_when(5, 2, "'| Barcos ........ 5 |'", _NL, "'|:--|'", _NL, "'| Redes ...... 9 |'", _NL, "'sin puntos'", _NL, "'| pez | kilo |'", _NL, "'|---|---|'", _NL, "'| bonito | 4 |'", _NL)},
+  {_when(4, 1, "'Hoja suelta, página 8 de 90'", _NL, "'el oﬁcio y la ﬂota, ﬀ, eﬃgie, ﬄ'", _NL, "'mari-'", _NL, "'nero viejo'", _NL, "' 6 / 31 '", _NL)},
   CASE WHEN doc_id % 3 = 0 THEN replace(text, '. ', concat('.', {_NL})) ELSE text END, {_NL},
-  {_when(8, 3, "'![mapa](img/a-1.png)'", _NL, "'**==> picture [1 x 2] intentionally omitted <==**'", _NL, "'Figura 12. Vista general'", _NL, "'> 1 Véase la nota'", _NL, "'12Véase también lo dicho'", _NL)},
-  {_when(9, 4, "'El estudio (Alvarez Martinez 2014; Bethencourt y Otros 1994; Rodriguez Perez 2001; Garcia Lopez 2010) demostró (1874) más.'", _NL, "'  77  '", _NL, _NL, _NL, _NL, "'cierre'")},
-  {_when(10, 5, "'Boletín del Archivo'", _NL, "'uno'", _NL, "'BOLETÍN DEL ARCHIVO'", _NL, "'dos'", _NL, "'  Boletín del Archivo'", _NL, "'Boletín del Archivo'", _NL, "'Boletín del Archivo '", _NL, "'tres'")},
-  {_when(11, 6, "'DueÃ±o seÃ±or aÃ±o niÃ±o '", "repeat('Ã', CAST(1 + floor(length(text) / 200) AS INT))")},
-  {_when(13, 7, "repeat('MUSE6 ~f0~ pala9bra ', CAST(1 + floor(length(text) / 300) AS INT))")},
-  {_when(12, 8, _NL, "'## **Referencias**'", _NL, "'- Autor (2020). Libro.'", _NL, "'![x](y.png)'", _NL, "'# Anexo'", _NL, "'anexo'")}
+  {_when(8, 3, "'![faro](fotos/f_02.jpg)'", _NL, "'**==> picture [30 x 40] intentionally omitted <==**'", _NL, "'Figura 4: El muelle viejo'", _NL, "'> 7 Nota al margen del copista'", _NL, "'3Ver lo escrito arriba'", _NL)},
+  {_when(9, 4, "'La costa (Prieto Lara 1951; Quesada y Vidal 1966; Ramos de Ory 1978; Soto Marrero 2003; Toledo 2012) era otra (1793).'", _NL, "'  31  '", _NL, _NL, _NL, _NL, "'remate'")},
+  {_when(10, 5, "'Boletín del Archivo'", _NL, "'alba'", _NL, "'BOLETÍN DEL ARCHIVO'", _NL, "'ocaso'", _NL, "'  Boletín del Archivo'", _NL, "'Boletín del Archivo'", _NL, "'Boletín del Archivo '", _NL, "'noche'")},
+  {_when(11, 6, "'PeÃ±a y caÃ±a, sueÃ±o '", "repeat('Ã', CAST(1 + floor(length(text) / 200) AS INT))")},
+  {_when(13, 7, "repeat('F4RO ~x1~ mar3as ', CAST(1 + floor(length(text) / 300) AS INT))")},
+  {_when(12, 8, _NL, "'## **Fuentes**'", _NL, "'- Acta de cabildo de 1802.'", _NL, "'![plano](plano.png)'", _NL, "'# Anejo'", _NL, "'anejo'")},
+  {_when(14, 9, _NL, "'## Bibliografía'", _NL, "'- Legajo 12, folio 3.'", _NL, "'![sello](sello.png)'", _NL, "'# Colofón'", _NL, "'![sello](sello.png) impreso en casa'", _NL, "'fin'")}
 ) AS text FROM {{docs}}"""
 
 #: Conversations folded into documents with headings and separators.
@@ -38,17 +39,32 @@ SELECT conv_id AS doc_id, concat('# Conversation ', CAST(conv_id AS VARCHAR(20))
     SELECT conv_id, turn, concat('## turn ', CAST(turn AS VARCHAR(20)), ' — ', role, {_NL}, {_NL}, text) AS part FROM {{turns}}) t
   GROUP BY conv_id) g"""
 
-#: Documents as a model would return them.
+#: Whole documents with markers by doc_id: none, many short sections, middling and long ones; or mostly short lines. {g} is the first group.
+SECTIONS = f"""
+SELECT doc_id, lang, source, concat(CASE doc_id % 6
+  WHEN 0 THEN text
+  WHEN 1 THEN replace(text, '. ', concat('.', {_NL}, {_NL}, '## Tema', {_NL}, {_NL}))
+  WHEN 2 THEN concat('# Obra', {_NL}, regexp_replace(text, concat('([^#]', chr(123), '640', chr(125), ')'), concat('{{g}}', {_NL}, '---', {_NL}){{flags}}))
+  WHEN 3 THEN concat('# Obra', {_NL}, '## Cuerpo', {_NL}, regexp_replace(text, concat('([^#]', chr(123), '900', chr(125), '[^#]', chr(123), '600', chr(125), ')'), concat('{{g}}', {_NL}, '## Sigue', {_NL}){{flags}}), {_NL}, '# Fin')
+  WHEN 4 THEN replace(text, ' ', {_NL})
+  ELSE concat('# Uno', {_NL}, text, {_NL}, '# Dos', {_NL}, '# Tres') END, {_NL},
+  CASE doc_id % 5 WHEN 0 THEN 'horario tarifa precio acceso' WHEN 1 THEN 'siglo historia época cueva sala' WHEN 2 THEN 'definición concepto es decir' WHEN 3 THEN 'horario siglo concepto' ELSE '' END) AS text FROM {{{{docs}}}}"""
+
+#: Whole documents as a model would return them.
 ANSWERS = f"""
 SELECT doc_id, concat(
   {_when(5, 0, "'```markdown'", _NL)},
   {_when(7, 1, "'Aquí tienes el documento:'", _NL, _NL)},
   CASE WHEN doc_id % 9 = 8 THEN '' ELSE concat('# Documento', {_NL}, '· Archivo · 2026', {_NL}, {_NL}) END,
-  '## Parte 1', {_NL}, substr(text, 1, 700), {_NL}, '---', {_NL}, '## Parte 2', {_NL}, substr(text, 701, 500), {_NL},
+  CASE WHEN doc_id % 13 = 2 THEN text ELSE concat('## Parte 1', {_NL}, substr(text, 1, 700), {_NL}, '---', {_NL}, '## Parte 2', {_NL}, substr(text, 701)) END, {_NL},
+  CASE WHEN doc_id % 50 = 7 THEN repeat(concat(text, {_NL}, '## Otra copia', {_NL}), CAST(1 + floor(110000 / (1 + length(text))) AS INT)) ELSE '' END,
   {_when(4, 2, "'#### Detalle'", _NL, "'- uno'", _NL)},
   {_when(6, 3, "repeat(concat('| a | b |', chr(10)), 11)", _NL)},
   {_when(8, 4, "repeat(concat('| a | b |', chr(10)), 25)", _NL)},
-  {_when(10, 5, "'La fluorosis y las momias [WEB] ⚠️'", _NL, "'cruzaron el Atlántico'", _NL, "'Metodología: Extracción'", _NL)},
+  {_when(10, 5, "'La fluorosis y las momias [WEB] ⚠️'", _NL)},
+  {_when(14, 5, "'cruzaron el Atlántico'", _NL)},
+  {_when(9, 5, "'Metodología: Extracción'", _NL)},
+  {_when(12, 9, "'**Vigencia/Período:** 2020'", _NL)},
   {_when(3, 1, "'## Datos técnicos para investigadores'", _NL, "'- dato'", _NL)},
   {_when(11, 6, "'---'", _NL, "'## Lagunas detectadas'", _NL, "'- falta el año'", _NL)},
   {_when(5, 0, "_TAIL_")}
@@ -68,6 +84,14 @@ def noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(NOISY, docs=table(spark, sf_dir, "documents"))
 
 
+def _sections(spark_side: bool) -> str:
+    return SECTIONS.format(g="$1" if spark_side else r"\1", flags="" if spark_side else ", 'g'")
+
+
+def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_sections(True), docs=table(spark, sf_dir, "documents"))
+
+
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(ANSWERS, docs=table(spark, sf_dir, "documents"))
 
@@ -87,4 +111,4 @@ def checked(name: str) -> str:
         return CHATS.replace("{join}", f"string_agg(part, concat({_NL}, {_NL}, '---', {_NL}, {_NL}) ORDER BY turn)").replace("{turns}", "conversations")
     if name == "pages":
         return PAGES.replace("{parts}", "part")
-    return {"noisy": NOISY, "answers": ANSWERS, "documents": "SELECT doc_id, lang, source, text FROM {docs}"}[name].replace("{docs}", "documents")
+    return {"noisy": NOISY, "sections": _sections(False), "answers": ANSWERS, "documents": "SELECT doc_id, lang, source, text FROM {docs}"}[name].replace("{docs}", "documents")

@@ -97,7 +97,27 @@ add(
       SELECT i.doc_id, string_agg(line, {NL} ORDER BY pos) AS text FROM i LEFT JOIN g ON i.is_table AND g.doc_id = i.doc_id AND g.island = i.island
       WHERE g.doc_id IS NULL OR dots / greatest(n, 1) <= 0.3 GROUP BY 1) k USING (doc_id)""",
 )
-add("pip2_clean_markdown", lambda s, d: corpora.noisy(s, d).select("doc_id", clean.clean_markdown(F.col("text")).alias("text")))
+_CTE = rf"""c0 AS (SELECT doc_id, {O_STEPS["cln1"]} AS t FROM (SELECT doc_id, text AS t FROM ({checked("noisy")}) x) y),
+    c1 AS (SELECT *, regexp_extract(t, '{_INDEX}') AS m FROM c0), c2 AS (SELECT *, instr(t, m) AS p0, substr(t, instr(t, m) + length(m)) AS rest FROM c1),
+    c3 AS (SELECT *, regexp_extract(rest, '(?m)^#{{1,3}}\s') AS h FROM c2),
+    c4 AS (SELECT doc_id, CASE WHEN m = '' THEN t ELSE substr(t, 1, p0 - 1) || {NL} || CASE WHEN h = '' THEN '' ELSE substr(rest, instr({NL} || rest, {NL} || h)) END END AS t FROM c3),
+    d AS (SELECT doc_id, {O_STEPS["cln3"]} AS t FROM c4), l AS ({_LINES}),
+    i AS (SELECT *, starts_with(line, '|') AS is_table, pos - row_number() OVER (PARTITION BY doc_id, starts_with(line, '|') ORDER BY pos) AS island FROM l),
+    g AS (SELECT doc_id, island, count(*) FILTER (NOT regexp_matches(line, '^\|[-: |]+\|$')) AS n, count(*) FILTER (NOT regexp_matches(line, '^\|[-: |]+\|$') AND regexp_matches(line, '\.{{3,}}|(?:\. ){{3,}}')) AS dots FROM i WHERE is_table GROUP BY 1, 2),
+    c5 AS (SELECT i.doc_id, string_agg(line, {NL} ORDER BY pos) AS t FROM i LEFT JOIN g ON i.is_table AND g.doc_id = i.doc_id AND g.island = i.island WHERE g.doc_id IS NULL OR dots / greatest(n, 1) <= 0.3 GROUP BY 1),
+    c6 AS (SELECT d.doc_id, coalesce(c5.t, '') AS t FROM d LEFT JOIN c5 USING (doc_id))"""
+
+
+def _chain(t: str, *steps: str) -> str:
+    """Steps of O_STEPS one after the other, as common table expressions s0, s1, ... from ``t``."""
+    out = []
+    for k, step in enumerate(steps):
+        out.append(f"s{k} AS (SELECT doc_id, {O_STEPS[step]} AS t FROM {t if k == 0 else f's{k - 1}'})")
+    return ", ".join(out)
+
+
+_CLEAN_CTE = f"{_CTE}, {_chain('c6', 'cln5', 'cln6', 'cln7', 'cln8', 'cln9', 'cln10', 'cln11', 'cln12', 'cln13')}"
+add("pip2_clean_markdown", lambda s, d: corpora.noisy(s, d).select("doc_id", clean.clean_markdown(F.col("text")).alias("text")), f"WITH {_CLEAN_CTE} SELECT doc_id, t AS text FROM s8")
 
 _LIG = "replace(replace(replace(replace(replace(t, 'ﬁ', 'fi'), 'ﬂ', 'fl'), 'ﬀ', 'ff'), 'ﬃ', 'ffi'), 'ﬄ', 'ffl')"
 _PAGE_OF, _SLASH = r"(?im)^[^\n]*P[áa]gina\s+\d+\s+de\s+\d+[^\n]*$", r"(?m)^\s*\d+\s*/\s*\d+\s*$"
@@ -179,11 +199,16 @@ def _diagnosis(name: str, corpus: str, columns: list[str], more: str = "") -> No
     add(name, _diagnosed(corpus, *columns), f"WITH {_structure(corpus)} SELECT doc_id, {', '.join(columns)} FROM de")
 
 
-_diagnosis("dia1_dia4_structure", "chats", ["n_headings", "n_separators", "avg_section_len", "short_line_ratio"])
+def _thin(diagnosed: DataFrame) -> DataFrame:
+    """Half the overlap for every fourth document, as parameters set by hand may have it."""
+    return diagnosed.withColumn("overlap", F.when(F.col("doc_id") % 4 == 3, F.floor(F.col("overlap") / 2)).otherwise(F.col("overlap")))
+
+
+_diagnosis("dia1_dia4_structure", "sections", ["n_headings", "n_separators", "avg_section_len", "short_line_ratio"])
 _diagnosis("dia3_short_lines", "noisy", ["short_line_ratio"])
-_diagnosis("dia6_entity_length", "chats", ["entity_len"])
-_diagnosis("dia7_parameters", "chats", ["project_type", "entity_len", "max_chars", "overlap", "min_chunk_size"])
-_diagnosis("stg1_strategy", "chats", ["strategy"])
+_diagnosis("dia6_entity_length", "sections", ["entity_len"])
+_diagnosis("dia7_parameters", "sections", ["project_type", "entity_len", "max_chars", "overlap", "min_chunk_size"])
+_diagnosis("stg1_strategy", "sections", ["strategy"])
 _diagnosis("cst3_dry_run", "noisy", ["strategy", "project_type", "entity_len"])
 _diagnosis("dia8_provisional_strategy", "answers", ["strategy", "max_chars"])
 
@@ -195,16 +220,16 @@ add(
 )
 add(
     "stg2_warnings",
-    lambda s, d: diagnose.decide(diagnose.diagnose(corpora.chats(s, d))).select("doc_id", "coherence_ok", F.array_join("warnings", ",").alias("warnings")),
-    f"""WITH {_structure("chats")} SELECT doc_id, NOT (strategy = 'fixed' AND overlap < max_chars * 0.10) AS coherence_ok,
+    lambda s, d: diagnose.decide(_thin(diagnose.diagnose(corpora.sections(s, d)))).select("doc_id", "coherence_ok", F.array_join("warnings", ",").alias("warnings")),
+    f"""WITH {_structure("sections").replace("AS BIGINT) AS overlap", "AS BIGINT) // CASE WHEN doc_id % 4 = 3 THEN 2 ELSE 1 END AS overlap")} SELECT doc_id, NOT (strategy = 'fixed' AND overlap < max_chars * 0.10) AS coherence_ok,
         array_to_string(list_filter([CASE WHEN strategy = 'semantic' AND avg_section_len > max_chars THEN 'section_over_max' END, CASE WHEN strategy = 'semantic' AND n_separators = 0 THEN 'no_separators' END,
         CASE WHEN strategy = 'fixed' AND overlap < max_chars * 0.10 THEN 'thin_overlap' END], lambda x: x IS NOT NULL), ',') AS warnings FROM de""",
 )
 _ALL = ["n_words", "text_chars", "n_headings", "n_separators", "avg_section_len", "short_line_ratio", "project_type", "entity_len", "max_chars", "overlap", "min_chunk_size", "strategy"]
 add(
     "pip4_diagnose_and_decide",
-    lambda s, d: diagnose.decide(diagnose.diagnose(table(s, d, "documents"))).select("doc_id", *_ALL),
-    f"WITH {_structure('documents')} SELECT doc_id, length(t) AS text_chars, len({_words('t')}) AS n_words, {', '.join(_ALL[2:])} FROM de",
+    lambda s, d: diagnose.decide(diagnose.diagnose(corpora.sections(s, d))).select("doc_id", *_ALL),
+    f"WITH {_structure('sections')} SELECT doc_id, length(t) AS text_chars, len({_words('t')}) AS n_words, {', '.join(_ALL[2:])} FROM de",
 )
 
 # --- gates ----------------------------------------------------------------------------------------------------------
@@ -235,7 +260,7 @@ add(
     f"WITH d AS ({_STEMS}) SELECT doc_id, CASE WHEN {_MOJI} > 0.003 THEN 'mojibake' WHEN {_OCR} > 0.01 THEN 'ocr' WHEN {_RUN} > 3 THEN 'headers' WHEN {_BURIED} THEN 'buried' ELSE 'limpio' END AS reason FROM d",
 )
 add("flt3_selection", lambda s, d: table(s, d, "documents").where(F.col("source").isin("src1", "src2")).select("doc_id", "source"), "SELECT doc_id, source FROM documents WHERE source IN ('src1', 'src2')")
-_CUT = "CASE WHEN doc_id % 3 = 0 THEN substr(text, 1, 40) WHEN doc_id % 50 = 1 THEN '' ELSE text END"
+_CUT = "CASE WHEN doc_id % 3 = 0 THEN substr(text, 1, greatest(length(text) - 7, 0)) WHEN doc_id % 50 = 1 THEN concat(text, '   ') ELSE text END"
 add(
     "flt4_truncated",
     lambda s, d: table(s, d, "documents").select("doc_id", gates.truncated(F.expr(_CUT)).alias("truncated")),
@@ -332,12 +357,12 @@ add(
 )
 add(
     "tbl2_merge_continued",
-    lambda s, d: tables.merge_continued(_page_tables(s, d)).select("file_name", "page_no", F.size("first_table").cast("long").alias("n_rows")),
-    f"""WITH p AS (SELECT file_name, page_no, brand, row_number() OVER (PARTITION BY file_name ORDER BY page_no) AS i FROM ({checked("pages")}) x),
+    lambda s, d: tables.merge_continued(_page_tables(s, d)).select("file_name", "page_no", F.array_join(F.transform("first_table", lambda r: F.array_join(r, ",")), ";").alias("cells")),
+    f"""WITH p AS (SELECT file_name, page_no, brand, p_name || ',' || p_size AS own, row_number() OVER (PARTITION BY file_name ORDER BY page_no) AS i FROM ({checked("pages")}) x),
     b AS (SELECT *, CASE WHEN brand = lag(brand) OVER (PARTITION BY file_name ORDER BY i) THEN 0 ELSE 1 END AS new FROM p),
     r AS (SELECT *, sum(new) OVER (PARTITION BY file_name ORDER BY i) AS run FROM b),
-    k AS (SELECT *, row_number() OVER (PARTITION BY file_name, run ORDER BY i) - 1 AS p0, count(*) OVER (PARTITION BY file_name, run) AS n FROM r)
-    SELECT file_name, page_no, CASE WHEN brand IS NULL OR p0 % 2 = 1 THEN NULL WHEN p0 + 1 < n THEN 3 ELSE 2 END AS n_rows FROM k""",
+    k AS (SELECT *, row_number() OVER w - 1 AS p0, count(*) OVER (PARTITION BY file_name, run) AS n, lead(own) OVER w AS next FROM r WINDOW w AS (PARTITION BY file_name, run ORDER BY i))
+    SELECT file_name, page_no, CASE WHEN brand IS NULL OR p0 % 2 = 1 THEN NULL WHEN p0 + 1 < n THEN brand || ',x;' || own || ';' || next ELSE brand || ',x;' || own END AS cells FROM k""",
 )
 add("tbl3_page_tables", lambda s, d: tables.with_page_tables(corpora.pages(s, d).withColumn("text", F.col("p_name")), _page_tables(s, d)).select("file_name", "page_no", "text"),
     f"SELECT file_name, page_no, p_name || CASE WHEN brand IS NULL THEN '' ELSE {NL} || '| ' || brand || ' | x |' || {NL} || '|---|---|' || {NL} || '| ' || p_name || ' | ' || p_size || ' |' || {NL} END AS text FROM ({checked('pages')}) x")
@@ -506,7 +531,9 @@ add(
 )
 add(
     "snk2_pass_through",
-    lambda s, d: corpora.noisy(s, d).select("doc_id", F.when(gates.refine_reason(F.col("text"), F.lit("")) != "limpio", clean.clean_markdown(F.col("text"))).otherwise(F.col("text")).alias("text")).select("doc_id", F.length("text").cast("long").alias("n")),
+    lambda s, d: corpora.noisy(s, d).select("doc_id", F.when(gates.refine_reason(F.col("text"), F.lit("")) != "limpio", clean.clean_markdown(F.col("text"))).otherwise(F.col("text")).alias("text")),
+    f"""WITH {_CLEAN_CTE}, o AS (SELECT doc_id, text AS t FROM ({checked("noisy")}) x)
+    SELECT doc_id, CASE WHEN {_MOJI.replace('(t', '(o.t')} > 0.003 OR {_OCR.replace("(t", "(o.t")} > 0.01 OR {_RUN.replace("(t", "(o.t")} > 3 THEN s8.t ELSE o.t END AS text FROM o JOIN s8 USING (doc_id)""",
 )
 add(
     "win7_file_ordinal",
@@ -515,8 +542,8 @@ add(
 )
 add(
     "snk5_delivery_report",
-    lambda s, d: report.delivery_report(diagnose.decide(diagnose.diagnose(corpora.chats(s, d))).withColumn("file_name", F.col("doc_id").cast("string")).withColumns(deliver.retrieval(F.col("project_type")))),
-    f"""WITH {_structure("chats")}, p(kind, a, b, c, e, f) AS (VALUES {_RET})
+    lambda s, d: report.delivery_report(diagnose.decide(diagnose.diagnose(corpora.sections(s, d))).withColumn("file_name", F.col("doc_id").cast("string")).withColumns(deliver.retrieval(F.col("project_type")))),
+    f"""WITH {_structure("sections")}, p(kind, a, b, c, e, f) AS (VALUES {_RET})
     SELECT CAST(doc_id AS VARCHAR) AS file_name, 'Archivo: ' || doc_id || {NL} || 'Tipo: ' || project_type || {NL} || 'Estrategia: ' || strategy || {NL} || 'max_chars / overlap / min_chunk_size: ' || max_chars || ' / ' || overlap || ' / ' || min_chunk_size
         || {NL} || 'top_k: ' || a || ', tokens: ' || b || ', contexto: ' || f AS report FROM de JOIN p ON p.kind = project_type""",
 )
