@@ -46,7 +46,9 @@ def _numerals() -> str:
 WORD = re.compile(rf"[^\W\d_{_numerals()}]+")
 KEPT_WORDS, BLOCK, CELLS = 700_000, 2000, 1 << 22
 #: Learning ends when the mean log-likelihood of a word grows by less than this share, or after so many rounds.
-SETTLED, MOST_ROUNDS, MOST_LANGUAGES = 0.01, 20, 200
+SETTLED, MOST_ROUNDS, MOST_LANGUAGES = 0.05, 20, 200
+#: Words up to this length can't fall below the least float and are swept without scales.
+UNSCALED = 28
 #: Share of probability for a character that the vocabulary lacks, and a piece's least expected count.
 UNKNOWN, FLOOR = 1e-7, 0.01
 
@@ -83,12 +85,12 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-_BASE, _SLOTS = np.uint64(0x9E3779B97F4A7C15), 21
+_BASE, _SLOTS = np.uint64(0x9E3779B97F4A7C15), 17
 
 
 @lru_cache(maxsize=1)
-def _slots(path: str) -> list[tuple[np.uint64, np.ndarray, np.ndarray]]:
-    """Hash tables (factor, keys, piece numbers) of the vocabulary; what collides in one is in the next."""
+def _slots(path: str) -> list[tuple[np.uint64, np.ndarray, np.ndarray, np.ndarray]]:
+    """Hash tables (factor, keys, piece numbers, marks) of the vocabulary; what collides in one is in the next, and its slot is marked."""
     left = {}
     for piece, k in vocabulary(path).items():
         h = 0
@@ -97,15 +99,15 @@ def _slots(path: str) -> list[tuple[np.uint64, np.ndarray, np.ndarray]]:
         left[h] = k
     out, factor = [], 0xD6E8FEB86659FD93
     while left:
-        keys, numbers = np.zeros(1 << _SLOTS, np.uint64), np.zeros(1 << _SLOTS, np.int32)
+        keys, numbers, marks = np.zeros(1 << _SLOTS, np.uint64), np.zeros(1 << _SLOTS, np.int32), np.zeros(1 << _SLOTS, bool)
         more = {}
         for h, k in left.items():
             slot = (h * factor % (1 << 64)) >> (64 - _SLOTS)
             if numbers[slot]:
-                more[h] = k
+                more[h], marks[slot] = k, True
             else:
                 keys[slot], numbers[slot] = h, k
-        out.append((np.uint64(factor), keys, numbers))
+        out.append((np.uint64(factor), keys, numbers, marks))
         left, factor = more, (factor * 0x94D049BB133111EB + 2) % (1 << 64) | 1
     return out
 
@@ -121,9 +123,17 @@ def lattice(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     h = np.zeros_like(codes)
     for k in range(longest):  # h: of the k + 1 characters from each position on
         h = h[:, : width - k] * _BASE + codes[:, k:]
-        for factor, keys, numbers in _slots(path):
-            slot = (h * factor) >> np.uint64(64 - _SLOTS)
-            ids[:, k + 1 :, k] += np.where(keys[slot] == h, numbers[slot], 0)
+        found = np.zeros(h.size, np.int32)
+        open_, left = None, h.ravel()
+        for factor, keys, numbers, marks in _slots(path):
+            slot = ((left * factor) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+            hit = keys[slot] == left
+            found[np.flatnonzero(hit) if open_ is None else open_[hit]] = numbers[slot[hit]]
+            again = np.flatnonzero(marks[slot] & ~hit)
+            if not len(again):
+                break
+            open_, left = again if open_ is None else open_[again], left[again]
+        ids[:, k + 1 :, k] = found.reshape(h.shape)
     return ids, n
 
 
@@ -170,14 +180,53 @@ def forward(ids: np.ndarray, probs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return _swept(ids, probs, range(ends), lambda e: [(e - 1 - k, ids[:, e, k]) for k in range(min(longest, e))], start)
 
 
+def _forward_short(ids: np.ndarray, probs: np.ndarray) -> np.ndarray:
+    """As forward, without scales."""
+    words, ends, longest = ids.shape
+    alpha = np.zeros((words, ends, *probs.shape[1:]))
+    alpha[:, 0] = 1
+    for e in range(1, ends):
+        total = UNKNOWN * alpha[:, e - 1]
+        for k in range(min(longest, e)):
+            at = ids[:, e, k]
+            if at.any():
+                total = total + alpha[:, e - 1 - k] * probs[at]
+        alpha[:, e] = total
+    return alpha
+
+
 def log_likelihoods(ids: np.ndarray, n: np.ndarray, probs: np.ndarray) -> np.ndarray:
-    values, scales = forward(ids, probs)
     at = np.arange(len(n)), n
+    if ids.shape[1] <= UNSCALED:
+        return np.log(_forward_short(ids, probs)[at])
+    values, scales = forward(ids, probs)
     return np.log(np.maximum(values[at], 1e-300)) + scales[at]
 
 
+def _expected_short(ids: np.ndarray, n: np.ndarray, counts: np.ndarray, probs: np.ndarray) -> tuple[np.ndarray, float]:
+    words, ends, longest = ids.shape
+    alpha = _forward_short(ids, probs)
+    whole = alpha[np.arange(words), n]
+    # beta begins with each word's count over its probability, so that products are expected counts.
+    beta = np.zeros((words, ends))
+    beta[np.arange(words), n] = counts / whole
+    out = np.zeros(len(probs))
+    for e in range(ends - 1, 0, -1):
+        beta[:, e - 1] += UNKNOWN * beta[:, e]
+        for k in range(min(longest, e)):
+            at = ids[:, e, k]
+            if at.any():
+                more = probs[at] * beta[:, e]
+                beta[:, e - 1 - k] += more
+                out += np.bincount(at, alpha[:, e - 1 - k] * more, len(probs))
+    out[0] = 0
+    return out, float((np.log(whole) * counts).sum())
+
+
 def expected(ids: np.ndarray, n: np.ndarray, counts: np.ndarray, probs: np.ndarray) -> tuple[np.ndarray, float]:
     """Expected count of each piece, from words of one language with their counts, and their log-likelihood."""
+    if ids.shape[1] <= UNSCALED:
+        return _expected_short(ids, n, counts, probs)
     words, ends, longest = ids.shape
     alpha, above = forward(ids, probs)
     stop = np.zeros((words, ends), bool)

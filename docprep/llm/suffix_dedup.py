@@ -54,7 +54,7 @@ COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 #: Bytes of a block for inputs up to a GB; beyond, they grow with the root of the input, up to the last number.
 BLOCK_BYTES, MOST_BLOCK_BYTES, SLICE = 1 << 20, 16 << 20, 1 << 19
 #: Fingerprints, and bytes of text, of a bucket.
-BUCKET_KEYS, BUCKET_BYTES = 1_000_000, 4 << 20
+BUCKET_KEYS, BUCKET_BYTES = 1_000_000, 2 << 20
 #: Documents sampled for common strings, the number of them that makes a string common, most such strings, and marks of the table.
 SAMPLE, COMMON_IN, COMMON, MARKS = 2000, 4, 200_000, 1 << 22
 _ROOT = 0x9E3779B97F4A7C15

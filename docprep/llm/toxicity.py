@@ -89,7 +89,7 @@ def _counted(docs: DataFrame, count) -> DataFrame:
             for part in slices(batch):
                 for text, y in zip(part.column("_text").to_pylist(), part.column("_toxic").to_pylist(), strict=True):
                     held[y].update(count(text))
-                if len(held[0]) + len(held[1]) > 120_000:
+                if len(held[0]) + len(held[1]) > 60_000:
                     yield flush()
         yield flush()
 
