@@ -271,7 +271,9 @@ def fit(docs: DataFrame, path: str, rounds: int = MOST_ROUNDS, most_languages: i
     """docs: _text, _lang (non-null). The languages in order and probs[piece, language]."""
     found = docs.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(most_languages).collect()
     langs = sorted(r[0] for r in found)
-    counts = written(word_counts(docs.where(F.col("_lang").isin(langs))), "word-counts")
+    # Dealt evenly, for each round sweeps them all; words of like length stand together, so that lattices waste little.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = written(word_counts(docs.where(F.col("_lang").isin(langs))).repartition(tasks).sortWithinPartitions("lang", F.length("word")), "word-counts")
     size = len(vocabulary(path)) + 1
     probs = np.zeros((size, len(langs)))
     for p, k in vocabulary(path).items():
