@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import id_text, slices
+from .common import id_text, slices, trimmed
 
 #: Fixed value: the pre-token pattern of this family of vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -157,7 +157,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                 ids = [np.frombuffer(c.encode(t), "<u4").astype(np.int32) for t in part.column("_text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+    return id_text(docs, id_col, text_col).mapInArrow(trimmed(run), "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
@@ -169,7 +169,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
             texts = [c.decode(np.array(x or [], "<u4").tobytes()) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(trimmed(run), "doc_id long, text string")
 
 
 def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,4 +187,4 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_
                     b.append(sha256(c.decode(ids).encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return id_text(docs, id_col, text_col).mapInArrow(trimmed(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, id_text, join_groups, slices, texts_as_bytes, written
+from .common import drop_written, id_text, join_groups, slices, texts_as_bytes, trimmed, written
 
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 512, 16384, 10
 
@@ -82,7 +82,7 @@ def recipes(docs: DataFrame, width: int = 16) -> DataFrame:
                 made = [b"".join(f for f, _ in row) for row in _chunks(texts_as_bytes(part), width)]
                 yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(made, pa.binary()), part.column("_sha")], names=["_id", "recipe", "_sha"])
 
-    return docs.mapInArrow(run, "_id long, recipe binary, _sha string")
+    return docs.mapInArrow(trimmed(run), "_id long, recipe binary, _sha string")
 
 
 def occurrences(docs: DataFrame, width: int = 16) -> DataFrame:
@@ -95,7 +95,7 @@ def occurrences(docs: DataFrame, width: int = 16) -> DataFrame:
                 cols = list(zip(*rows, strict=True)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["_id", "pos", "fp", "chunk"])
 
-    return docs.mapInArrow(run, "_id long, pos int, fp binary, chunk binary")
+    return docs.mapInArrow(trimmed(run), "_id long, pos int, fp binary, chunk binary")
 
 
 def distinct_chunks(docs: DataFrame, width: int = 16) -> DataFrame:
@@ -107,7 +107,7 @@ def distinct_chunks(docs: DataFrame, width: int = 16) -> DataFrame:
                 seen = dict.fromkeys(x for row in _chunks(texts_as_bytes(part), width) for x in row)
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in seen], pa.binary()) for i in (0, 1)], names=["fp", "chunk"])
 
-    return docs.select("_text").mapInArrow(run, "fp binary, chunk binary").groupBy("fp", "chunk").agg(F.lit(1).alias("one")).select("fp", "chunk")
+    return docs.select("_text").mapInArrow(trimmed(run), "fp binary, chunk binary").groupBy("fp", "chunk").agg(F.lit(1).alias("one")).select("fp", "chunk")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fingerprint_bytes: int = 16) -> DataFrame:

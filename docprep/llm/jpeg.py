@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import id_text, slices, texts_as_bytes
+from .common import id_text, slices, texts_as_bytes, trimmed
 
 UNIT, PER_MCU, WIDE, MOST = 64, 6, 32, 4095  # bytes a block, blocks an MCU, MCUs a row, and most of them in a row or column
 #: Spectral bands of the AC scans of Y, Cb and Cr.
@@ -519,7 +519,7 @@ def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 files = [f for some in _abreast([payload(t) for t in texts]) for f in encode(some)]
                 yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(files, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return id_text(docs, id_col, text_col).mapInArrow(trimmed(run), "doc_id long, n_bytes long, media binary")
 
 
 def read_media(media: DataFrame) -> DataFrame:
@@ -536,7 +536,7 @@ def read_media(media: DataFrame) -> DataFrame:
                 cols += [pa.array(means, pa.list_(pa.float64())), pa.array([t.tobytes() for t in tensors], pa.binary())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=schema.names)
 
-    return media.mapInArrow(run, schema)
+    return media.mapInArrow(trimmed(run), schema)
 
 
 def store_tensors(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .bpe import byte_names
-from .common import id_text, slices
+from .common import id_text, slices, trimmed
 
 CAPACITY, END_ID, CLASSES, WINDOW = 4096, 2, 64, 4 << 20
 #: Words that a worker remembers at most, as they stand (for a task) and plain ones (for its lifetime), and their length.
@@ -185,4 +185,4 @@ def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         coder.clear()
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    return id_text(docs, id_col, text_col).mapInArrow(run, schema)
+    return id_text(docs, id_col, text_col).mapInArrow(trimmed(run), schema)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, id_text, join_groups, slices, texts_as_bytes, written
+from .common import drop_written, id_text, join_groups, slices, texts_as_bytes, trimmed, written
 from .components import connected_components
 
 BLOCK = 2048
@@ -75,7 +75,7 @@ def with_fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
                 fp = fingerprints(texts_as_bytes(part), words).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(fp)], names=["_id", "fp"])
 
-    return docs.mapInArrow(run, "_id long, fp long")
+    return docs.mapInArrow(trimmed(run), "_id long, fp long")
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -113,7 +113,7 @@ def bucket_links(buckets: DataFrame, radius: int) -> DataFrame:
                 found.update(_close_in_bucket([x["fp"] for x in m], [x["rep"] for x in m], radius))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return buckets.mapInArrow(run, "a long, b long")
+    return buckets.mapInArrow(trimmed(run), "a long, b long")
 
 
 def midpoint_links(nodes: DataFrame, radius: int) -> DataFrame:
@@ -130,7 +130,7 @@ def midpoint_links(nodes: DataFrame, radius: int) -> DataFrame:
                 around = (flips[mask] ^ np.array([fp], np.int64).view(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(around), pa.array(np.full(len(around), rep)), pa.array(np.full(len(around), fp))], names=["mid", "rep", "fp"])
 
-    around = nodes.mapInArrow(run, "mid long, rep long, fp long")
+    around = nodes.mapInArrow(trimmed(run), "mid long, rep long, fp long")
     least = around.groupBy("mid").agg(F.min("rep").alias("b"), F.min_by("fp", "rep").alias("bfp"))
     # An odd radius makes the sum of two halves one too many: check each link; the links to the least member alone would then not do.
     if radius % 2:

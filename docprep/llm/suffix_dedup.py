@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import slices, texts_as_bytes
+from .common import slices, texts_as_bytes, trimmed
 from .exact_dedup import GEAR
 
 WIDTH, PERIOD, MINI = 100, 57, 16
@@ -402,7 +402,7 @@ def common_strings(base: DataFrame, documents: int, width: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["h"])
 
     part = base.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(max(1, documents // SAMPLE))) == 0).select("_text")
-    shared = part.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_IN).orderBy(F.desc("n"), "h").limit(COMMON).toArrow()
+    shared = part.mapInArrow(trimmed(run), "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_IN).orderBy(F.desc("n"), "h").limit(COMMON).toArrow()
     out = np.zeros(MARKS, bool)
     out[shared.column("h").to_numpy() & (MARKS - 1)] = True
     return out

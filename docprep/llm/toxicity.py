@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import drop_written, id_text, slices, written
+from .common import drop_written, id_text, slices, trimmed, written
 
 SAMPLE, ENTRIES, PREFIXES = 400_000, 5000, range(4, 9)
 LEAST_DOCUMENTS, LEAST_ODDS = 5, 3.0
@@ -93,7 +93,7 @@ def _counted(docs: DataFrame, count) -> DataFrame:
                     yield flush()
         yield flush()
 
-    return docs.select("_text", "_toxic").mapInArrow(run, "f string, pos long, neg long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return docs.select("_text", "_toxic").mapInArrow(trimmed(run), "f string, pos long, neg long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
 class Lexicon:
@@ -220,7 +220,7 @@ def with_scores(docs: DataFrame, text_col: str, weights: dict[str, float], excep
                 made = [1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * lexicon.rate(t or ""))))) for t in part.column(text_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.float64())], names=[*part.schema.names, score_col])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
+    return docs.mapInArrow(trimmed(run), StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_out_fold: int = 0, sample: int = SAMPLE, entries: int = ENTRIES) -> tuple[dict[str, float], list[str], tuple[float, float]]:
