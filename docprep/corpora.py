@@ -70,6 +70,14 @@ SELECT doc_id, concat(
   {_when(5, 0, "_TAIL_")}
 ) AS text FROM {{docs}}""".replace("_TAIL_", "concat('fin', chr(10), '```')").replace("'concat", "concat")
 
+#: Whole documents as files of three layers, which U+001E divides: text layer, extracted pages, what OCR would read ("!": the first reader fails).
+SCANS = """
+SELECT concat('f', CAST(doc_id AS VARCHAR(20)), '.pdf') AS file_name, doc_id % 7 AS kind, text AS whole, concat(
+  CASE WHEN doc_id % 7 IN (1, 2) THEN 'hoja' ELSE text END, chr(30),
+  CASE WHEN doc_id % 7 IN (1, 2) THEN 'hoja' WHEN doc_id % 7 IN (3, 4) THEN 'breve' WHEN doc_id % 7 = 5 THEN concat(text, chr(12), text) WHEN doc_id % 7 = 6 THEN 'uno dos tres' ELSE text END, chr(30),
+  CASE WHEN doc_id % 7 IN (2, 4) THEN '!' ELSE '' END, pages) AS content
+FROM (SELECT doc_id, text, replace(text, '. ', concat('.', chr(12))) AS pages FROM {docs}) x"""
+
 #: Parts as pages with small tables: neighbours of one brand share a header.
 PAGES = """
 SELECT concat('f', CAST(p_partkey % 40 AS VARCHAR(20))) AS file_name, CAST(p_partkey AS BIGINT) AS page_no,
@@ -101,6 +109,22 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(CHATS.replace("{join}", join), turns=table(spark, sf_dir, "conversations"))
 
 
+def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(SCANS, docs=table(spark, sf_dir, "documents")).selectExpr("file_name", "encode(content, 'UTF-8') AS content")
+
+
+def layer(k: int, marked: str = ""):
+    """The pages of the k-th layer of a file of ``scans``; fails if it begins with ``marked``."""
+
+    def read(content: bytes) -> list[str]:
+        found = content.decode().split("\x1e")[k]
+        if marked and found.startswith(marked):
+            raise ValueError("unreadable")
+        return found.lstrip("!").split("\f")
+
+    return read
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PAGES, parts=table(spark, sf_dir, "part"))
 
@@ -111,4 +135,4 @@ def checked(name: str) -> str:
         return CHATS.replace("{join}", f"string_agg(part, concat({_NL}, {_NL}, '---', {_NL}, {_NL}) ORDER BY turn)").replace("{turns}", "conversations")
     if name == "pages":
         return PAGES.replace("{parts}", "part")
-    return {"noisy": NOISY, "sections": _sections(False), "answers": ANSWERS, "documents": "SELECT doc_id, lang, source, text FROM {docs}"}[name].replace("{docs}", "documents")
+    return {"noisy": NOISY, "sections": _sections(False), "answers": ANSWERS, "scans": SCANS, "documents": "SELECT doc_id, lang, source, text FROM {docs}"}[name].replace("{docs}", "documents")

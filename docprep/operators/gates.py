@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from ..config import COMPLETE, HOUSE, House
 from ..functions.text import contains_any, count_words, let, occurrences, strip, words
 
+#: Fixed value: a page of a file that isn't scanned has so many words at least.
+SCANNED_WORDS = 30
 OCR_WORD = r"[A-Za-záéíóúñ]{2,}\d|\d[A-Za-záéíóúñ]{2,}"
 
 
-def scanned(pages: DataFrame, key: str = "file_name", text: str = "text", least: int = 30) -> DataFrame:
+def scanned(pages: DataFrame, key: str = "file_name", text: str = "text", least: int = SCANNED_WORDS) -> DataFrame:
     """FLT1: fewer than ``least`` words a page."""
     return pages.groupBy(key).agg(F.sum(count_words(F.col(text))).alias("n_words"), F.count("*").alias("n_pages")).withColumn("scanned", F.coalesce(F.try_divide("n_words", "n_pages") < least, F.lit(True)))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CELL_CHARS, TABLE_ROWS
-from ..functions.text import strip
+from ..functions.text import let, strip
 
 
 def _row(cells: Column) -> Column:
@@ -57,3 +57,22 @@ def with_page_tables(pages: DataFrame, tables: DataFrame, file: str = "file_name
     """TBL3, JN5: page texts with the rendered table of the page after them."""
     t = tables.select(file, page, F.col(table).alias("_t"))
     return pages.select(file, page, text).join(t, [file, page], "left").select(file, page, F.concat(F.col(text), F.coalesce(to_markdown(F.col("_t")), F.lit(""))).alias(text))
+
+
+def merge_in_row(tables: Column) -> Column:
+    """TBL2 by twos for the tables of one file as an array (null: a page without one): what a page before takes up becomes null."""
+
+    def header(i: Column) -> Column:
+        return F.get(F.get(tables, i), F.lit(0))
+
+    def place(seen: Column, i: Column) -> Column:
+        same = header(i).isNotNull() & header(i).eqNullSafe(header(i - 1))
+        return F.concat(seen, F.array(F.when(same, F.get(seen, i - 1) + 1).otherwise(F.lit(0))))
+
+    def merged(at: Column) -> Column:
+        follows = lambda i: F.coalesce(F.get(at, i) % 2 == 1, F.lit(False))
+        whole = lambda t, i: F.when(follows(i + 1), F.concat(t, F.slice(F.get(tables, i + 1), 2, 1 << 30))).otherwise(t)
+        return F.transform(tables, lambda t, i: F.when(~follows(i), whole(t, i)))
+
+    places = F.aggregate(F.sequence(F.lit(0), F.size(tables) - 1), F.expr("cast(array() as array<int>)"), place)
+    return F.when(F.size(tables) > 0, let(places, merged)).otherwise(tables)

@@ -2,31 +2,85 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import HOUSE, House
-from ..functions.text import count_words, n_words
-from ..operators import chunk, clean, deliver, diagnose, gates, validate
+from ..functions.text import count_words, let, n_words
+from ..operators import chunk, clean, deliver, diagnose, gates, tables, validate
 from ..operators.state import stem
-from ..sources.connectors import Backend, assemble_pages, call_model, extract_pages, offline, plain_pages
+from ..sources.connectors import Backend, Extractor, call_model, call_once, offline, page_arrays, plain_pages
 
 
-def convert(files: DataFrame, extractor=plain_pages) -> DataFrame:
-    """Stage 1: file_name, content -> file_name, text, method, raw_words, md_words, coverage, status, error."""
-    pages = extract_pages(files, extractor)
-    raw = pages.groupBy("file_name").agg(F.sum(count_words(F.col("text"))).alias("raw_words"), F.max("error").alias("error"))
-    docs = assemble_pages(pages).join(raw, "file_name").withColumn("text", clean.clean_markdown(F.col("text")))
-    docs = docs.withColumns({"method": F.lit("native"), "md_words": count_words(clean.text_only(F.col("text")))})
-    share = gates.coverage(F.lit(False), F.lit(0), F.lit(1), F.col("md_words"), F.col("raw_words"))
-    docs = docs.withColumn("coverage", F.round(share, 1))
-    return docs.withColumn("status", gates.rating(F.lit(False), F.col("coverage"), F.col("md_words"), F.col("error"))).drop("n_pages")
+def native_markdown(pages: Column) -> Column:
+    """SRC2, TBL1-3: page texts, each followed by its table; tables that continue on the next page are merged."""
+    merged = tables.merge_in_row(F.transform(pages, lambda p: p["first_table"]))
 
+    def with_table(text: Column, table: Column) -> Column:
+        return F.transform(F.array(tables.to_markdown(table)), lambda md: F.when(F.trim(md) != "", F.concat(text, F.lit("\n\n"), md)).otherwise(text))[0]
 
-def refine(docs: DataFrame, system: str = "", backend: Backend = offline, house: House = HOUSE, saved: DataFrame | None = None) -> DataFrame:
+    return let(merged, lambda found: F.array_join(F.transform(pages, lambda p, i: with_table(F.coalesce(p["text"], F.lit("")), F.get(found, i))), "\n\n"))
+
+
+def ocr_markdown(texts: Column, title: Column) -> Column:
+    """SRC7: a title, and cleaned page texts with a rule after each."""
+    return F.concat(F.lit("# "), title, F.lit("\n\n"), F.array_join(F.transform(texts, lambda t: F.concat(t, F.lit("\n\n---\n\n"))), ""))
+
+
+def convert(files: DataFrame, extractor: Extractor = plain_pages, raw: Extractor | None = None, vision: Extractor | None = None, local_ocr: Extractor | None = None) -> DataFrame:
+    """Stage 1: file_name, content -> file_name, text, method, raw_words, md_words, coverage, status, error.
+
+    extractor gives pages as Markdown, with tables if it finds any; raw gives the text
+    layer (by default as extractor does) against which coverage is measured. A
+    scanned file goes to vision, to local_ocr if that fails or isn't there, and to
+    extractor if neither is; a file with very low coverage is tried with OCR again,
+    and keeps its first text if that fails. Each file stays in its row: no step shuffles.
+    """
+    found = {"raw": raw or extractor, "native": extractor, "native_fallback": extractor}
+    found |= dict.fromkeys(("ocr_gemini", "ocr_gemini_retry"), vision) if vision else {}
+    found |= dict.fromkeys(("ocr_tess_fallback", "ocr", "ocr_retry"), local_ocr) if local_ocr else {}
+    second = "ocr_tess_fallback" if local_ocr else "native_fallback"
+    again = [m for m in ("ocr_gemini_retry", "ocr_retry") if m in found]
+
+    seen = page_arrays(files.select("file_name", "content", F.array(F.lit("raw")).alias("tries")), found)
+    layer = F.array_join(F.transform("pages", lambda p: F.coalesce(p["text"], F.lit(""))), "\n")
+    seen = seen.withColumns({"raw_words": F.coalesce(count_words(layer), F.lit(0)), "n_pages": F.size("pages"), "raw_error": F.col("error")})
+    scanned = F.coalesce(F.try_divide("raw_words", "n_pages") < gates.SCANNED_WORDS, F.lit(True))
+    start = gates.route(scanned, F.lit(vision is not None), F.lit(local_ocr is not None))
+    tries = F.when(F.col("raw_error").isNull(), F.when(start == "ocr_gemini", F.array(start, F.lit(second))).otherwise(F.array(start)))
+    docs = page_arrays(seen.select("file_name", "content", "raw_words", "raw_error", tries.alias("tries")), found)
+
+    def texts(d: DataFrame) -> DataFrame:
+        """Adds text, ok_pages and all_pages from pages and method."""
+        d = d.withColumns({"ocr": F.coalesce(F.startswith("method", F.lit("ocr")), F.lit(False)), "n_pages": F.coalesce(F.size("pages"), F.lit(0))})
+        d = d.withColumn("cleaned", F.when(F.col("ocr"), F.transform("pages", lambda p: clean.clean_markdown(F.coalesce(p["text"], F.lit(""))))))
+        text = F.when(F.col("ocr"), ocr_markdown(F.col("cleaned"), stem(F.col("file_name")))).otherwise(native_markdown(F.col("pages")))
+        return d.withColumns({"text": F.coalesce(text, F.lit("")), "ok_pages": F.coalesce(F.size(F.filter("cleaned", lambda t: gates.page_has_text(t))), F.lit(0))}).drop("cleaned", "pages")
+
+    docs = texts(docs)
+    if again:
+        before = gates.coverage(F.lit(False), F.lit(0), F.lit(1), count_words(clean.text_only(F.col("text"))), F.col("raw_words"))
+        low = gates.retry(count_words(F.col("text")), before, F.col("raw_words")) & F.col("error").isNull() & F.col("raw_error").isNull()
+        first = ("method", "error", "text", "ok_pages", "n_pages", "ocr")
+        docs = docs.select("file_name", "content", "raw_words", "raw_error", *(F.col(c).alias(f"first_{c}") for c in first), F.when(low, F.array(*map(F.lit, again))).alias("tries"))
+        docs = texts(page_arrays(docs, found))
+        better = F.col("tries").isNotNull() & F.col("error").isNull()
+        docs = docs.select("file_name", "raw_words", "raw_error", *(F.when(better, F.col(c)).otherwise(F.col(f"first_{c}")).alias(c) for c in first))
+    docs = docs.select("file_name", clean.clean_markdown(F.col("text")).alias("text"), F.coalesce("method", F.lit("error")).alias("method"), "raw_words", count_words(F.col("text")).alias("md_words"), "ocr", "ok_pages", "n_pages", F.coalesce("raw_error", "error").alias("error"))
+    share = F.round(gates.coverage(F.col("ocr"), F.col("ok_pages"), F.col("n_pages"), count_words(clean.text_only(F.col("text"))), F.col("raw_words")), 1)
+    docs = docs.withColumn("coverage", F.when(F.col("error").isNotNull(), 0.0).otherwise(share)).withColumn("status", gates.rating(F.col("ocr"), F.col("coverage"), F.col("md_words"), F.col("error")))
+    words = F.when(F.col("ocr"), F.col("n_pages")).otherwise(F.col("raw_words"))
+    return docs.select("file_name", "text", "method", words.cast("long").alias("raw_words"), "md_words", "coverage", "status", "error")
+
+
+ANSWER = ("content", "tokens_in", "tokens_out", "model", "error")
+
+
+def refine(docs: DataFrame, system: str = "", backend: Backend = offline, house: House = HOUSE, saved: DataFrame | None = None, state: str | None = None) -> DataFrame:
     """Stage 1.5: file_name, text -> file_name, text, status, reason, tokens. Clean documents never reach the model.
 
     saved: file_name, chunk_idx, content, tokens_in, tokens_out, model of chunks that need not be asked for again.
+    state: a folder in which answers are kept from run to run; with it no chunk is asked for twice.
     """
     judged = docs.select("file_name", "text").withColumn("reason", gates.refine_reason(F.col("text"), stem(F.col("file_name")), house))
     good = judged.where("reason = 'limpio'").select("file_name", "text", "reason", F.lit("COPY").alias("status"), F.lit(0).cast("long").alias("chunks"), F.lit(0).cast("long").alias("tokens_in"), F.lit(0).cast("long").alias("tokens_out"), F.lit(None).cast("string").alias("model"), F.lit(100.0).alias("retention_pct"))
@@ -36,7 +90,7 @@ def refine(docs: DataFrame, system: str = "", backend: Backend = offline, house:
     if saved is not None:
         kept = rows.select("file_name", "chunk_idx").join(saved, ["file_name", "chunk_idx"]).withColumn("error", F.lit(None).cast("string"))
         rows = rows.join(saved.select("file_name", "chunk_idx"), ["file_name", "chunk_idx"], "left_anti")
-    asked = call_model(rows, system, backend, retry_cut=False).select("file_name", "chunk_idx", "content", "tokens_in", "tokens_out", "model", "error")
+    asked = (call_once(rows, state, system, backend, retry_cut=False) if state else call_model(rows, system, backend, retry_cut=False)).select("file_name", "chunk_idx", *ANSWER)
     answers = asked if saved is None else asked.unionByName(kept.select(asked.columns))
     parts = F.transform(F.array_sort(F.collect_list(F.struct("chunk_idx", "content"))), lambda x: x["content"])
     folded = answers.groupBy("file_name").agg(parts.alias("p"), F.count("*").alias("chunks"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"), F.max_by("model", "chunk_idx").alias("model"), F.max("error").alias("error"))
@@ -46,8 +100,11 @@ def refine(docs: DataFrame, system: str = "", backend: Backend = offline, house:
     return good.unionByName(done.select(good.columns))
 
 
-def build(docs: DataFrame, system: str = "", backend: Backend = offline, project: str = "", date: str | None = None, strict: bool = False, house: House = HOUSE, model: str = "offline") -> DataFrame:
-    """Stage 2: file_name, text -> one row for each document with its final text, checks, price and parameters."""
+def build(docs: DataFrame, system: str = "", backend: Backend = offline, project: str = "", date: str | None = None, strict: bool = False, house: House = HOUSE, model: str = "offline", state: str | None = None) -> DataFrame:
+    """Stage 2: file_name, text -> one row for each document with its final text, checks, price and parameters.
+
+    state: as for refine.
+    """
     day = F.lit(date) if date else F.date_format(F.current_date(), "yyyy-MM-dd")
     cleaned = docs.select("file_name", clean.strip_needless(clean.preclean(F.col("text"))["text"])["text"].alias("text"))
     planned = diagnose.decide(diagnose.diagnose(cleaned))
@@ -56,7 +113,7 @@ def build(docs: DataFrame, system: str = "", backend: Backend = offline, project
     pieces = planned.select(*plan, chunk.tree(F.col("text")).alias("pieces"))
     rows = pieces.select(*plan, F.size("pieces").cast("long").alias("n_chunks"), F.posexplode("pieces").alias("chunk_idx", "chunk"))
     rows = rows.withColumns({"prompt": deliver.build_prompt(F.col("chunk"), F.lit(project), day, part), "max_tokens": deliver.max_tokens(F.col("chunk"))}).drop("chunk")
-    answers = call_model(rows, system, backend)
+    answers = call_once(rows, state, system, backend) if state else call_model(rows, system, backend)
     parts = F.transform(F.array_sort(F.collect_list(F.struct("chunk_idx", "content"))), lambda x: x["content"])
     same = [F.first(c).alias(c) for c in plan if c != "file_name"]
     made = answers.groupBy("file_name").agg(*same, parts.alias("p"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"), F.max_by("model", "chunk_idx").alias("model_used"), F.max("error").alias("error"))
@@ -70,11 +127,21 @@ def build(docs: DataFrame, system: str = "", backend: Backend = offline, project
     ).drop("split", "state")
 
 
-def run_all(files: DataFrame, skip_refine: bool = False, only: str | None = None, **options) -> DataFrame:
-    """PIP10: stages 1, 1.5 and 2; ``only`` stops after that stage ("1" or "1.5")."""
-    docs = convert(files)
+def run_all(files: DataFrame | None = None, skip_refine: bool = False, only: str | None = None, source: DataFrame | None = None, dry_run: bool = False, state: str | None = None, **options) -> DataFrame:
+    """PIP10: stages 1, 1.5 and 2; ``only`` stops after that stage ("1" or "1.5").
+
+    source: file_name, text of documents that are there already, for use where there
+    are no files. dry_run: what stage 2 would do with each document, and no call.
+    state: a folder for the answers of both stages.
+    """
+    docs = convert(files) if files is not None else source
+    if docs is None:
+        raise ValueError("files or source must be given")
     if only == "1":
         return docs
+    if dry_run:
+        planned = diagnose.decide(diagnose.diagnose(docs.select("file_name", clean.preclean(F.col("text"))["text"].alias("text"))))
+        return planned.select("file_name", "strategy", "project_type", "entity_len", F.floor(F.col("text_chars") / 4).cast("long").alias("tokens"), deliver.cost(F.lit(options.get("model", "offline")), F.floor(F.col("text_chars") / 4), F.floor(F.col("text_chars") / 4)).alias("cost"))
     if not skip_refine:
-        docs = refine(docs)
-    return docs if only == "1.5" else build(docs, **options)
+        docs = refine(docs, state=f"{state}/refine" if state else None)
+    return docs if only == "1.5" else build(docs, state=f"{state}/build" if state else None, **options)

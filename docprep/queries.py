@@ -548,7 +548,24 @@ add(
         || {NL} || 'top_k: ' || a || ', tokens: ' || b || ', contexto: ' || f AS report FROM de JOIN p ON p.kind = project_type""",
 )
 
-# --- whole stages with the offline backend ---------------------------------------------------------------------------
-
+# --- whole stages with readers and backends that need no network ---------------------------------------------------------------------------
+
+_PAGE_WORDS = f"list_sum(list_transform(string_split(whole, '. '), lambda p: CASE WHEN len({_W.format(t='p')}) >= 20 THEN 1 ELSE 0 END))"
+_READ = "'# ' || regexp_replace(file_name, '[.][^.]*$', '') || chr(10) || chr(10) || list_reduce(list_transform(string_split(replace(whole, '. ', '.' || chr(12)), chr(12)), lambda p: regexp_replace(p, '^\\s+|\\s+$', '', 'g') || chr(10) || chr(10) || '---' || chr(10) || chr(10)), lambda a, b: a || b)"
+_LAYER = "replace(string_split(content, chr(30))[2], chr(12), chr(10) || chr(10))"
+_CONVERTED = f"""f AS (SELECT *, {_LAYER} AS native, len({_W.format(t="string_split(content, chr(30))[1]")}) AS layer_words, len(string_split(content, chr(30))[1]) AS n, len(string_split(string_split(content, chr(30))[1], chr(12))) AS layer_pages FROM ({checked("scans")}) y),
+    m AS (SELECT *, layer_words / layer_pages < 30 AS scanned, len({_W.format(t="native")}) AS native_words FROM f),
+    r AS (SELECT *, CASE WHEN scanned AND kind IN (2, 4) THEN 'ocr_tess_fallback' WHEN scanned THEN 'ocr_gemini'
+          WHEN (native_words < 100 OR native_words * 100 < 10 * layer_words) AND layer_words > 500 THEN CASE WHEN kind IN (2, 4) THEN 'ocr_retry' ELSE 'ocr_gemini_retry' END ELSE 'native' END AS method FROM m),
+    made AS (SELECT *, len(string_split(whole, '. ')) AS n_read, {_PAGE_WORDS} AS ok, CASE WHEN method = 'native' THEN native ELSE {_READ} END AS t FROM r),
+    b AS (SELECT file_name AS doc_id, t AS text FROM made), {_CLEAN_CTE.replace(f"({checked('noisy')}) x", "b")}"""
+add(
+    "pip1_convert",
+    lambda s, d: stages.convert(corpora.scans(s, d), corpora.layer(1), corpora.layer(0), vision=corpora.layer(2, "!"), local_ocr=corpora.layer(2)).drop("error"),
+    f"""WITH {_CONVERTED},
+    v AS (SELECT file_name, s8.t AS text, method, CAST(CASE WHEN method = 'native' THEN layer_words ELSE n_read END AS BIGINT) AS raw_words, CAST(len({_W.format(t="made.t")}) AS BIGINT) AS md_words,
+          round(CASE WHEN method = 'native' THEN least(100.0::DOUBLE, CASE WHEN layer_words = 0 THEN 100 ELSE len({_W.format(t=_re("s8.t", "(?m)^[|][^" + chr(92) + "n]*[|]$"))}) / layer_words * 100 END) ELSE ok / n_read * 100 END, 1) AS coverage FROM made JOIN s8 ON s8.doc_id = file_name)
+    SELECT *, CASE WHEN md_words = 0 THEN 'VACIO' WHEN method <> 'native' AND coverage >= 80 THEN 'OCR_OK' WHEN method <> 'native' THEN 'OCR_PARCIAL' WHEN coverage >= 85 THEN 'OK' ELSE 'REVISAR' END AS status FROM v""",
+)
 add("pip6_refine", lambda s, d: stages.refine(corpora.noisy(s, d).select(F.concat("source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text")).drop("model"))
 add("pip7_build", lambda s, d: stages.build(corpora.chats(s, d).select(F.concat(F.lit("c"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text"), date="2026-01-01").select("file_name", "text", "status", "strategy", "project_type", "max_chars", "tokens_in", "tokens_out", F.round("cost", 9).alias("cost"), "n_issues", "gaps", "top_k"))

@@ -15,9 +15,9 @@ import urllib.request
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 Backend = Callable[[str, str, int], tuple[str, int, int, str]]
 RETRY_TOKENS = 32_000
@@ -86,6 +86,38 @@ def call_model(rows: DataFrame, system: str, backend: Backend = offline, retry_c
     return rows.mapInArrow(run, schema)
 
 
+#: Of an answer that is kept: its chunk, and a fingerprint of what was asked.
+_SAVED = "file_name string, chunk_idx long, asked long, content string, tokens_in long, tokens_out long, model string, truncated boolean, error string"
+
+
+def read_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """SRC15: the answers that ``call_once`` has kept; none where the folder isn't there. Parts that can't be read count as not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], _SAVED)
+    return spark.read.schema(_SAVED).option("ignoreCorruptFiles", True).parquet(folder)
+
+
+def call_once(rows: DataFrame, folder: str, system: str, backend: Backend = offline, retry_cut: bool = True, steps: int = 1) -> DataFrame:
+    """SNK7, JN3: as call_model, but answers are kept in ``folder`` (SNK7) and read back from there.
+
+    What has an answer, to the same question, isn't asked for again, whatever reads the
+    result how often; errors are asked for again by the next run. rows (file_name,
+    chunk_idx, prompt, max_tokens) are asked for in ``steps`` parts, each kept
+    before the next one begins, so that a run that ends early loses one part at most.
+    """
+    spark = rows.sparkSession
+    keys = ["file_name", "chunk_idx", "asked"]
+    rows = rows.withColumns({"chunk_idx": F.col("chunk_idx").cast("long"), "asked": F.xxhash64(F.lit(system), "prompt", "max_tokens")})
+    for k in range(steps):
+        part = rows.where(F.pmod(F.xxhash64("file_name", "chunk_idx"), F.lit(steps)) == k)
+        todo = part.join(read_answers(spark, folder).where("error IS NULL").select(*keys), keys, "left_anti")
+        made = call_model(todo.select(*keys, "prompt", "max_tokens"), system, backend, retry_cut)
+        made.drop("prompt", "max_tokens").write.mode("append").parquet(folder)
+    best = read_answers(spark, folder).groupBy(*keys).agg(F.min(F.struct(F.col("error").isNotNull().alias("failed"), "content", "tokens_in", "tokens_out", "model", "truncated", "error")).alias("a"))
+    return rows.join(best, keys).select(*(c for c in rows.columns if c != "asked"), *(F.col(f"a.{c}").alias(c) for c in ("content", "tokens_in", "tokens_out", "model", "truncated", "error")))
+
+
 def plain_pages(content: bytes) -> list[str]:
     """Stand-in page extractor: a text file with form feeds between pages."""
     return (content or b"").decode("utf-8", "replace").split("\f")
@@ -107,6 +139,41 @@ def extract_pages(files: DataFrame, extractor: Callable[[bytes], list[str]] = pl
     return files.select("file_name", "content").mapInArrow(run, "file_name string, page_no int, text string, error string")
 
 
+#: A page is its text, or its text and its tables, of which the first is kept.
+Page = str | tuple[str, list[list[list[str | None]]]]
+Extractor = Callable[[bytes], list[Page]]
+_PAGES = pa.list_(pa.struct([("text", pa.string()), ("first_table", pa.list_(pa.list_(pa.string())))]))
+
+
+def page_arrays(files: DataFrame, extractors: dict[str, Extractor]) -> DataFrame:
+    """SRC2, SRC4, SRC7: files (content, tries) with the columns pages, method and error; rows stay where they are.
+
+    tries names extractors in order; the first that doesn't fail gives the pages. If
+    all fail the error is the last one's, and the method ``error``. Without tries all three are null.
+    """
+    page = StructType().add("text", StringType()).add("first_table", ArrayType(ArrayType(StringType())))
+    schema = StructType([*files.schema.fields]).add("pages", ArrayType(page)).add("method", "string").add("error", "string")
+
+    def one(content: bytes | None, tries: list[str] | None) -> tuple[list[dict] | None, str | None, str | None]:
+        error = None
+        for method in tries or []:
+            try:
+                made = [(p, []) if isinstance(p, str) else p for p in extractors[method](content)]
+                return [{"text": t, "first_table": tables[0] if tables else None} for t, tables in made], method, None
+            except Exception as e:  # the next extractor's turn, or the row carries it
+                error = f"{type(e).__name__}: {e}"
+        return None, "error" if error else None, error
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                pages, method, error = one(row.column("content")[0].as_py(), row.column("tries")[0].as_py())
+                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([pages], _PAGES), pa.array([method], pa.string()), pa.array([error], pa.string())], names=schema.names)
+
+    return files.mapInArrow(run, schema)
+
+
 def assemble_pages(parts: DataFrame, separator: str = "\n\n") -> DataFrame:
     """SRC7, CHK7: page texts in order, by file."""
     pages = F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"])

@@ -1,5 +1,8 @@
 """Whole stages with offline, cutting and failing backends; files and streams."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from docprep.plans import stages
 from docprep.sources import connectors, files
 from docprep.streaming import incremental
@@ -55,8 +58,10 @@ def test_whole_chain_from_files(spark, tmp_path):
 
 def test_strict_decoding(spark, tmp_path):
     (tmp_path / "b.md").write_bytes(b"caf\xff")
-    got = files.decoded(files.read_bytes(spark, str(tmp_path), "*.md")).first().text
-    assert got == "caf�"
+    found = files.read_bytes(spark, str(tmp_path), "*.md")
+    assert files.decoded(found).first().text == "caf�"
+    with pytest.raises(Exception, match="UTF"):
+        files.decoded(found, strict=True).collect()
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
@@ -73,3 +78,92 @@ def test_stream_takes_each_file_once(spark, tmp_path):
 def test_export(spark, tmp_path):
     files.export_markdown(spark.createDataFrame([("x.md", "hola")], "file_final string, text string"), str(tmp_path / "o"))
     assert (tmp_path / "o" / "x.md").read_text() == "hola"
+
+
+def layered(k, marked=""):
+    def read(content):
+        text = content.decode().split("|")[k]
+        if marked and text.startswith(marked):
+            raise ValueError("unreadable")
+        return [(p, [[["A"], [p[:3]]]]) if p.startswith("tab") else p for p in text.lstrip("!").split("/")]
+
+    return read
+
+
+LONG, PAGE = "palabra " * 600, "palabra " * 40
+FILES = [
+    ("native", f"{PAGE}|{PAGE}|"), ("scan", f"x|x|{PAGE}/corta"), ("blurred", f"x|x|!{PAGE}"), ("low", f"{LONG}|breve|{PAGE}"), ("lowblurred", f"{LONG}|breve|!{PAGE}"),
+    ("broken", "x"), ("empty", "||"), ("tables", f"tab1 {PAGE}/tab2 {PAGE}|tab1 {PAGE}/tab2 {PAGE}|"),
+]
+
+
+@pytest.mark.parametrize(
+    ("vision", "local", "methods"),
+    [
+        (False, False, "native native_fallback native_fallback native native error native_fallback native"),
+        (False, True, "native ocr ocr ocr_retry ocr_retry error ocr native"),
+        (True, False, "native ocr_gemini native_fallback ocr_gemini_retry native error ocr_gemini native"),
+        (True, True, "native ocr_gemini ocr_tess_fallback ocr_gemini_retry ocr_retry error ocr_gemini native"),
+    ],
+)
+def test_conversion_takes_every_route(spark, vision, local, methods):
+    given = spark.createDataFrame([(f"{n}.pdf", c.encode()) for n, c in FILES], "file_name string, content binary")
+    out = stages.convert(given, layered(1), layered(0), vision=layered(2, "!") if vision else None, local_ocr=layered(2) if local else None)
+    rows = {r.file_name[:-4]: r for r in out.collect()}
+    assert [rows[n].method for n, _ in FILES] == methods.split()
+    assert rows["broken"].status == "ERROR" and rows["broken"].error.startswith("IndexError")
+    assert rows["tables"].text.count("| A |") == 1 and rows["tables"].text.index("| tab |") < rows["tables"].text.index("tab2 ")
+    if vision:
+        assert (rows["scan"].coverage, rows["scan"].status, rows["scan"].text[:7]) == (50.0, "OCR_PARCIAL", "# scan\n")
+
+
+def test_conversion_of_no_files(spark):
+    assert stages.convert(spark.createDataFrame([], "file_name string, content binary"), vision=layered(2)).collect() == []
+
+
+class Counted:
+    """Notes each call as a file, since calls are made in other processes."""
+
+    def __init__(self, folder, fail=""):
+        self.folder, self.fail = folder, fail
+
+    def __call__(self, system, user, max_tokens):
+        import uuid
+
+        (self.folder / uuid.uuid4().hex).touch()
+        if self.fail and self.fail in user:
+            raise TimeoutError("no answer")
+        return user.split("\n\n", 1)[-1] + ".", 10, 5, "m"
+
+
+def test_answers_are_kept_and_asked_for_once(spark, tmp_path):
+    calls, state = tmp_path / "calls", str(tmp_path / "state")
+    calls.mkdir()
+    docs = spark.createDataFrame([("a.md", "Ã" * 50 + " uno"), ("b.md", "Ã" * 50 + " dos")], "file_name string, text string")
+    first = stages.refine(docs, backend=Counted(calls, fail="dos"), state=state)
+    for _ in range(2):
+        assert {r.file_name: r.status for r in first.collect()}["b.md"] == "ERROR"
+    assert len(list(calls.iterdir())) == 2
+    second = stages.refine(docs, backend=Counted(calls), state=state)
+    assert {r.status for r in second.collect()} <= {"OK", "SIN_CAMBIO"} and len(list(calls.iterdir())) == 3
+    changed = docs.withColumn("text", F.concat("text", F.lit(" tres")))
+    assert all(r.text.endswith("tres.") for r in stages.refine(changed, backend=Counted(calls), state=state).collect()) and len(list(calls.iterdir())) == 5
+
+
+def test_answers_in_steps_and_a_part_that_cannot_be_read(spark, tmp_path):
+    state = tmp_path / "state"
+    rows = spark.createDataFrame([("a", k, f"p\n\n{k}", 4000) for k in range(9)], "file_name string, chunk_idx long, prompt string, max_tokens long")
+    assert sorted(r.content for r in connectors.call_once(rows, str(state), "", echo, steps=3).collect()) == [f"{k}." for k in range(9)]
+    broken = next(state.glob("*.parquet"))
+    broken.write_bytes(b"no parquet")
+    (state / f".{broken.name}.crc").unlink()
+    assert connectors.call_once(rows, str(state), "", echo).count() == 9
+
+
+def test_dry_run_and_source(spark):
+    docs = spark.createDataFrame([("a.md", "# Uno\n\nTexto.")], "file_name string, text string")
+    r = stages.run_all(source=docs, dry_run=True).first()
+    assert (r.strategy, r.tokens) == ("fixed", 3)
+    assert stages.run_all(source=docs, skip_refine=True, date="2026-01-01").count() == 1
+    with pytest.raises(ValueError, match="source"):
+        stages.run_all()
