@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,10 +29,39 @@ def fold_tokens(chunks: DataFrame, key: str = "file_name") -> DataFrame:
     return chunks.groupBy(key).agg(F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"), F.max_by("model", "chunk_idx").alias("model"), F.count("*").alias("n_chunks"))
 
 
+# Widths of the columns of reports.
+COVERAGE_WIDTHS = {"file_name": -40, "method": -16, "raw_words": 8, "md_words": 8, "coverage": 7}
+GLOBAL_WIDTHS = {"file_name": -25, "file_final": -35, "status": -8, "strategy": -10, "n_caveats": -8}
+
+
+def cell(text: Column, width: int) -> Column:
+    """A value in a column; a negative width aligns to the left. Longer values stay whole."""
+    pad = F.repeat(F.lit(" "), F.greatest(F.lit(0), F.abs(F.lit(width)) - F.length(text)))
+    return F.concat(text, pad) if width < 0 else F.concat(pad, text)
+
+
+def _row(values: list[Column], widths: dict[str, int], end: Column) -> Column:
+    return F.concat(F.array_join(F.array(*(cell(v, w) for v, w in zip(values, widths.values(), strict=True))), " "), end)
+
+
+def ordered(lines: DataFrame) -> DataFrame:
+    """SRT1: the lines of a report by section, file and their place in it; the sort is by range, so no task has them all."""
+    return lines.orderBy("section", "file_name", "pos")
+
+
 def coverage_lines(rows: DataFrame) -> DataFrame:
-    """SNK3: one line for each file."""
-    line = F.concat(F.rpad(F.substring("file_name", 1, 40), 42, " "), F.rpad("method", 14, " "), F.lpad(F.format_string("%.1f%%", "coverage"), 8, " "), F.lit("  "), F.col("status"))
-    return rows.select("file_name", line.alias("line"))
+    """SNK3: section, file_name, pos, line: head, one line for each file, and the counts of all.
+
+    rows: as from ``plans.stages.convert``.
+    """
+    name = F.substring("file_name", 1, 40)
+    line = _row([name, F.col("method"), F.col("raw_words").cast("string"), F.col("md_words").cast("string"), F.format_string("%.1f%%", F.col("coverage").cast("double"))], COVERAGE_WIDTHS, F.concat(F.lit("  "), F.col("status")))
+    body = rows.select(F.lit(1).alias("section"), "file_name", F.lit(0).alias("pos"), line.alias("line"))
+    titles = _row([F.lit(t) for t in ("Archivo", "Metodo", "Pal.PDF", "Pal.MD", "%")], COVERAGE_WIDTHS, F.lit("  Estado"))
+    counts = [x for s in ("OK", "OCR_OK", "OCR_PARCIAL", "REVISAR", "ERROR") for x in (F.lit(f" | {s}: "), F.count_if(F.col("status") == s).cast("string"))]
+    foot = rows.agg(F.concat(F.lit("Total: "), F.count("*").cast("string"), *counts).alias("line"), titles.alias("titles"))
+    ends = foot.select(F.posexplode(F.array("titles", "line")).alias("k", "line")).select((F.col("k") * 2).alias("section"), F.lit("").alias("file_name"), F.lit(0).alias("pos"), "line")
+    return body.unionByName(ends)
 
 
 def refine_lines(rows: DataFrame) -> DataFrame:
@@ -49,10 +78,38 @@ def caveat_counts(rows: DataFrame) -> DataFrame:
 
 
 def delivery_report(rows: DataFrame) -> DataFrame:
-    """SNK5: a short text for each delivered document, from the columns of ``plans.stages.build`` or a diagnosis with retrieval parameters."""
-    text = F.concat(
-        F.lit("Archivo: "), F.col("file_name"), F.lit("\nTipo: "), F.col("project_type"), F.lit("\nEstrategia: "), F.col("strategy"), F.lit("\nmax_chars / overlap / min_chunk_size: "),
-        F.concat_ws(" / ", F.col("max_chars").cast("string"), F.col("overlap").cast("string"), F.col("min_chunk_size").cast("string")),
-        F.lit("\ntop_k: "), F.col("top_k").cast("string"), F.lit(", tokens: "), F.col("tokens_total").cast("string"), F.lit(", contexto: "), F.col("context_messages").cast("string"),
-    )
-    return rows.select("file_name", text.alias("report"))
+    """SNK5: a text for each delivered document, from the columns of ``plans.stages.build``."""
+    parts = {
+        "ESTRATEGIA": (("Estrategia", F.col("strategy")), ("Razón", F.col("reason"))),
+        "FRAGMENTOS": tuple((n, F.col(n).cast("string")) for n in ("max_chars", "overlap", "min_chunk_size")),
+        "RECUPERACIÓN": (
+            ("Tipo", F.col("project_type")), ("Top-K", F.col("top_k").cast("string")), ("Tokens totales", F.col("tokens_total").cast("string")), ("Tokens por fragmento", F.col("tokens_chunk").cast("string")),
+            ("Umbral", F.format_string("%.2f", F.col("threshold").cast("double"))), ("Mensajes de contexto", F.col("context_messages").cast("string")),
+        ),
+        "VALIDACIÓN": (("Estado", F.col("status")), ("Incidencias", F.col("n_issues").cast("string"))),
+        "CONSUMO": (("Tokens de entrada", F.col("tokens_in").cast("string")), ("Tokens de salida", F.col("tokens_out").cast("string")), ("Coste", F.format_string("%.5f", F.col("cost").cast("double")))),
+    }
+    lines = [x for head, values in parts.items() for x in (F.lit(f"\n\n{head}"), *(F.concat(F.lit(f"\n  {k}: "), F.coalesce(v, F.lit("-"))) for k, v in values))]
+    return rows.select("file_name", F.concat(F.lit("INFORME DE ENTREGA: "), F.col("file_name"), *lines).alias("report"))
+
+
+def global_report(rows: DataFrame, catalogue: dict[str, str]) -> DataFrame:
+    """SNK6: section, file_name, pos, line of the report on a whole run; ``ordered`` puts them in order.
+
+    rows: file_name, file_final, status, strategy, cost, tokens_in, tokens_out, error,
+    caveat_ids, gaps. catalogue: what each caveat says. Sections: 1 the table (files that
+    failed show their error), 2 totals without those, 3 caveats by file, 4 gaps by file.
+    """
+    failed = F.col("status") == "ERROR"
+    n = F.size(F.coalesce("caveat_ids", F.array()))
+    line = _row([F.col("file_name"), F.coalesce("file_final", F.lit("")), F.col("status"), F.coalesce("strategy", F.lit("")), n.cast("string")], GLOBAL_WIDTHS, F.format_string(" %.5f", F.coalesce(F.col("cost").cast("double"), F.lit(0.0))))
+    error = F.concat(cell(F.col("file_name"), -25), F.lit(" ERROR: "), F.coalesce("error", F.lit("")))
+    table = rows.select(F.lit(1).alias("section"), "file_name", F.lit(0).alias("pos"), F.when(failed, error).otherwise(line).alias("line"))
+    sums = [F.coalesce(F.sum(F.when(~failed, F.col(c))), F.lit(0)) for c in ("tokens_in", "tokens_out", "cost")]
+    total = rows.agg(F.concat(F.lit("TOTAL: "), F.count("*").cast("string"), F.lit(" archivos, tokens "), sums[0].cast("string"), F.lit(" + "), sums[1].cast("string"), F.format_string(", coste %.4f", sums[2].cast("double"))).alias("line"))
+    total = total.select(F.lit(2).alias("section"), F.lit("").alias("file_name"), F.lit(0).alias("pos"), "line")
+    says = F.create_map(*(F.lit(x) for kv in catalogue.items() for x in kv))
+    shown = rows.where(~failed).select("file_name", "gaps", F.posexplode_outer("caveat_ids").alias("pos", "id"))
+    caveats = shown.where("id IS NOT NULL").select(F.lit(3).alias("section"), "file_name", "pos", F.concat(F.lit("["), F.col("id"), F.lit("] "), F.coalesce(F.try_element_at(says, F.col("id")), F.lit(""))).alias("line"))
+    gaps = rows.where(~failed & (F.col("gaps") != "")).select(F.lit(4).alias("section"), "file_name", F.posexplode(F.split("gaps", "\n")).alias("pos", "line"))
+    return table.unionByName(total).unionByName(caveats).unionByName(gaps)

@@ -514,10 +514,14 @@ add(
     "SELECT l_orderkey AS file_name, CAST(sum(l_partkey) AS BIGINT) AS tokens_in, CAST(sum(l_suppkey) AS BIGINT) AS tokens_out, arg_max(l_returnflag, l_linenumber * 1000000000000 + l_partkey * 100000 + l_suppkey) AS model, count(*) AS n_chunks FROM lineitem GROUP BY 1",
 )
 add("ag10_corpus_chars", lambda s, d: table(s, d, "documents").agg(F.floor(F.sum(F.length("text").cast("long")) / 4).cast("long").alias("tokens")), "SELECT CAST(sum(length(text)) // 4 AS BIGINT) AS tokens FROM documents")
+_N = "CAST(id % 5000 AS BIGINT)"
 add(
     "snk3_coverage_report",
-    lambda s, d: report.coverage_lines(_rates(s, d).select(F.concat(F.lit("f"), F.col("id").cast("string")).alias("file_name"), F.when(F.col("ocr"), "ocr").otherwise("native").alias("method"), F.round("coverage", 0).alias("coverage"), "status")),
-    f"WITH {_O_RATES} SELECT 'f' || id AS file_name, rpad('f' || id, 42, ' ') || rpad(CASE WHEN ocr THEN 'ocr' ELSE 'native' END, 14, ' ') || lpad(CAST(round(coverage, 0) AS INT) || '.0%', 8, ' ') || '  ' || status AS line FROM k",
+    lambda s, d: report.coverage_lines(_rates(s, d).select(F.concat(F.lit("f"), F.col("id").cast("string")).alias("file_name"), F.when(F.col("ocr"), "ocr").otherwise("native").alias("method"), F.expr(_N).alias("raw_words"), F.expr(f"{_N} * 3").alias("md_words"), F.round("coverage", 0).alias("coverage"), "status")).drop("pos"),
+    f"""WITH {_O_RATES}, b AS (SELECT 1 AS section, 'f' || id AS file_name, rpad('f' || id, 40, ' ') || ' ' || rpad(CASE WHEN ocr THEN 'ocr' ELSE 'native' END, 16, ' ') || ' ' || lpad(CAST({_N} AS VARCHAR), 8, ' ') || ' ' || lpad(CAST({_N} * 3 AS VARCHAR), 8, ' ')
+        || ' ' || lpad(CAST(round(coverage, 0) AS INT) || '.0%', 7, ' ') || '  ' || status AS line FROM k)
+    SELECT * FROM b UNION ALL SELECT 0, '', rpad('Archivo', 40, ' ') || ' ' || rpad('Metodo', 16, ' ') || '  Pal.PDF   Pal.MD       %  Estado'
+    UNION ALL SELECT 2, '', 'Total: ' || count(*) || {" || ".join(f"' | {x}: ' || count(*) FILTER (status = '{x}')" for x in ("OK", "OCR_OK", "OCR_PARCIAL", "REVISAR", "ERROR"))} FROM k""",
 )
 add(
     "snk4_refine_report",
@@ -540,12 +544,30 @@ add(
     lambda s, d: table(s, d, "documents").select("doc_id", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).cast("long").alias("i")),
     "SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents",
 )
+_MADE = "CAST(doc_id % 9 AS BIGINT) AS n_issues, CASE WHEN doc_id % 9 = 0 THEN 'OK' ELSE 'REVISAR' END AS status, CAST(doc_id % 7000 AS BIGINT) AS tokens_in, CAST(doc_id % 900 AS BIGINT) AS tokens_out, doc_id % 64 / 32 AS cost"
+_REASON = "CASE WHEN short_line_ratio > 0.60 THEN 'short_line_ratio=' || short_line_ratio || ' > 0.60' WHEN n_headings + n_separators < 3 THEN n_headings || ' headings + ' || n_separators || ' separators' WHEN avg_section_len >= 3 * max_chars THEN 'avg_section_len=' || avg_section_len || ' >= 3 x max_chars=' || 3 * max_chars ELSE (n_headings + n_separators) || ' markers' END"
+_FIELDS = (
+    ("ESTRATEGIA", (("Estrategia", "strategy"), ("Razón", _REASON))), ("FRAGMENTOS", (("max_chars", "max_chars"), ("overlap", "overlap"), ("min_chunk_size", "min_chunk_size"))),
+    ("RECUPERACIÓN", (("Tipo", "project_type"), ("Top-K", "a"), ("Tokens totales", "b"), ("Tokens por fragmento", "c"), ("Umbral", "printf('%.2f', e::DOUBLE)"), ("Mensajes de contexto", "f"))),
+    ("VALIDACIÓN", (("Estado", "status"), ("Incidencias", "n_issues"))), ("CONSUMO", (("Tokens de entrada", "tokens_in"), ("Tokens de salida", "tokens_out"), ("Coste", "printf('%.5f', cost::DOUBLE)"))),
+)
 add(
     "snk5_delivery_report",
-    lambda s, d: report.delivery_report(diagnose.decide(diagnose.diagnose(corpora.sections(s, d))).withColumn("file_name", F.col("doc_id").cast("string")).withColumns(deliver.retrieval(F.col("project_type")))),
-    f"""WITH {_structure("sections")}, p(kind, a, b, c, e, f) AS (VALUES {_RET})
-    SELECT CAST(doc_id AS VARCHAR) AS file_name, 'Archivo: ' || doc_id || {NL} || 'Tipo: ' || project_type || {NL} || 'Estrategia: ' || strategy || {NL} || 'max_chars / overlap / min_chunk_size: ' || max_chars || ' / ' || overlap || ' / ' || min_chunk_size
-        || {NL} || 'top_k: ' || a || ', tokens: ' || b || ', contexto: ' || f AS report FROM de JOIN p ON p.kind = project_type""",
+    lambda s, d: report.delivery_report(diagnose.decide(diagnose.diagnose(corpora.sections(s, d))).withColumn("file_name", F.col("doc_id").cast("string")).withColumns(deliver.retrieval(F.col("project_type"))).selectExpr("*", *_MADE.split(", "))),
+    f"""WITH {_structure("sections")}, p(kind, a, b, c, e, f) AS (VALUES {_RET}), made AS (SELECT *, {_MADE} FROM de JOIN p ON p.kind = project_type)
+    SELECT CAST(doc_id AS VARCHAR) AS file_name, 'INFORME DE ENTREGA: ' || doc_id || {" || ".join(f"{NL} || {NL} || '{h}'" + "".join(f" || {NL} || '  {k}: ' || {v}" for k, v in vs) for h, vs in _FIELDS)} AS report FROM made""",
+)
+_SAYS = {"caveat_fluor": "flúor", "caveat_atlantico": "travesía", "caveat_metadatos_bloque": "metadatos", "caveat_notas_proceso": "notas"}
+_RUN_ROWS = "SELECT concat('d', CAST(doc_id AS VARCHAR(20)), '.md') AS file_name, concat('0_d', CAST(doc_id AS VARCHAR(20)), '_v1.md') AS file_final, CASE WHEN doc_id % 17 = 0 THEN 'ERROR' WHEN doc_id % 3 = 0 THEN 'REVISAR' ELSE 'OK' END AS status, CASE WHEN doc_id % 2 = 0 THEN 'fixed' ELSE 'semantic' END AS strategy, doc_id % 64 / 16 AS cost, CAST(doc_id % 7000 AS BIGINT) AS tokens_in, CAST(doc_id % 900 AS BIGINT) AS tokens_out, CASE WHEN doc_id % 17 = 0 THEN 'sin respuesta' END AS error"
+add(
+    "snk6_global_report",
+    lambda s, d: report.global_report(s.sql(_RUN_ROWS + ", text FROM {docs}", docs=corpora.answers(s, d)).withColumns({"caveat_ids": gates.caveats(F.col("text")), "gaps": clean.split_gaps(F.col("text"))["gaps"]}), _SAYS),
+    f"""WITH d AS (SELECT *, doc_id AS k, text AS t, instr(lower(text), '## lagunas detectadas') AS p0 FROM ({checked("answers")}) x), r AS ({_RUN_ROWS}, t, list_filter([{_CAV}], lambda x: x IS NOT NULL) AS ids, CASE WHEN p0 = 0 THEN '' ELSE {_strip("substr(t, p0 + 22)")} END AS gaps FROM d),
+    c AS (SELECT file_name, generate_subscripts(ids, 1) - 1 AS pos, unnest(ids) AS id FROM r WHERE status <> 'ERROR'), g AS (SELECT file_name, generate_subscripts(string_split(gaps, {NL}), 1) - 1 AS pos, unnest(string_split(gaps, {NL})) AS line FROM r WHERE status <> 'ERROR' AND gaps <> '')
+    SELECT 1 AS section, file_name, 0 AS pos, CASE WHEN status = 'ERROR' THEN rpad(file_name, CAST(greatest(25, length(file_name)) AS INT), ' ') || ' ERROR: ' || error ELSE rpad(file_name, CAST(greatest(25, length(file_name)) AS INT), ' ') || ' ' || rpad(file_final, CAST(greatest(35, length(file_final)) AS INT), ' ') || ' ' || rpad(status, 8, ' ') || ' ' || rpad(strategy, 10, ' ') || ' ' || rpad(CAST(len(ids) AS VARCHAR), 8, ' ') || printf(' %.5f', cost::DOUBLE) END AS line FROM r
+    UNION ALL SELECT 2, '', 0, 'TOTAL: ' || count(*) || ' archivos, tokens ' || CAST(coalesce(sum(tokens_in) FILTER (status <> 'ERROR'), 0) AS BIGINT) || ' + ' || CAST(coalesce(sum(tokens_out) FILTER (status <> 'ERROR'), 0) AS BIGINT) || printf(', coste %.4f', coalesce(sum(cost) FILTER (status <> 'ERROR'), 0)::DOUBLE) FROM r
+    UNION ALL SELECT 3, file_name, pos, '[' || id || '] ' || CASE id {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _SAYS.items())} ELSE '' END FROM c
+    UNION ALL SELECT 4, file_name, pos, line FROM g""",
 )
 
 # --- whole stages with readers and backends that need no network ---------------------------------------------------------------------------

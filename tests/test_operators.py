@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from docprep.operators import chunk, deliver, diagnose, gates, tables, validate
+from docprep.operators import chunk, deliver, diagnose, gates, report, tables, validate
 from docprep.operators.state import pending, upsert
 
 
@@ -95,3 +95,14 @@ def test_pending_and_upsert(spark):
     assert {r[0] for r in pending(docs, state).collect()} == {"b", "c"}
     assert pending(docs, state, force=True).count() == 3
     assert {tuple(r) for r in upsert(state, spark.createDataFrame([("b", "OK")], state.schema), ["file_name"]).collect()} == {("a", "OK"), ("b", "OK")}
+
+
+def test_global_report_in_order(spark):
+    kind = "file_name string, file_final string, status string, strategy string, cost double, tokens_in long, tokens_out long, error string, caveat_ids array<string>, gaps string"
+    rows = [("b.md", "1_b.md", "OK", "fixed", 0.5, 3, 4, None, ["c1", "c9"], "uno\ndos"), ("a.md", None, "ERROR", None, None, None, None, "no answer", None, None)]
+    got = [(r.section, r.line) for r in report.ordered(report.global_report(spark.createDataFrame(rows, kind), {"c1": "water"})).collect()]
+    assert [s for s, _ in got] == [1, 1, 2, 3, 3, 4, 4]
+    assert got[0][1].split() == ["a.md", "ERROR:", "no", "answer"] and got[1][1].split() == ["b.md", "1_b.md", "OK", "fixed", "2", "0.50000"]
+    assert [x for _, x in got[2:]] == ["TOTAL: 2 archivos, tokens 3 + 4, coste 0.5000", "[c1] water", "[c9] ", "uno", "dos"]
+    empty = report.global_report(spark.createDataFrame([], kind), {"c1": "water"}).collect()
+    assert [r.line for r in empty] == ["TOTAL: 0 archivos, tokens 0 + 0, coste 0.0000"]
