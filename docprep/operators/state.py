@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .gates import complete
@@ -54,6 +54,22 @@ def incremental_by_containment(sources: DataFrame, outputs: DataFrame) -> DataFr
     return joined.select("file_name", "mtime", F.col("_hit.out_name").alias("matched"), action.alias("action"))
 
 
+def ordinals(rows: DataFrame, key: str = "file_name", buckets: int = 200, name: str = "i") -> DataFrame:
+    """WIN7, SRT1: rows numbered 1..n in the order of ``key``, nulls first; rows with one key are numbered in any order.
+
+    ``buckets`` ranges of keys, bounded by the keys with the least hashes, are numbered
+    side by side; the rows before each range are added from their counts, of which there are as many as buckets.
+    """
+    k = F.col(key)
+    edges = sorted(r[0] for r in rows.where(k.isNotNull()).select(key).distinct().orderBy(F.xxhash64(k), k).limit(buckets - 1).collect())
+    bounds = F.array(*map(F.lit, edges))
+    dealt = rows.withColumn("_bucket", F.coalesce(F.size(F.filter(bounds, lambda e: e < k)), F.lit(0)) if edges else F.lit(0))
+    counts = dealt.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).drop("_n")
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(k))
+    return dealt.withColumn("_place", place).join(F.broadcast(before), "_bucket").withColumn(name, F.col("_before") + F.col("_place")).drop("_bucket", "_place", "_before")
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """SNK7, SET1: old rows without a new one of their key, and the new ones."""
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import config, corpora
@@ -541,8 +541,8 @@ add(
 )
 add(
     "win7_file_ordinal",
-    lambda s, d: table(s, d, "documents").select("doc_id", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).cast("long").alias("i")),
-    "SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents",
+    lambda s, d: state.ordinals(state.pending(_files(s, d).select("file_name"), _files(s, d))),
+    f"WITH {_O_FILES} SELECT file_name, row_number() OVER (ORDER BY file_name) AS i FROM f WHERE NOT coalesce(file_status IN ('OK', 'CHUNKED', 'COPY', 'SIN_CAMBIO'), false)",
 )
 _MADE = "CAST(doc_id % 9 AS BIGINT) AS n_issues, CASE WHEN doc_id % 9 = 0 THEN 'OK' ELSE 'REVISAR' END AS status, CAST(doc_id % 7000 AS BIGINT) AS tokens_in, CAST(doc_id % 900 AS BIGINT) AS tokens_out, doc_id % 64 / 32 AS cost"
 _REASON = "CASE WHEN short_line_ratio > 0.60 THEN 'short_line_ratio=' || short_line_ratio || ' > 0.60' WHEN n_headings + n_separators < 3 THEN n_headings || ' headings + ' || n_separators || ' separators' WHEN avg_section_len >= 3 * max_chars THEN 'avg_section_len=' || avg_section_len || ' >= 3 x max_chars=' || 3 * max_chars ELSE (n_headings + n_separators) || ' markers' END"

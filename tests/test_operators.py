@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from docprep.operators import chunk, deliver, diagnose, gates, report, tables, validate
-from docprep.operators.state import pending, upsert
+from docprep.operators.state import ordinals, pending, upsert
 
 
 def col(spark, values, kind="string"):
@@ -106,3 +106,12 @@ def test_global_report_in_order(spark):
     assert [x for _, x in got[2:]] == ["TOTAL: 2 archivos, tokens 3 + 4, coste 0.5000", "[c1] water", "[c9] ", "uno", "dos"]
     empty = report.global_report(spark.createDataFrame([], kind), {"c1": "water"}).collect()
     assert [r.line for r in empty] == ["TOTAL: 0 archivos, tokens 0 + 0, coste 0.0000"]
+
+
+def test_ordinals(spark):
+    keys = [None, None, "a", "b", "b", "ñ", *(f"k{i}" for i in range(50))]
+    want = sorted(keys, key=lambda k: (k is not None, (k or "").encode()))
+    for buckets in (1, 2, 7, 200):
+        got = sorted((r.i, r.t) for r in ordinals(col(spark, keys), "t", buckets).collect())
+        assert [i for i, _ in got] == list(range(1, len(keys) + 1)) and [k for _, k in got] == want
+    assert ordinals(col(spark, []), "t").collect() == []
