@@ -65,10 +65,13 @@ class House:
 
     running_header: str = "boletín del archivo"
     brand: str = "Archivo"
+    #: What each caveat says in reports.
+    notes: dict[str, str] = field(default_factory=dict, hash=False)
 
     @property
     def caveats(self) -> dict[str, tuple[str, ...]]:
         """Caveat -> patterns, any of which shows it; matched in lower case."""
+        # The patterns of each caveat.
         return {
             "caveat_fluor": ("fluoruro", "flúor", "fluorosis"),
             "caveat_momias_intencional": ("momificación intencional", "proceso deliberado de momificación", "momificaron intencionalmente"),

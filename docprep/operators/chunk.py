@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CHUNK_CHARS, FIXED_CHARS, OVERLAP_WORDS, WINDOW_FROM, WINDOW_WORDS
-from ..functions.text import let, strip, words
+from ..functions.text import WHITE, let, strip, words
+
+#: Fixed value: what stands between the refined parts of a document.
+RULE = "\n\n---\n\n"
 
 
 def _nonblank(parts: Column) -> Column:
@@ -72,3 +75,39 @@ def reassemble(rows: DataFrame, key: str = "doc_id", separator: str = "\n\n", dr
     """CHK7: chunks in their order, joined."""
     parts = F.transform(F.array_sort(F.collect_list(F.struct("chunk_idx", text))), lambda x: x[text])
     return rows.groupBy(key).agg(parts.alias("parts")).select(key, F.array_join(F.filter("parts", lambda p: p != "") if drop_empty else F.col("parts"), separator).alias("text"))
+
+
+def join_parts(parts: Column) -> Column:
+    """CHK7: parts that aren't empty, with a rule between them."""
+    return F.array_join(F.filter(parts, lambda p: p != ""), RULE)
+
+
+def border(a: Column, b: Column, most: int) -> Column:
+    """How many words, at most ``most``, the end of ``a`` and the beginning of ``b`` (arrays of words) have in common; the longest such border.
+
+    Only where b's first word stands in a's end are the words compared.
+    """
+    n = F.least(F.lit(most), F.size(a), F.size(b))
+    fits = F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), n)), lambda k: (k <= n) & (F.get(a, F.size(a) - k) == F.get(b, F.lit(0))) & (F.slice(a, F.size(a) - k + 1, k) == F.slice(b, F.lit(1), k)))
+    return F.coalesce(F.array_max(fits), F.lit(0))
+
+
+def join_windows(parts: Column, most: int = OVERLAP_WORDS) -> Column:
+    """CHK7 after CHK6: parts without the words that the part before ends with already; a rule where two parts have nothing in common.
+
+    Windows put together again give their text's words, each once. White space within parts stays.
+    """
+
+    def without(p: Column, k: Column) -> Column:
+        return F.regexp_replace(p, F.concat(F.lit(rf"\A{WHITE}*+(?:[^{WHITE[1:-1]}]++{WHITE}*+){{"), k.cast("string"), F.lit("}")), F.lit(""))
+
+    def piece(kept: Column, own: Column, p: Column, i: Column) -> Column:
+        def after(k: Column) -> Column:
+            return F.when(k == 0, F.concat(F.lit(RULE), p)).otherwise(let(without(p, k), lambda rest: F.when(rest == "", "").otherwise(F.concat(F.lit(" "), rest))))
+
+        return F.when(i == 0, p).otherwise(let(border(F.get(own, i - 1), F.get(own, i), most), after))
+
+    def joined(kept: Column) -> Column:
+        return let(F.transform(kept, words), lambda own: F.array_join(F.transform(kept, lambda p, i: piece(kept, own, p, i)), ""))
+
+    return let(F.filter(parts, lambda p: p != ""), joined)

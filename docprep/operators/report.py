@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+#: States of files in the stages' rows.
+STATES = ("OK", "OCR_OK", "OCR_PARCIAL", "REVISAR", "VACIO", "CHUNKED", "COPY", "SIN_CAMBIO", "ERROR")
+
 
 def coverage_summary(rows: DataFrame) -> DataFrame:
     """AG5"""
@@ -65,20 +71,47 @@ def coverage_lines(rows: DataFrame) -> DataFrame:
 
 
 def refine_lines(rows: DataFrame) -> DataFrame:
-    """SNK4: one line for each file and the total of all."""
-    both = rows.groupBy("file_name").agg(F.sum("tokens_in").alias("i"), F.sum("tokens_out").alias("o"), F.min("status").alias("s"))
-    total = rows.agg(F.lit("TOTAL").alias("file_name"), F.sum("tokens_in").alias("i"), F.sum("tokens_out").alias("o"), F.lit("").alias("s"))
-    d = both.unionByName(total)
+    """SNK4: one line for each file and the total of all, from one scan: ``rollup`` adds the total to the sums by file. No rows give no total."""
+    d = rows.rollup("file_name").agg(F.grouping_id().alias("total"), F.sum("tokens_in").alias("i"), F.sum("tokens_out").alias("o"), F.min("status").alias("s"))
+    d = d.select(F.when(F.col("total") == 1, "TOTAL").otherwise(F.col("file_name")).alias("file_name"), "i", "o", F.when(F.col("total") == 1, "").otherwise(F.col("s")).alias("s"))
     return d.select("file_name", F.concat(F.rpad(F.substring("file_name", 1, 40), 42, " "), F.lpad(F.col("i").cast("string"), 12, " "), F.lpad(F.col("o").cast("string"), 12, " "), F.lit("  "), F.col("s")).alias("line"))
 
 
+class Run:
+    """Counts, sums, date and elapsed time of a run, taken while its rows pass by: no scan of its own.
+
+    ``watch`` gives the rows to write; when they are written, ``metrics`` has the figures, as one row.
+    """
+
+    def __init__(self, name: str = "run") -> None:
+        self.seen, self.began, self.clock = Observation(name), datetime.now(timezone.utc), time.monotonic()
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        """rows: as from ``plans.stages.build`` or ``refine``; columns that they lack count as nothing."""
+        ok = (F.col("error").isNull() if "error" in rows.columns else F.lit(True)) & (F.col("status") != "ERROR")
+        sums = [F.coalesce(F.sum(F.when(ok, F.col(c))), F.lit(0)).alias(c) if c in rows.columns else F.lit(0).alias(c) for c in ("tokens_in", "tokens_out", "cost")]
+        states = F.map_from_arrays(*(F.array(*x) for x in zip(*((F.lit(s), F.count_if(F.col("status") == s)) for s in STATES), strict=True)))
+        return rows.observe(self.seen, F.count("*").alias("n_files"), F.count_if(~ok).alias("n_errors"), *sums, states.alias("states"))
+
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        """run_date, n_files, n_errors, tokens_in, tokens_out, cost, states (map), elapsed_s. Waits until the watched rows have been written."""
+        got = self.seen.get
+        row = (self.began.strftime("%Y-%m-%d"), got["n_files"], got["n_errors"], int(got["tokens_in"]), int(got["tokens_out"]), float(got["cost"]), {k: v for k, v in dict(got["states"]).items() if v}, round(time.monotonic() - self.clock, 1))
+        return spark.createDataFrame([row], "run_date string, n_files long, n_errors long, tokens_in long, tokens_out long, cost double, states map<string,long>, elapsed_s double")
+
+
 def caveat_counts(rows: DataFrame) -> DataFrame:
     """SNK6: files by caveat."""
     return rows.select("file_name", F.explode("caveat_ids").alias("caveat_id")).groupBy("caveat_id").agg(F.count_distinct("file_name").alias("n_files"), F.min("file_name").alias("first_file"))
 
 
-def delivery_report(rows: DataFrame) -> DataFrame:
-    """SNK5: a text for each delivered document, from the columns of ``plans.stages.build``."""
+def _says(catalogue: dict[str, str], caveat: Column) -> Column:
+    text = F.try_element_at(F.create_map(*(F.lit(x) for kv in catalogue.items() for x in kv)), caveat) if catalogue else F.lit("")
+    return F.concat(F.lit("["), caveat, F.lit("] "), F.coalesce(text, F.lit("")))
+
+
+def delivery_text(name: str = "file_name", gaps: Column | None = None, caveats: Column | None = None, catalogue: dict[str, str] | None = None) -> Column:
+    """SNK5: the report on a delivered document, from the columns of ``plans.stages.build``; what it lacks and the caveats it shows come last, if there are any."""
     parts = {
         "ESTRATEGIA": (("Estrategia", F.col("strategy")), ("Razón", F.col("reason"))),
         "FRAGMENTOS": tuple((n, F.col(n).cast("string")) for n in ("max_chars", "overlap", "min_chunk_size")),
@@ -90,7 +123,18 @@ def delivery_report(rows: DataFrame) -> DataFrame:
         "CONSUMO": (("Tokens de entrada", F.col("tokens_in").cast("string")), ("Tokens de salida", F.col("tokens_out").cast("string")), ("Coste", F.format_string("%.5f", F.col("cost").cast("double")))),
     }
     lines = [x for head, values in parts.items() for x in (F.lit(f"\n\n{head}"), *(F.concat(F.lit(f"\n  {k}: "), F.coalesce(v, F.lit("-"))) for k, v in values))]
-    return rows.select("file_name", F.concat(F.lit("INFORME DE ENTREGA: "), F.col("file_name"), *lines).alias("report"))
+    if gaps is not None:
+        lines.append(F.when(F.coalesce(gaps, F.lit("")) != "", F.concat(F.lit("\n\nLAGUNAS\n"), gaps)).otherwise(""))
+    if caveats is not None:
+        found = F.coalesce(caveats, F.array().cast("array<string>"))
+        said = F.array_join(F.transform(found, lambda c: F.concat(F.lit("\n  - "), _says(catalogue or {}, c))), "")
+        lines.append(F.when(F.size(found) > 0, F.concat(F.format_string("\n\nADVERTENCIAS (%d)", F.size(found)), said)).otherwise(""))
+    return F.concat(F.lit("INFORME DE ENTREGA: "), F.col(name), *lines)
+
+
+def delivery_report(rows: DataFrame, catalogue: dict[str, str] | None = None) -> DataFrame:
+    """SNK5: a text for each delivered document."""
+    return rows.select("file_name", delivery_text("file_name", F.col("gaps"), F.col("caveat_ids"), catalogue).alias("report"))
 
 
 def global_report(rows: DataFrame, catalogue: dict[str, str]) -> DataFrame:
@@ -108,8 +152,7 @@ def global_report(rows: DataFrame, catalogue: dict[str, str]) -> DataFrame:
     sums = [F.coalesce(F.sum(F.when(~failed, F.col(c))), F.lit(0)) for c in ("tokens_in", "tokens_out", "cost")]
     total = rows.agg(F.concat(F.lit("TOTAL: "), F.count("*").cast("string"), F.lit(" archivos, tokens "), sums[0].cast("string"), F.lit(" + "), sums[1].cast("string"), F.format_string(", coste %.4f", sums[2].cast("double"))).alias("line"))
     total = total.select(F.lit(2).alias("section"), F.lit("").alias("file_name"), F.lit(0).alias("pos"), "line")
-    says = F.create_map(*(F.lit(x) for kv in catalogue.items() for x in kv))
     shown = rows.where(~failed).select("file_name", "gaps", F.posexplode_outer("caveat_ids").alias("pos", "id"))
-    caveats = shown.where("id IS NOT NULL").select(F.lit(3).alias("section"), "file_name", "pos", F.concat(F.lit("["), F.col("id"), F.lit("] "), F.coalesce(F.try_element_at(says, F.col("id")), F.lit(""))).alias("line"))
+    caveats = shown.where("id IS NOT NULL").select(F.lit(3).alias("section"), "file_name", "pos", _says(catalogue, F.col("id")).alias("line"))
     gaps = rows.where(~failed & (F.col("gaps") != "")).select(F.lit(4).alias("section"), "file_name", F.posexplode(F.split("gaps", "\n")).alias("pos", "line"))
     return table.unionByName(total).unionByName(caveats).unionByName(gaps)

@@ -544,6 +544,7 @@ add(
     lambda s, d: state.ordinals(state.pending(_files(s, d).select("file_name"), _files(s, d))),
     f"WITH {_O_FILES} SELECT file_name, row_number() OVER (ORDER BY file_name) AS i FROM f WHERE NOT coalesce(file_status IN ('OK', 'CHUNKED', 'COPY', 'SIN_CAMBIO'), false)",
 )
+_LACKS = "CASE WHEN doc_id % 4 = 1 THEN concat('- uno', chr(10), '- dos') ELSE '' END AS gaps; CASE WHEN doc_id % 3 = 0 THEN split('caveat_fluor,caveat_x', ',') WHEN doc_id % 3 = 1 THEN split('caveat_fluor', ',') END AS caveat_ids"
 _MADE = "CAST(doc_id % 9 AS BIGINT) AS n_issues, CASE WHEN doc_id % 9 = 0 THEN 'OK' ELSE 'REVISAR' END AS status, CAST(doc_id % 7000 AS BIGINT) AS tokens_in, CAST(doc_id % 900 AS BIGINT) AS tokens_out, doc_id % 64 / 32 AS cost"
 _REASON = "CASE WHEN short_line_ratio > 0.60 THEN 'short_line_ratio=' || short_line_ratio || ' > 0.60' WHEN n_headings + n_separators < 3 THEN n_headings || ' headings + ' || n_separators || ' separators' WHEN avg_section_len >= 3 * max_chars THEN 'avg_section_len=' || avg_section_len || ' >= 3 x max_chars=' || 3 * max_chars ELSE (n_headings + n_separators) || ' markers' END"
 _FIELDS = (
@@ -553,9 +554,11 @@ _FIELDS = (
 )
 add(
     "snk5_delivery_report",
-    lambda s, d: report.delivery_report(diagnose.decide(diagnose.diagnose(corpora.sections(s, d))).withColumn("file_name", F.col("doc_id").cast("string")).withColumns(deliver.retrieval(F.col("project_type"))).selectExpr("*", *_MADE.split(", "))),
-    f"""WITH {_structure("sections")}, p(kind, a, b, c, e, f) AS (VALUES {_RET}), made AS (SELECT *, {_MADE} FROM de JOIN p ON p.kind = project_type)
-    SELECT CAST(doc_id AS VARCHAR) AS file_name, 'INFORME DE ENTREGA: ' || doc_id || {" || ".join(f"{NL} || {NL} || '{h}'" + "".join(f" || {NL} || '  {k}: ' || {v}" for k, v in vs) for h, vs in _FIELDS)} AS report FROM made""",
+    lambda s, d: report.delivery_report(diagnose.decide(diagnose.diagnose(corpora.sections(s, d))).withColumn("file_name", F.col("doc_id").cast("string")).withColumns(deliver.retrieval(F.col("project_type"))).selectExpr("*", *_MADE.split(", "), *_LACKS.split("; ")), {"caveat_fluor": "flúor"}),
+    f"""WITH {_structure("sections")}, p(kind, a, b, c, e, f) AS (VALUES {_RET}), made AS (SELECT *, {_MADE}, {_LACKS.replace(";", ",")} FROM de JOIN p ON p.kind = project_type)
+    SELECT CAST(doc_id AS VARCHAR) AS file_name, 'INFORME DE ENTREGA: ' || doc_id || {" || ".join(f"{NL} || {NL} || '{h}'" + "".join(f" || {NL} || '  {k}: ' || {v}" for k, v in vs) for h, vs in _FIELDS)}
+        || CASE WHEN gaps = '' THEN '' ELSE {NL} || {NL} || 'LAGUNAS' || {NL} || gaps END
+        || CASE WHEN caveat_ids IS NULL THEN '' ELSE {NL} || {NL} || 'ADVERTENCIAS (' || len(caveat_ids) || ')' || array_to_string(list_transform(caveat_ids, lambda c: {NL} || '  - [' || c || '] ' || CASE WHEN c = 'caveat_fluor' THEN 'flúor' ELSE '' END), '') END AS report FROM made""",
 )
 _SAYS = {"caveat_fluor": "flúor", "caveat_atlantico": "travesía", "caveat_metadatos_bloque": "metadatos", "caveat_notas_proceso": "notas"}
 _RUN_ROWS = "SELECT concat('d', CAST(doc_id AS VARCHAR(20)), '.md') AS file_name, concat('0_d', CAST(doc_id AS VARCHAR(20)), '_v1.md') AS file_final, CASE WHEN doc_id % 17 = 0 THEN 'ERROR' WHEN doc_id % 3 = 0 THEN 'REVISAR' ELSE 'OK' END AS status, CASE WHEN doc_id % 2 = 0 THEN 'fixed' ELSE 'semantic' END AS strategy, doc_id % 64 / 16 AS cost, CAST(doc_id % 7000 AS BIGINT) AS tokens_in, CAST(doc_id % 900 AS BIGINT) AS tokens_out, CASE WHEN doc_id % 17 = 0 THEN 'sin respuesta' END AS error"

@@ -117,6 +117,38 @@ def test_conversion_takes_every_route(spark, vision, local, methods):
         assert (rows["scan"].coverage, rows["scan"].status, rows["scan"].text[:7]) == (50.0, "OCR_PARCIAL", "# scan\n")
 
 
+@pytest.mark.parametrize("ocr", [False, True])
+def test_conversion_by_page_gives_the_same_rows(spark, tmp_path, ocr):
+    given = spark.createDataFrame([*((f"{n}.pdf", c.encode()) for n, c in FILES), ("none.pdf", None)], "file_name string, content binary")
+    readers = {"extractor": layered(1), "raw": layered(0)} | ({"vision": layered(2, "!"), "local_ocr": layered(2)} if ocr else {})
+    want = sorted(map(tuple, stages.convert(given, **readers).collect()))
+    assert sorted(map(tuple, stages.convert_by_page(given, str(tmp_path), **readers).collect())) == want
+    pages = spark.read.parquet(str(tmp_path / "pages"))
+    assert pages.where("layer = 'page' AND file_name = 'tables.pdf' AND page_no > 0").count() == 2 and pages.schema["first_table"].dataType.simpleString() == "array<array<string>>"
+
+
+class Opened:
+    """Reads a text file, and notes that it did."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def __call__(self, content):
+        import uuid
+
+        (self.folder / uuid.uuid4().hex).touch()
+        return connectors.plain_pages(content)
+
+
+def test_a_file_is_opened_once(spark, tmp_path):
+    (tmp_path / "opened").mkdir()
+    given = spark.createDataFrame([(f"{k}.txt", (PAGE * (k + 1) + "\f" + PAGE).encode()) for k in range(6)], "file_name string, content binary")
+    stages.convert(given, Opened(tmp_path / "opened")).collect()
+    assert len(list((tmp_path / "opened").iterdir())) == 6
+    out = stages.convert_by_page(given, str(tmp_path / "work"), Opened(tmp_path / "opened"))
+    assert out.count() == len(out.collect()) == 6 and len(list((tmp_path / "opened").iterdir())) == 12
+
+
 def test_conversion_of_no_files(spark):
     assert stages.convert(spark.createDataFrame([], "file_name string, content binary"), vision=layered(2)).collect() == []
 
@@ -154,9 +186,9 @@ def test_answers_in_steps_and_a_part_that_cannot_be_read(spark, tmp_path):
     state = tmp_path / "state"
     rows = spark.createDataFrame([("a", k, f"p\n\n{k}", 4000) for k in range(9)], "file_name string, chunk_idx long, prompt string, max_tokens long")
     assert sorted(r.content for r in connectors.call_once(rows, str(state), "", echo, steps=3).collect()) == [f"{k}." for k in range(9)]
-    broken = next(state.glob("*.parquet"))
+    broken = next(state.rglob("*.parquet"))
     broken.write_bytes(b"no parquet")
-    (state / f".{broken.name}.crc").unlink()
+    (broken.parent / f".{broken.name}.crc").unlink()
     assert connectors.call_once(rows, str(state), "", echo).count() == 9
 
 
