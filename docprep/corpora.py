@@ -88,8 +88,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table with fewer splits than there are cores, dealt over all of them, as its rows cost far more to work on than to move; larger tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(NOISY, docs=table(spark, sf_dir, "documents"))
+    return spark.sql(NOISY, docs=spread(table(spark, sf_dir, "documents")))
 
 
 def _sections(spark_side: bool) -> str:
@@ -97,11 +103,11 @@ def _sections(spark_side: bool) -> str:
 
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_sections(True), docs=table(spark, sf_dir, "documents"))
+    return spark.sql(_sections(True), docs=spread(table(spark, sf_dir, "documents")))
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(ANSWERS, docs=table(spark, sf_dir, "documents"))
+    return spark.sql(ANSWERS, docs=spread(table(spark, sf_dir, "documents")))
 
 
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +116,7 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(SCANS, docs=table(spark, sf_dir, "documents")).selectExpr("file_name", "encode(content, 'UTF-8') AS content")
+    return spark.sql(SCANS, docs=spread(table(spark, sf_dir, "documents"))).selectExpr("file_name", "encode(content, 'UTF-8') AS content")
 
 
 def layer(k: int, marked: str = ""):

@@ -232,3 +232,33 @@ def _split_gaps(c: Column) -> Column:
 def text_only(c: Column) -> Column:
     """TXT1: without table lines."""
     return drop(c, r"(?md)^\|.*\|$")
+
+
+#: Characters of the Windows code page for the bytes 80 to 9F, as they stand in texts that were decoded by it, and those bytes' own.
+WINDOWS_BYTES = "".join(bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
+OWN_BYTES = "".join(chr(b) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
+
+
+def _bytes(low: int, high: int) -> str:
+    """Class of the characters that bytes of a range may have become."""
+    windows = "".join(w for w, o in zip(WINDOWS_BYTES, OWN_BYTES, strict=True) if low <= ord(o) <= high)
+    return f"[{chr(low)}-{chr(high)}{windows}]"
+
+
+#: A character of two to four bytes in UTF-8, each byte read as a character by itself.
+MISREAD = "|".join(
+    (
+        "[\u00c2-\u00df]" + _bytes(0x80, 0xBF), "\u00e0" + _bytes(0xA0, 0xBF) + _bytes(0x80, 0xBF), "[\u00e1-\u00ec\u00ee\u00ef]" + _bytes(0x80, 0xBF) * 2, "\u00ed" + _bytes(0x80, 0x9F) + _bytes(0x80, 0xBF),
+        "\u00f0" + _bytes(0x90, 0xBF) + _bytes(0x80, 0xBF) * 2, "[\u00f1-\u00f3]" + _bytes(0x80, 0xBF) * 3, "\u00f4" + _bytes(0x80, 0x8F) + _bytes(0x80, 0xBF) * 2,
+    )
+)
+
+
+def misread_utf8(c: Column) -> Column:
+    """Repairs UTF-8 that was read as Latin-1 or by the Windows code page, run by run; what isn't such a run stays."""
+
+    def repaired(run: Column) -> Column:
+        return F.decode(F.encode(F.translate(run, WINDOWS_BYTES, OWN_BYTES), "ISO-8859-1"), "UTF-8")
+
+    parts = F.regexp_extract_all(c, F.lit(rf"(?s)(?:{MISREAD})++|[^\u00c2-\u00f4]++|."), F.lit(0))
+    return F.when(~c.rlike(MISREAD), c).otherwise(F.array_join(F.transform(parts, lambda p: F.when(p.rlike(rf"\A(?:{MISREAD})"), repaired(p)).otherwise(p)), ""))

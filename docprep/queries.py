@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import config, corpora
 from .corpora import checked, table
 from .functions import text as T
-from .operators import chunk, clean, deliver, diagnose, gates, report, state, tables, validate
+from .operators import chunk, clean, deliver, diagnose, gates, headers, patterns, report, state, tables, validate
 from .plans import stages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -299,6 +299,27 @@ add(
     lambda s, d: corpora.answers(s, d).select("doc_id", F.array_join(gates.caveats(F.col("text")), ",").alias("caveats")),
     f"WITH d AS (SELECT doc_id, text AS t FROM ({checked('answers')}) x) SELECT doc_id, array_to_string(list_filter([{_CAV}], lambda x: x IS NOT NULL), ',') AS caveats FROM d",
 )
+#: A pattern from each document, of a length and place of its own; three documents share an id.
+_PATTERNS = "SELECT concat('c', CAST(floor(doc_id / 3) AS INT)) AS caveat_id, upper(substr(text, CAST(1 + doc_id % 50 AS INT), CAST(4 + doc_id % 17 AS INT))) AS pattern FROM {docs}"
+add(
+    "jn6_pattern_table",
+    lambda s, d: patterns.caveats_from(corpora.spread(table(s, d, "documents")).select("doc_id", "text"), s.sql(_PATTERNS, docs=table(s, d, "documents"))).select("doc_id", F.array_join("caveat_ids", ",").alias("caveats")),
+    f"""WITH p AS ({_PATTERNS.replace("{docs}", "documents")}), hit AS (SELECT DISTINCT doc_id, caveat_id FROM documents JOIN p ON contains(lower(text), lower(pattern)))
+    SELECT doc_id, coalesce(string_agg(caveat_id, ',' ORDER BY caveat_id), '') AS caveats FROM documents LEFT JOIN hit USING (doc_id) GROUP BY doc_id""",
+)
+_HEADERS = f"""d AS (SELECT doc_id, source, text AS t FROM ({checked('noisy')}) x),
+    f AS (SELECT DISTINCT source, doc_id, regexp_replace(lower({_strip("line")}), '[0-9]+', '#', 'g') AS header FROM (SELECT doc_id, source, unnest(string_split(t, {NL})) AS line FROM d) l),
+    n AS (SELECT source, greatest(4, ceil(count(*) * 0.05::DOUBLE)) AS bound FROM d GROUP BY 1),
+    h AS (SELECT source, header, count(*) AS n_files FROM f JOIN n USING (source) WHERE length(header) BETWEEN 6 AND 60 GROUP BY 1, 2 HAVING count(*) >= min(bound))"""
+_texts("cln_misread_utf8", clean.misread_utf8, "replace(t, 'Ã±', 'ñ')")
+add("flt2c_mined_headers", lambda s, d: headers.mined_headers(corpora.noisy(s, d), share=0.05), f"WITH {_HEADERS} SELECT source, header, n_files FROM h")
+add(
+    "cln_mined_headers",
+    lambda s, d: headers.without_headers(corpora.noisy(s, d).select("doc_id", "source", "text"), headers.mined_headers(corpora.noisy(s, d), share=0.05)).select("doc_id", "text", "headers_removed"),
+    f"""WITH {_HEADERS}, l AS (SELECT doc_id, source, generate_subscripts(string_split(t, {NL}), 1) AS pos, unnest(string_split(t, {NL})) AS line FROM d),
+    k AS (SELECT l.*, h.header IS NOT NULL AS gone FROM l LEFT JOIN h ON h.source = l.source AND h.header = regexp_replace(lower({_strip("line")}), '[0-9]+', '#', 'g'))
+    SELECT doc_id, coalesce(string_agg(line, {NL} ORDER BY pos) FILTER (NOT gone), '') AS text, count(*) FILTER (gone) AS headers_removed FROM k GROUP BY 1""",
+)
 _PRO = r"list_filter([CASE WHEN contains(t, '⚠️') OR contains(t, '🚫') THEN 'emoji' END, CASE WHEN regexp_matches(t, '\[(?:WEB|DOSSIER|FUENTE|REF)\]') THEN 'source_tag' END, CASE WHEN regexp_matches(t, '(?im)^(?:Aquí tienes|A continuación|Espero que)') THEN 'preamble' END], lambda x: x IS NOT NULL)"
 add(
     "flt8_prohibited",
@@ -592,5 +613,11 @@ add(
           round(CASE WHEN method = 'native' THEN least(100.0::DOUBLE, CASE WHEN layer_words = 0 THEN 100 ELSE len({_W.format(t=_re("s8.t", "(?m)^[|][^" + chr(92) + "n]*[|]$"))}) / layer_words * 100 END) ELSE ok / n_read * 100 END, 1) AS coverage FROM made JOIN s8 ON s8.doc_id = file_name)
     SELECT *, CASE WHEN md_words = 0 THEN 'VACIO' WHEN method <> 'native' AND coverage >= 80 THEN 'OCR_OK' WHEN method <> 'native' THEN 'OCR_PARCIAL' WHEN coverage >= 85 THEN 'OK' ELSE 'REVISAR' END AS status FROM v""",
 )
+_WINDOWED = f"(SELECT doc_id, list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '') AS w FROM documents) x"
+add(
+    "chk7_join_windows",
+    lambda s, d: corpora.spread(table(s, d, "documents")).select("doc_id", chunk.windows(F.col("text"), 50, 12, 60).alias("parts")).select("doc_id", F.size("parts").cast("long").alias("n_parts"), F.array_join(T.words(chunk.join_windows(F.col("parts"), 12)), " ").alias("text")),
+    f"SELECT doc_id, CASE WHEN len(w) > 60 THEN 1 + (len(w) - 1) // 38 ELSE 1 END AS n_parts, array_to_string(w, ' ') AS text FROM {_WINDOWED}",
+)
 add("pip6_refine", lambda s, d: stages.refine(corpora.noisy(s, d).select(F.concat("source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text")).drop("model"))
 add("pip7_build", lambda s, d: stages.build(corpora.chats(s, d).select(F.concat(F.lit("c"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text"), date="2026-01-01").select("file_name", "text", "status", "strategy", "project_type", "max_chars", "tokens_in", "tokens_out", F.round("cost", 9).alias("cost"), "n_issues", "gaps", "top_k"))

@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 from pyspark.sql.types import ArrayType, StringType, StructType
 
+from ..operators.clean import OWN_BYTES, WINDOWS_BYTES, MISREAD
+
+_MISREAD, _AS_BYTES = re.compile(f"(?:{MISREAD})+"), str.maketrans(WINDOWS_BYTES, OWN_BYTES)
 Backend = Callable[[str, str, int], tuple[str, int, int, str]]
 RETRY_TOKENS = 32_000
 _ENDS = re.compile(r"[.!?#-]\Z")
@@ -37,12 +40,8 @@ def is_cut(content: str) -> bool:
 
 
 def offline(system: str, user: str, max_tokens: int) -> tuple[str, int, int, str]:
-    """Rule-based stand-in: repairs mojibake, drops [n] marks and page numbers, keeps all the rest."""
-    text = user.split("\n\n", 1)[-1]
-    try:
-        text = text.encode("latin-1").decode("utf-8")
-    except UnicodeError:
-        pass
+    """Rule-based stand-in: repairs misread UTF-8 run by run, drops [n] marks and page numbers, keeps all the rest."""
+    text = _MISREAD.sub(lambda m: m[0].translate(_AS_BYTES).encode("latin-1").decode(), user.split("\n\n", 1)[-1])
     text = re.sub(r"\[\d+\]", "", text)
     text = re.sub(r"(?m)^\s*\d+\s*$\n?", "", text)
     return text.strip() + ("" if _ENDS.search(text.strip()[-1:] or " ") else "."), len(user) // 4, len(text) // 4, "offline"
