@@ -353,7 +353,16 @@ add(
     SELECT doc_id, CAST(g AS BIGINT) AS chunk_idx, string_agg(f, {NL} || {NL} ORDER BY i) AS chunk, max(max(g)) OVER (PARTITION BY doc_id) + 1 AS n_chunks FROM w GROUP BY doc_id, g""",
 )
 add("chk4_fixed", _rows("noisy", lambda c: chunk.fixed(c, 500)), f"WITH d AS (SELECT doc_id, list_transform(range(0, length(text), 500), lambda i: substr(text, i + 1, 500)) AS c FROM ({checked('noisy')}) x) {_unnested('c')}")
-add("chk5_tree", _rows("chats", lambda c: chunk.tree(c, 600, 500)))
+_TREE_PARAS = f"list_filter(string_split(g, {NL} || {NL}), lambda x: {_strip('x')} <> '')"
+_TREE = f"""CASE WHEN length(t) <= 600 THEN [t] ELSE flatten(list_transform({_O_GREEDY.format(l="h", n=600)}, lambda g: CASE WHEN length(g) <= 600 THEN [g]
+      ELSE flatten(list_transform({_O_GREEDY.format(l=_TREE_PARAS, n=600).replace("lambda a, f", "lambda b, e").replace("a[", "b[").replace("(a,", "(b,").replace("ELSE list_append(b, f)", "ELSE list_append(b, e)").replace("length(f)", "length(e)").replace("|| f)", "|| e)").replace("[f]", "[e]")},
+        lambda p: CASE WHEN length(p) <= 600 THEN [p] ELSE list_transform(range(0, length(p), 500), lambda i: substr(p, i + 1, 500)) END)) END)) END"""
+add(
+    "chk5_tree",
+    _rows("chats", lambda c: chunk.tree(c, 600, 500)),
+    rf"""WITH k AS (SELECT doc_id, text AS t, list_filter(string_split(regexp_replace(text, '(?m)^(#{{1,3}} )', chr(1) || '\1', 'g'), chr(1)), lambda p: {_strip("p")} <> '') AS h FROM ({checked("chats")}) x),
+    d AS (SELECT doc_id, {_TREE} AS c FROM k) {_unnested("c")}""",
+)
 _WIN = "CASE WHEN len(w) > 120 THEN list_transform(range(0, len(w), 90), lambda i: array_to_string(w[i + 1 : i + 100], ' ')) ELSE [t] END"
 add("chk6_windows", _rows("noisy", lambda c: chunk.windows(c, 100, 10, 120)), f"WITH e AS (SELECT doc_id, text AS t, {_words('text')} AS w FROM ({checked('noisy')}) x), d AS (SELECT doc_id, {_WIN} AS c FROM e) {_unnested('c')}")
 add(
@@ -619,5 +628,42 @@ add(
     lambda s, d: corpora.spread(table(s, d, "documents")).select("doc_id", chunk.windows(F.col("text"), 50, 12, 60).alias("parts")).select("doc_id", F.size("parts").cast("long").alias("n_parts"), F.array_join(T.words(chunk.join_windows(F.col("parts"), 12)), " ").alias("text")),
     f"SELECT doc_id, CASE WHEN len(w) > 60 THEN 1 + (len(w) - 1) // 38 ELSE 1 END AS n_parts, array_to_string(w, ' ') AS text FROM {_WINDOWED}",
 )
-add("pip6_refine", lambda s, d: stages.refine(corpora.noisy(s, d).select(F.concat("source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text")).drop("model"))
-add("pip7_build", lambda s, d: stages.build(corpora.chats(s, d).select(F.concat(F.lit("c"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text"), date="2026-01-01").select("file_name", "text", "status", "strategy", "project_type", "max_chars", "tokens_in", "tokens_out", F.round("cost", 9).alias("cost"), "n_issues", "gaps", "top_k"))
+_PIP6_STEMS = f"SELECT doc_id, source || '_' || doc_id AS stem, text AS t, {_words('text')} AS w FROM ({checked('noisy')}) x"
+_PIP6_BURIED = "len(w) > 5000 AND length(stem) > 3 AND NOT contains(lower(array_to_string(w[1:500], ' ')), lower(stem))"
+_PIP6_CUT = "CASE WHEN len(w) > 12000 THEN list_transform(range(0, len(w), 4850), lambda i: array_to_string(w[i + 1:i + 5000], ' ')) ELSE [t] END"
+add(
+    "pip6_refine",
+    lambda s, d: stages.refine(corpora.noisy(s, d).select(F.concat("source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text")).drop("model"),
+    rf"""WITH d AS ({_PIP6_STEMS}), j AS (SELECT *, CASE WHEN {_MOJI} > 0.003 THEN 'mojibake' WHEN {_OCR} > 0.01 THEN 'ocr' WHEN {_RUN} > 3 THEN 'headers' WHEN {_PIP6_BURIED} THEN 'buried' ELSE 'limpio' END AS reason FROM d),
+    c AS (SELECT *, {_PIP6_CUT} AS l FROM j WHERE reason <> 'limpio'),
+    u AS (SELECT *, list_transform(l, lambda x: regexp_replace(regexp_replace(replace(x, 'Ã±', 'ñ'), '\[[0-9]+\]', '', 'g'), '(?m)^\s*[0-9]+\s*$\n?', '', 'g')) AS m,
+          list_transform(l, lambda x, i: length('Título: ' || stem || CASE WHEN len(l) > 1 THEN ' (chunk ' || i || '/' || len(l) || ')' ELSE '' END || {NL} || {NL} || x) // 4) AS asked FROM c),
+    o AS (SELECT *, array_to_string(list_transform(list_transform(m, lambda x: {_strip("x")}), lambda y: y || CASE WHEN regexp_matches(right(y, 1), '[.!?#-]') THEN '' ELSE '.' END), {NL} || {NL} || '---' || {NL} || {NL}) AS r FROM u),
+    f AS (SELECT *, round(len({_words("r")}) / greatest(len(w), 1) * 100, 1) AS share FROM o)
+    SELECT stem || '.md' AS file_name, t AS text, reason, 'COPY' AS status, 0 AS chunks, 0 AS tokens_in, 0 AS tokens_out, 100.0::DOUBLE AS retention_pct FROM j WHERE reason = 'limpio'
+    UNION ALL SELECT stem || '.md', r, reason, CASE WHEN len(l) > 1 THEN 'CHUNKED' WHEN share < 30 THEN 'REVISAR' WHEN share > 98 THEN 'SIN_CAMBIO' ELSE 'OK' END, len(l), CAST(list_sum(asked) AS BIGINT), CAST(list_sum(list_transform(m, lambda x: length(x) // 4)) AS BIGINT), share FROM f""",
+)
+_PIP7_PRE = ORACLES["pip3_preclean"].replace(f"({checked('noisy')}) x", f"({checked('answers')}) x")
+_PIP7_STRIPPED = ORACLES["str1_str2_strip_needless"].replace(f"({checked('noisy')}) x", f"({_PIP7_PRE}) x")
+_PIP7_PLAN = _structure("answers").replace(f"({checked('answers')}) x", f"({_PIP7_STRIPPED}) x")
+_PIP7_HEADINGS = rf"list_filter(string_split(regexp_replace(t, '(?m)^(#{{1,3}} )', chr(1) || '\1', 'g'), chr(1)), lambda p: {_strip('p')} <> '')"
+_PIP7_ASKED = f"""'PARÁMETROS CALCULADOS:' || {NL} || '- Proyecto: ' || {NL} || '- Fecha: 2026-01-01' || {NL} || '- Estrategia: ' || strategy || {NL} || '- max_chars: ' || max_chars || {NL} || '- overlap: ' || overlap || {NL} || '- min_chunk_size: ' || min_chunk_size
+          || {NL} || '- Tipo proyecto: ' || project_type || {NL} || '- Longitud entidades: ' || entity_len || {NL} || CASE WHEN len(c) > 1 THEN '- Parte: ' || i || '/' || len(c) || {NL} ELSE '' END || {NL}"""
+_PIP7_ISSUES = _ISSUES.replace("length(s) > 1200", "length(s) > max_chars").replace("doc_id % 4 > 0", "NOT (strategy = 'fixed' AND overlap < max_chars * 0.10)")
+add(
+    "pip7_build",
+    lambda s, d: stages.build(corpora.answers(s, d).select(F.concat(F.lit("c"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text"), date="2026-01-01").select(
+        "file_name", "file_final", "text", "status", "strategy", "project_type", "max_chars", "tokens_in", "tokens_out", F.round("cost", 9).alias("cost"), "n_issues", "gaps", "top_k"
+    ),
+    rf"""WITH {_PIP7_PLAN}, h0 AS (SELECT *, {_PIP7_HEADINGS} AS h FROM de), c0 AS (SELECT *, {_TREE.replace("600", "60000").replace("500", "50000")} AS c FROM h0),
+    a0 AS (SELECT *, list_transform(c, lambda x, i: 'TEXTO BRUTO:' || {NL} || repeat('─', 49) || {NL} || x || {NL} || repeat('─', 49) || {NL}) AS body, list_transform(c, lambda x, i: length({_PIP7_ASKED})) AS heads FROM c0),
+    m0 AS (SELECT *, list_transform(body, lambda x: regexp_replace(regexp_replace(replace(x, 'Ã±', 'ñ'), '\[[0-9]+\]', '', 'g'), '(?m)^\s*[0-9]+\s*$\n?', '', 'g')) AS m, list_sum(list_transform(body, lambda x, i: (heads[i] + length(x)) // 4)) AS tokens_in FROM a0),
+    o0 AS (SELECT * EXCLUDE (t), list_sum(list_transform(m, lambda x: length(x) // 4)) AS tokens_out, array_to_string(list_transform(list_transform(m, lambda x: {_strip("x")}), lambda y: y || CASE WHEN regexp_matches(right(y, 1), '[.!?#-]') THEN '' ELSE '.' END), {NL} || {NL}) AS t FROM m0),
+    x0 AS (SELECT * EXCLUDE (t), regexp_replace({_FENCE}, '(?i)^(?:Aquí tienes[^\n]*?\n+|A continuación[^\n]*?\n+)', '') AS t FROM o0), y0 AS (SELECT *, starts_with({_strip("t")}, '```') AS fenced FROM x0),
+    i0 AS (SELECT *, list_concat(list_filter([{_PIP7_ISSUES}], lambda x: x IS NOT NULL), list_transform({_PRO}, lambda x: 'warn:prohibited_' || x)) AS iss, instr(lower(t), '## lagunas detectadas') AS p0 FROM y0),
+    b0 AS (SELECT *, {_strip("substr(t, 1, p0 - 1)")} AS head, len(list_filter(iss, lambda x: starts_with(x, 'fail:'))) AS n_fail, len(list_filter(iss, lambda x: starts_with(x, 'warn:'))) AS n_warn FROM i0), p(kind, a, b, c, e, f) AS (VALUES {_RET})
+    SELECT 'c' || doc_id || '.md' AS file_name, printf('%02d_c', row_number() OVER (ORDER BY 'c' || doc_id || '.md')) || doc_id || '_sem_v1.md' AS file_final,
+           CASE WHEN p0 = 0 THEN t WHEN suffix(head, '---') THEN {_strip("substr(head, 1, length(head) - 3)")} ELSE head END AS text, CASE WHEN p0 = 0 THEN '' ELSE {_strip("substr(t, p0 + 22)")} END AS gaps,
+           CASE WHEN n_fail > 0 THEN 'ERROR' WHEN n_warn > 2 THEN 'REVISAR' ELSE 'OK' END AS status, strategy, project_type, max_chars, CAST(tokens_in AS BIGINT) AS tokens_in, CAST(tokens_out AS BIGINT) AS tokens_out,
+           round((tokens_in + 5 * tokens_out) / 1000000::DOUBLE, 9) AS cost, len(iss) AS n_issues, a AS top_k FROM b0 JOIN p ON p.kind = project_type""",
+)
