@@ -425,6 +425,29 @@ def test_wrapper_decides():
     assert html_extract.main_text(html_extract.Node("page"), "<p>alone</p>") == "alone"
 
 
+TEMPLATES = ["<div class=post><h1>{0}</h1><p>{1}</p><table>{2}</table><p>{3}</p></div>", "<div class=post><h1>{0}</h1><p>{1}</p><div class=body>{2}</div><p>{3}</p></div>", "<div class=header><h1>{0}</h1></div><div><p>{1}</p></div>{2}<p>{3}</p>"]
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+@pytest.mark.parametrize("around", ["{}", "<div id=top>Shop of Ann</div><div>{}</div><div>All rights of Ann</div>", "<div class=menu><a href=a>One</a> <a href=b>Two</a></div>{}"])
+def test_an_unmarked_article_stays_whole(template, around):
+    """What a template is filled with is the article; what stands around it on all pages isn't."""
+    r = random.Random(template + around)
+    pages, want = [], []
+    for k in range(8):
+        parts = [" ".join(r.choices("tea cup pot lid mug jar".split(), k=r.randint(3, 9))) + f" {k} {i}" for i in range(3 + r.randint(2, 30))]
+        middle = "".join(f"<tr><td>{p}</td></tr>" if "table" in template else f"<p>{p}</p>" for p in parts[2:-1])
+        pages.append("<html><body>" + around.format(template.format(parts[0], parts[1], middle, parts[-1])) + "</body></html>")
+        want.append("\n\n".join(parts))
+    assert html_extract.extract(pages) == want
+
+
+def test_classes_that_articles_use_are_hints():
+    page = '<article><div class="header"><h1>T {0}</h1></div><p>Text {0}</p><div class="menu"><p>Soup {0}</p></div><div class="social">Club of {0}</div><div class="comments">Reader {0}</div><div class="social"><a href=x>Share {0}</a></div><div class="menu">Same on all</div></article>'
+    assert html_extract.extract([page.format(i) for i in range(5)])[1] == "T 1\n\nText 1\n\nSoup 1\n\nClub of 1"
+    assert html_extract.extract([page.format(1)])[0] == "T 1\n\nText 1"
+
+
 def test_another_template_on_the_host_has_its_own_wrapper():
     pages = [PAGE.format(tag="article", title=f"T{i}", more="") for i in range(9)] + ["<body><nav>x</nav><div><p>Quite another page</p></div></body>"]
     assert html_extract.extract(pages)[9] == "Quite another page"
