@@ -26,6 +26,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +49,7 @@ WORD = re.compile(rf"[^\W\d_{_numerals()}]+")
 WORDLIKE = re.compile(r"\w+")
 KEPT_WORDS, BLOCK, CELLS = 700_000, 2000, 1 << 22
 #: Learning ends when the mean log-likelihood of a word grows by less than this share, or after so many rounds.
-SETTLED, MOST_ROUNDS, MOST_LANGUAGES = 0.05, 20, 200
+SETTLED, MOST_ROUNDS, MOST_LANGUAGES = 0.001, 20, 200
 #: Words up to this length can't fall below the least float and are swept without scales.
 UNSCALED = 28
 #: Share of probability for a character that the vocabulary lacks, and a piece's least expected count.
@@ -274,6 +276,7 @@ def fit(docs: DataFrame, path: str, rounds: int = MOST_ROUNDS, most_languages: i
     """docs: _text, _lang (non-null). The languages in order and probs[piece, language]."""
     found = docs.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(most_languages).collect()
     langs = sorted(r[0] for r in found)
+    place = {lang: g for g, lang in enumerate(langs)}
     # Dealt evenly, for each round sweeps them all; words of like length stand together, so that lattices waste little.
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = written(word_counts(docs.where(F.col("_lang").isin(langs))).repartition(tasks).sortWithinPartitions("lang", F.length("word")), "word-counts")
@@ -291,8 +294,8 @@ def fit(docs: DataFrame, path: str, rounds: int = MOST_ROUNDS, most_languages: i
                 for at in range(0, batch.num_rows, 10_000):
                     part = batch.slice(at, 10_000)
                     of, words, n = (part.column(c).to_pylist() for c in ("lang", "word", "n"))
-                    for g, lang in enumerate(langs):
-                        mine = {w: c for x, w, c in zip(of, words, n, strict=True) if x == lang}
+                    for lang, rows in groupby(zip(of, words, n, strict=True), key=itemgetter(0)):  # sorted by language
+                        g, mine = place[lang], {w: c for _, w, c in rows}
                         for some in blocks(list(mine)):
                             more, likely = expected(*lattice(some, path), np.array([mine[w] for w in some], float), now[:, g])
                             out[:, g] += more
