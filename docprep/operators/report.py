@@ -105,6 +105,31 @@ def caveat_counts(rows: DataFrame) -> DataFrame:
     return rows.select("file_name", F.explode("caveat_ids").alias("caveat_id")).groupBy("caveat_id").agg(F.count_distinct("file_name").alias("n_files"), F.min("file_name").alias("first_file"))
 
 
+def _card(title: Column, fields: list[tuple[str, Column]]) -> Column:
+    """A short text for consoles and logs: a title, a rule and a line for each field."""
+    return F.concat(title, F.lit("\n" + "─" * 53), *(x for name, value in fields for x in (F.lit(f"\n{name:<16}"), F.coalesce(value, F.lit("-")))))
+
+
+def diagnosis_card(name: str = "file_name") -> Column:
+    """SNK8: a diagnosed document's figures and parameters, from the columns of ``diagnose.diagnose``."""
+    text = {n: F.col(n).cast("string") for n in ("n_words", "text_chars", "n_headings", "n_separators", "avg_section_len", "short_line_ratio", "max_chars", "overlap", "min_chunk_size")}
+    why = {n: F.coalesce(F.concat(text[n], F.lit(" → "), F.try_element_at("justification", F.lit(n))), text[n]) for n in ("max_chars", "overlap", "min_chunk_size")}
+    fields = [("tipo", F.col("project_type")), ("entidades", F.col("entity_len")), ("palabras", text["n_words"]), ("caracteres", text["text_chars"]), ("títulos", text["n_headings"]), ("separadores", text["n_separators"]), ("sección media", text["avg_section_len"]), ("líneas cortas", text["short_line_ratio"]), *why.items()]
+    return _card(F.concat(F.lit("[diagnóstico] "), F.col(name)), fields)
+
+
+def decision_card(name: str = "file_name") -> Column:
+    """SNK8: the strategy of a document, why, and its warnings, from the columns of ``diagnose.decide``."""
+    head = _card(F.concat(F.lit("[estrategia] "), F.col(name)), [("estrategia", F.col("strategy")), ("razón", F.col("reason")), ("coherencia", F.when(F.col("coherence_ok"), "OK").otherwise("REVISAR"))])
+    return F.concat(head, F.array_join(F.transform("warnings", lambda w: F.concat(F.lit("\n  ⚠ "), w)), ""))
+
+
+def checklist_card(name: str = "file_name") -> Column:
+    """SNK8: the state of a checked document and its issues, from the columns of ``validate.validate``."""
+    found = F.when(F.size("issues") == 0, F.lit("\n  ✓ sin incidencias")).otherwise(F.array_join(F.transform("issues", lambda i: F.concat(F.when(i.startswith("fail:"), "\n  ✗ ").otherwise("\n  ⚠ "), F.regexp_replace(i, r"\A\w+:", ""))), ""))
+    return F.concat(_card(F.concat(F.lit("[control] "), F.col(name), F.lit(" → "), F.col("state")), []), found)
+
+
 def _says(catalogue: dict[str, str], caveat: Column) -> Column:
     text = F.try_element_at(F.create_map(*(F.lit(x) for kv in catalogue.items() for x in kv)), caveat) if catalogue else F.lit("")
     return F.concat(F.lit("["), caveat, F.lit("] "), F.coalesce(text, F.lit("")))

@@ -42,11 +42,13 @@ def incremental(sources: DataFrame, outputs: DataFrame, key: str = "out_name") -
 def incremental_by_containment(sources: DataFrame, outputs: DataFrame) -> DataFrame:
     """JN4, by the old rule: the least output name that contains the source's stem.
 
-    Output names are cut into their substrings of the length of some stem, so the join is on equality.
+    Output names are cut into their substrings of the length of some stem, so the join is on equality. The
+    lengths, of which there are no more than characters in the longest name, are read first.
     """
     stems = sources.withColumn("_stem", stem(F.col("file_name")))
-    sizes = stems.select(F.length("_stem").alias("_n")).distinct()
-    parts = outputs.select("out_name", F.col("mtime").alias("_out_time")).join(sizes, F.length("out_name") >= F.col("_n"))
+    sizes = sorted(r[0] for r in stems.select(F.length("_stem")).where("_stem IS NOT NULL").distinct().collect())
+    fitting = F.filter(F.array(*map(F.lit, sizes)).cast("array<int>"), lambda n: n <= F.length("out_name"))
+    parts = outputs.select("out_name", F.col("mtime").alias("_out_time"), F.explode(fitting).alias("_n"))
     parts = parts.select("out_name", "_out_time", F.explode(F.transform(F.sequence(F.lit(1), F.length("out_name") - F.col("_n") + 1), lambda i: F.substring("out_name", i, F.col("_n")))).alias("_part"))
     first = parts.groupBy("_part").agg(F.min(F.struct("out_name", "_out_time")).alias("_hit"))
     joined = stems.join(first, F.col("_stem") == F.col("_part"), "left")
@@ -54,16 +56,29 @@ def incremental_by_containment(sources: DataFrame, outputs: DataFrame) -> DataFr
     return joined.select("file_name", "mtime", F.col("_hit.out_name").alias("matched"), action.alias("action"))
 
 
-def ordinals(rows: DataFrame, key: str = "file_name", buckets: int = 200, name: str = "i") -> DataFrame:
+#: Rows of one bucket of ``ordinals``, about, and most buckets.
+BUCKET_ROWS, MOST_BUCKETS = 200_000, 10_000
+
+
+def _place_among(k: Column, edges: list) -> Column:
+    """How many of the sorted edges are below k, by halving: the largest power of two first."""
+    if not edges:
+        return F.lit(0)
+    bounds, steps = F.array(*map(F.lit, edges)), [1 << i for i in reversed(range(len(edges).bit_length()))]
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) < k, at + step).otherwise(at))
+
+
+def ordinals(rows: DataFrame, key: str = "file_name", buckets: int | None = None, name: str = "i") -> DataFrame:
     """WIN7, SRT1: rows numbered 1..n in the order of ``key``, nulls first; rows with one key are numbered in any order.
 
-    ``buckets`` ranges of keys, bounded by the keys with the least hashes, are numbered
+    ``buckets`` ranges of keys (by default as many as ``BUCKET_ROWS`` asks for), bounded by the keys with the least hashes, are numbered
     side by side; the rows before each range are added from their counts, of which there are as many as buckets.
     """
     k = F.col(key)
+    if buckets is None:
+        buckets = max(1, min(MOST_BUCKETS, rows.count() // BUCKET_ROWS))
     edges = sorted(r[0] for r in rows.where(k.isNotNull()).select(key).distinct().orderBy(F.xxhash64(k), k).limit(buckets - 1).collect())
-    bounds = F.array(*map(F.lit, edges))
-    dealt = rows.withColumn("_bucket", F.coalesce(F.size(F.filter(bounds, lambda e: e < k)), F.lit(0)) if edges else F.lit(0))
+    dealt = rows.withColumn("_bucket", _place_among(k, edges))
     counts = dealt.groupBy("_bucket").agg(F.count("*").alias("_n"))
     before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).drop("_n")
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(k))

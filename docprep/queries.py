@@ -456,6 +456,13 @@ add(
     lambda s, d: deliver.estimate(table(s, d, "documents"), 8000, "google/gemini-2.5-flash"),
     "SELECT count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars, CAST(sum(length(text)) // 4 AS BIGINT) AS tokens, CAST(sum(length(text)) // 4 AS BIGINT) AS tokens_stripped, round(((2000 * count(*) + sum(length(text)) // 4) * 0.10 + sum(length(text)) // 4 * 1.1 * 0.40) / 1000000, 6) AS estimated_cost FROM documents",
 )
+_KEPT_TEXTS = ORACLES["str1_str2_strip_needless"]
+add(
+    "cst2_stripped_estimate",
+    lambda s, d: deliver.estimate(corpora.noisy(s, d), 8000, "google/gemini-2.5-flash", stripped=clean.strip_needless(F.col("text"))["text"]),
+    f"""SELECT count(*) AS n_docs, CAST(sum(length(x.text)) AS BIGINT) AS n_chars, CAST(sum(length(x.text)) // 4 AS BIGINT) AS tokens, CAST(sum(length(y.text)) // 4 AS BIGINT) AS tokens_stripped,
+           round(((2000 * count(*) + sum(length(x.text)) // 4) * 0.10 + sum(length(x.text)) // 4 * 1.1 * 0.40) / 1000000, 6) AS estimated_cost FROM ({checked("noisy")}) x JOIN ({_KEPT_TEXTS}) y USING (doc_id)""",
+)
 add("tok1_max_tokens", lambda s, d: table(s, d, "documents").select("doc_id", deliver.max_tokens(F.repeat("text", 5)).alias("n")), "SELECT doc_id, CAST(greatest(4000, least(32000, length(text) * 5 // 2)) AS BIGINT) AS n FROM documents")
 _KIND = "CASE CAST(doc_id % 6 AS INT) WHEN 0 THEN 'operativo' WHEN 1 THEN 'cultural' WHEN 2 THEN 'mixto' WHEN 3 THEN 'definiciones' WHEN 4 THEN 'cultural-museo' ELSE 'otro' END"
 _RET = ", ".join(f"('{k}', {', '.join(map(str, v))})" for k, v in config.RETRIEVAL_PARAMS.items())
@@ -603,6 +610,32 @@ add(
     UNION ALL SELECT 4, file_name, pos, line FROM g""",
 )
 
+
+def _cards(s: SparkSession, d: str) -> DataFrame:
+    made = _thin(diagnose.diagnose(corpora.answers(s, d)))
+    return validate.validate(diagnose.decide(made), strict=True).withColumn("file_name", F.col("doc_id").cast("string"))
+
+
+def _field(name: str, value: str) -> str:
+    return f"{NL} || '{name:<16}' || {value}"
+
+
+_CARD_PLAN = _structure("answers") + ", th AS (SELECT * EXCLUDE (overlap, strategy), CASE WHEN doc_id % 4 = 3 THEN overlap // 2 ELSE overlap END AS overlap, strategy FROM de), cd AS (SELECT *, strategy = 'fixed' AND overlap < max_chars * 0.10 AS thin FROM th)"
+_LONG, _MEDIUM = "entity_len = 'largas' AND project_type <> 'definiciones'", "entity_len = 'medias' AND project_type = 'cultural'"
+_WARNS = "list_filter([CASE WHEN strategy = 'semantic' AND avg_section_len > max_chars THEN 'section_over_max' END, CASE WHEN strategy = 'semantic' AND n_separators = 0 THEN 'no_separators' END, CASE WHEN thin THEN 'thin_overlap' END], lambda x: x IS NOT NULL)"
+_CARD_ISSUES = _ISSUES.replace("length(s) > 1200", "length(s) > max_chars").replace("doc_id % 4 > 0", "NOT thin")
+_RULE = f"{NL} || repeat('─', 53)"
+add(
+    "snk8_cards",
+    lambda s, d: _cards(s, d).select("doc_id", report.diagnosis_card().alias("diagnosis"), report.decision_card().alias("decision"), report.checklist_card().alias("checklist")),
+    f"""WITH {_CARD_PLAN}, vv AS (SELECT * EXCLUDE (t), starts_with({_strip("t")}, '```') AS fenced, {_FENCE} AS t, t AS raw FROM cd),
+    ii AS (SELECT *, list_concat(list_filter([{_CARD_ISSUES}], lambda x: x IS NOT NULL), list_transform({_PRO}, lambda x: 'warn:prohibited_' || x)) AS iss FROM vv)
+    SELECT doc_id, '[diagnóstico] ' || doc_id || {_RULE} || {" || ".join(_field(n, v) for n, v in (("tipo", "project_type"), ("entidades", "entity_len"), ("palabras", f"len({_words('raw')})"), ("caracteres", "length(raw)"), ("títulos", "n_headings"), ("separadores", "n_separators"), ("sección media", "avg_section_len"), ("líneas cortas", "CAST(short_line_ratio AS DOUBLE)"), ("max_chars", f"max_chars || ' → ' || CASE WHEN {_LONG} THEN 'largas' WHEN {_MEDIUM} THEN 'medias' ELSE 'base' END"), ("overlap", "overlap || ' → proporcional'"), ("min_chunk_size", "min_chunk_size || ' → proporcional'")))} AS diagnosis,
+           '[estrategia] ' || doc_id || {_RULE} || {_field("estrategia", "strategy")} || {_field("razón", _REASON)} || {_field("coherencia", "CASE WHEN thin THEN 'REVISAR' ELSE 'OK' END")} || array_to_string(list_transform({_WARNS}, lambda w: {NL} || '  ⚠ ' || w), '') AS decision,
+           '[control] ' || doc_id || ' → ' || CASE WHEN len(list_filter(iss, lambda x: starts_with(x, 'fail:'))) > 0 THEN 'ERROR' WHEN len(list_filter(iss, lambda x: starts_with(x, 'warn:'))) > 2 THEN 'REVISAR' ELSE 'OK' END || {_RULE}
+             || CASE WHEN len(iss) = 0 THEN {NL} || '  ✓ sin incidencias' ELSE array_to_string(list_transform(iss, lambda x: {NL} || CASE WHEN starts_with(x, 'fail:') THEN '  ✗ ' ELSE '  ⚠ ' END || regexp_replace(x, '^[a-z]+:', '')), '') END AS checklist FROM ii""",
+)
+
 # --- whole stages with readers and backends that need no network ---------------------------------------------------------------------------
 
 _PAGE_WORDS = f"list_sum(list_transform(string_split(whole, '. '), lambda p: CASE WHEN len({_W.format(t='p')}) >= 20 THEN 1 ELSE 0 END))"
