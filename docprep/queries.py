@@ -12,6 +12,7 @@ from .corpora import checked, table
 from .functions import text as T
 from .operators import chunk, clean, deliver, diagnose, gates, headers, patterns, report, state, tables, validate
 from .plans import stages
+from .sources import connectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -661,6 +662,16 @@ add(
     lambda s, d: corpora.spread(table(s, d, "documents")).select("doc_id", chunk.windows(F.col("text"), 50, 12, 60).alias("parts")).select("doc_id", F.size("parts").cast("long").alias("n_parts"), F.array_join(T.words(chunk.join_windows(F.col("parts"), 12)), " ").alias("text")),
     f"SELECT doc_id, CASE WHEN len(w) > 60 THEN 1 + (len(w) - 1) // 38 ELSE 1 END AS n_parts, array_to_string(w, ' ') AS text FROM {_WINDOWED}",
 )
+_PIP5_ROWS = corpora.checked("noisy")
+add(
+    "pip5_rewrite",
+    lambda s, d: connectors.call_model(
+        corpora.noisy(s, d).select("doc_id", deliver.refine_prompt(F.col("source"), (F.col("doc_id") % 5 + 1).cast("int"), F.lit(5), F.col("text")).alias("prompt"), deliver.max_tokens(F.col("text")).alias("max_tokens")), "", in_flight=4, attempts=3
+    ).select("doc_id", "content", "tokens_in", "tokens_out"),
+    rf"""WITH d AS (SELECT doc_id, text AS t, 'Título: ' || source || ' (chunk ' || (doc_id % 5 + 1) || '/5)' || {NL} || {NL} AS head FROM ({_PIP5_ROWS}) x),
+    m AS (SELECT *, regexp_replace(regexp_replace(replace(t, 'Ã±', 'ñ'), '\[[0-9]+\]', '', 'g'), '(?m)^\s*[0-9]+\s*$\n?', '', 'g') AS made FROM d), n AS (SELECT *, {_strip("made")} AS y FROM m)
+    SELECT doc_id, y || CASE WHEN regexp_matches(right(y, 1), '[.!?#-]') THEN '' ELSE '.' END AS content, length(head || t) // 4 AS tokens_in, length(made) // 4 AS tokens_out FROM n""",
+)
 _PIP6_STEMS = f"SELECT doc_id, source || '_' || doc_id AS stem, text AS t, {_words('text')} AS w FROM ({checked('noisy')}) x"
 _PIP6_BURIED = "len(w) > 5000 AND length(stem) > 3 AND NOT contains(lower(array_to_string(w[1:500], ' ')), lower(stem))"
 _PIP6_CUT = "CASE WHEN len(w) > 12000 THEN list_transform(range(0, len(w), 4850), lambda i: array_to_string(w[i + 1:i + 5000], ' ')) ELSE [t] END"
