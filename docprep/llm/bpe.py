@@ -9,7 +9,8 @@ is a text of a megabyte without a space.
 The vocabulary file is a parameter and is read on each worker; it is never
 copied. Edge cases: a null or empty text has no ids and decodes to an empty
 text; strings of the file's added tokens become those tokens, as the
-tokenizers library does by default; other columns are ignored.
+tokenizers library does by default; repeated rows give a row each, very long texts are
+encoded whole, an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

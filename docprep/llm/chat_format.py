@@ -14,7 +14,8 @@ JSON object is plain content; of several results or calls with one identifier
 the earliest is linked; a result without a call, a call without an identifier,
 and one with a null conversation stay where they are, not linked; calls of
 tools without a schema, or with arguments that aren't a JSON object, are not
-valid. Repeated rows stay repeated. Other columns are ignored.
+valid. Repeated rows stay repeated; of two with one turn and identifier either may be the
+earliest. Very long texts stay whole, an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

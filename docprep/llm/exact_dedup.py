@@ -10,7 +10,7 @@ move.
 Edge cases: a null text counts as empty; empty texts form one group. Rows that
 share a doc_id and a text are all kept or all dropped. Very long texts are cut
 into chunks like any other. A null doc_id stays
-only if no row of its group has an id. Other columns are ignored.
+only if no row of its group has an id. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -16,8 +16,10 @@ coefficient arrays; these are dequantised, inverse-transformed, chroma is
 upsampled, and the image becomes an RGB tensor of full resolution.
 
 Edge cases: a null text counts as empty; its payload is 64 zero bytes; blocks
-that fill up the last MCU repeat byte 0. Equal payloads give equal files. A
-file that isn't a progressive 4:2:0 JPEG raises ValueError.
+that fill up the last MCU repeat byte 0. Equal payloads give equal files, so repeated
+rows give equal rows; an empty table gives none. A payload of more than 6 GB, the most
+that the format's sides hold, raises ValueError, and so does a
+file that isn't a progressive 4:2:0 JPEG.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ which grows with the bucket and not with its square.
 Edge cases: a null text or one without words has fingerprint zero and is
 linked like any other; fewer words than a shingle make one shingle; repeated
 shingles count each time; repeated rows have one component, a null id is never its
-name while it has another member; very long texts are read whole. Other columns are ignored.
+name while it has another member; very long texts are read whole; an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -27,7 +27,7 @@ The sample, like the sizes of blocks and buckets, acts on the work alone.
 Edge cases: a null text counts as empty; texts shorter than ``width`` lose
 nothing and match nothing; equal rows: the later one goes wholly; a null
 doc_id counts as the largest; of rows with one doc_id any one counts as the
-earlier; other columns are ignored. Very long documents are worked on in slices
+earlier; an empty table gives no rows; other columns are ignored. Very long documents are worked on in slices
 that overlap by ``width - 1`` bytes.
 """
 
