@@ -6,6 +6,9 @@ and the checking engine both read, so both sides start from the same rows.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 _NL = "chr(10)"
@@ -119,6 +122,14 @@ def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(SCANS, docs=spread(table(spark, sf_dir, "documents"))).selectExpr("file_name", "encode(content, 'UTF-8') AS content")
 
 
+def work(spark: SparkSession) -> str:
+    """A new folder for what a query writes, in the one that all executors share; where none is named, as in tests, a temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{(shared or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/docprep-{uuid.uuid4().hex}"
+
+
 def layer(k: int, marked: str = ""):
     """The pages of the k-th layer of a file of ``scans``; fails if it begins with ``marked``."""
 

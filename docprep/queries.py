@@ -13,6 +13,7 @@ from .functions import text as T
 from .operators import chunk, clean, deliver, diagnose, gates, headers, patterns, report, state, tables, validate
 from .plans import stages
 from .sources import connectors
+from .streaming import assembly
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -662,6 +663,11 @@ add(
     lambda s, d: corpora.spread(table(s, d, "documents")).select("doc_id", chunk.windows(F.col("text"), 50, 12, 60).alias("parts")).select("doc_id", F.size("parts").cast("long").alias("n_parts"), F.array_join(T.words(chunk.join_windows(F.col("parts"), 12)), " ").alias("text")),
     f"SELECT doc_id, CASE WHEN len(w) > 60 THEN 1 + (len(w) - 1) // 38 ELSE 1 END AS n_parts, array_to_string(w, ' ') AS text FROM {_WINDOWED}",
 )
+add(
+    "pip1_convert_by_page",
+    lambda s, d: stages.convert_by_page(corpora.scans(s, d), corpora.work(s), corpora.layer(1), corpora.layer(0), vision=corpora.layer(2, "!"), local_ocr=corpora.layer(2)).drop("error"),
+    ORACLES["pip1_convert"],
+)
 _PIP5_ROWS = corpora.checked("noisy")
 add(
     "pip5_rewrite",
@@ -687,6 +693,18 @@ add(
     SELECT stem || '.md' AS file_name, t AS text, reason, 'COPY' AS status, 0 AS chunks, 0 AS tokens_in, 0 AS tokens_out, 100.0::DOUBLE AS retention_pct FROM j WHERE reason = 'limpio'
     UNION ALL SELECT stem || '.md', r, reason, CASE WHEN len(l) > 1 THEN 'CHUNKED' WHEN share < 30 THEN 'REVISAR' WHEN share > 98 THEN 'SIN_CAMBIO' ELSE 'OK' END, len(l), CAST(list_sum(asked) AS BIGINT), CAST(list_sum(list_transform(m, lambda x: length(x) // 4)) AS BIGINT), share FROM f""",
 )
+
+
+def _streamed(s: SparkSession, d: str) -> DataFrame:
+    """Answers kept in parts, and the documents that a stream puts together from them, some files a batch."""
+    docs, folder = corpora.noisy(s, d).select(F.concat("source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text"), corpora.work(s)
+    connectors.ask_missing(stages.refine_questions(docs)[1], f"{folder}/answers", "", retry_cut=False, steps=4, in_flight=4)
+    assembly.write_assembled(assembly.assembled(assembly.watch_answers(s, f"{folder}/answers", 50)), f"{folder}/documents", f"{folder}/checkpoint").awaitTermination()
+    return s.read.parquet(f"{folder}/documents").select("file_name", "text", "chunks", "tokens_in", "tokens_out")
+
+
+_PIP6_HEAD, _PIP6_TAIL = ORACLES["pip6_refine"].split("UNION ALL SELECT")[0], "SELECT stem || '.md' AS file_name, r AS text, len(l) AS chunks, CAST(list_sum(asked) AS BIGINT) AS tokens_in, CAST(list_sum(list_transform(m, lambda x: length(x) // 4)) AS BIGINT) AS tokens_out FROM f"
+add("pip6_streamed", _streamed, _PIP6_HEAD[: _PIP6_HEAD.rindex("SELECT stem")] + _PIP6_TAIL)
 _PIP7_PRE = ORACLES["pip3_preclean"].replace(f"({checked('noisy')}) x", f"({checked('answers')}) x")
 _PIP7_STRIPPED = ORACLES["str1_str2_strip_needless"].replace(f"({checked('noisy')}) x", f"({_PIP7_PRE}) x")
 _PIP7_PLAN = _structure("answers").replace(f"({checked('answers')}) x", f"({_PIP7_STRIPPED}) x")
