@@ -74,7 +74,7 @@ def convert(files: DataFrame, extractor: Extractor = plain_pages, raw: Extractor
     A file is opened once for all of this, and its bytes go to Python again only for that second try.
     """
     found, again = _extractors(extractor, raw, vision, local_ocr)
-    docs = read_arrays(files.select("file_name", "content"), found, gates.SCANNED_WORDS)
+    docs = read_arrays(files.select("file_name", "content"), found, gates.SCANNED_WORDS, keep=bool(again))
     layer = F.array_join(F.transform("layer", lambda t: F.coalesce(t, F.lit(""))), "\n")
     docs = _texts(docs.withColumn("raw_words", F.coalesce(count_words(layer), F.lit(0))).drop("layer"))
     if again:

@@ -700,10 +700,10 @@ def _streamed(s: SparkSession, d: str) -> DataFrame:
     docs, folder = corpora.noisy(s, d).select(F.concat("source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), "text"), corpora.work(s)
     connectors.ask_missing(stages.refine_questions(docs)[1], f"{folder}/answers", "", retry_cut=False, steps=4, in_flight=4)
     assembly.write_assembled(assembly.assembled(assembly.watch_answers(s, f"{folder}/answers", 50)), f"{folder}/documents", f"{folder}/checkpoint").awaitTermination()
-    return s.read.parquet(f"{folder}/documents").select("file_name", "text", "chunks", "tokens_in", "tokens_out")
+    return s.read.parquet(f"{folder}/documents").select("file_name", "text", "tokens_in", "tokens_out")
 
 
-_PIP6_HEAD, _PIP6_TAIL = ORACLES["pip6_refine"].split("UNION ALL SELECT")[0], "SELECT stem || '.md' AS file_name, r AS text, len(l) AS chunks, CAST(list_sum(asked) AS BIGINT) AS tokens_in, CAST(list_sum(list_transform(m, lambda x: length(x) // 4)) AS BIGINT) AS tokens_out FROM f"
+_PIP6_HEAD, _PIP6_TAIL = ORACLES["pip6_refine"].split("UNION ALL SELECT")[0], "SELECT stem || '.md' AS file_name, r AS text, CAST(list_sum(asked) AS BIGINT) AS tokens_in, CAST(list_sum(list_transform(m, lambda x: length(x) // 4)) AS BIGINT) AS tokens_out FROM f"
 add("pip6_streamed", _streamed, _PIP6_HEAD[: _PIP6_HEAD.rindex("SELECT stem")] + _PIP6_TAIL)
 _PIP7_PRE = ORACLES["pip3_preclean"].replace(f"({checked('noisy')}) x", f"({checked('answers')}) x")
 _PIP7_STRIPPED = ORACLES["str1_str2_strip_needless"].replace(f"({checked('noisy')}) x", f"({_PIP7_PRE}) x")

@@ -346,10 +346,11 @@ def read_once(content: bytes | None, found: dict[str, Extractor], least: float)
     return texts, None, None, "error", error
 
 
-def read_arrays(files: DataFrame, found: dict[str, Extractor], least: float) -> DataFrame:
-    """SRC2-4, SRC7: files (content) with the columns layer, raw_error, pages, method and error; rows stay where they are, and each file is opened once."""
+def read_arrays(files: DataFrame, found: dict[str, Extractor], least: float, keep: bool = True) -> DataFrame:
+    """SRC2-4, SRC7: files (content) with the columns layer, raw_error, pages, method and error; rows stay where they are, and each file is opened once. keep: whether its bytes go on."""
     page = StructType().add("text", StringType()).add("first_table", ArrayType(ArrayType(StringType())))
-    schema = StructType([*files.schema.fields]).add("layer", ArrayType(StringType())).add("raw_error", "string").add("pages", ArrayType(page)).add("method", "string").add("error", "string")
+    names = [c for c in files.columns if keep or c != "content"]
+    schema = StructType([files.schema[c] for c in names]).add("layer", ArrayType(StringType())).add("raw_error", "string").add("pages", ArrayType(page)).add("method", "string").add("error", "string")
     kinds = (pa.list_(pa.string()), pa.string(), _PAGES, pa.string(), pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,7 +358,7 @@ def read_arrays(files: DataFrame, found: dict[str, Extractor], least: float) ->
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 got = read_once(row.column("content")[0].as_py(), found, least)
-                yield pa.RecordBatch.from_arrays([*row.columns, *(pa.array([v], k) for v, k in zip(got, kinds, strict=True))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*(row.column(c) for c in names), *(pa.array([v], k) for v, k in zip(got, kinds, strict=True))], names=schema.names)
 
     return files.mapInArrow(run, schema)
 
