@@ -122,14 +122,14 @@ def test_toxic_stage_keeps_clean_documents(stages, spark):
 
 
 def test_all_operators_are_registered():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_against_sql(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "conversations", "labels", "pages"):
+    for t in ("documents", "conversations", "labels", "pages", "embeddings"):
         c.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
