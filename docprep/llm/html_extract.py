@@ -3,8 +3,8 @@
 A page becomes a stream of tokens, nested by element. Two streams are aligned
 level by level: what both have is merged, a stretch that only one has becomes
 optional, runs of like elements (or of like groups of elements) become
-repeated, and texts that differ become slots. Aligning the sampled pages of a
-host one after the other gives its wrapper.
+repeated, and texts that differ become slots. Aligning all pages of a
+host gives its wrapper.
 
 The wrapper then tells the article: the elements marked as such (``article``,
 ``main``), or else the innermost container that holds most of the text that
@@ -17,14 +17,16 @@ pages share goes too. Every page is aligned with its host's wrapper, which is th
 only source of the decision; a page of which it keeps nothing (another template)
 is aligned with a wrapper of its own.
 
-Wrappers come from ``SAMPLE_PAGES`` distinct pages a host, those with the least
-hash among pages of up to ``SAMPLE_CHARS`` (of pages that agree in the hash modulo
-``SALTS`` one): a page's text depends on its host's pages and not on order,
-partitions or tasks. Every page is extracted, whole.
+Wrappers come from all distinct pages of a host, whatever their length. Pages of one class
+(elements, repeats and options agree) align place by place, so a class is its form
+and, for each place of a text, sums that Spark combines before it shuffles. The classes of a host, those of
+most pages first, are then aligned in rounds of about ``FAN`` a part, the parts by a hash of the class: a page's text depends
+on its host's pages and not on order, partitions or tasks, and no task meets all pages or
+all classes of a host but in what alignment leaves of them.
 
 Edge cases: a null html counts as empty and gives an empty text; pages with a
 null or unknown host count as one host; repeated pages give repeated rows and
-are sampled once; ties in the sample's hash are settled by the text; elements
+count once; elements
 nested deeper than ``DEPTH`` belong to the one there; very long pages take
 linear time. Other columns are ignored.
 """
@@ -35,18 +37,20 @@ import html as entities
 import json
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
+from itertools import chain, groupby
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_written, slices, written
 
-#: The sample of a host, and the number of pages from which a shared text can be told to be fixed.
-SAMPLE_PAGES, SAMPLE_CHARS, LEAST_PAGES, SALTS = 16, 1 << 18, 3, 256
+#: The number of pages from which a shared text can be told to be fixed, and the classes of a host that one part of a round aligns.
+LEAST_PAGES, FAN = 3, 64
 #: Deepest nesting that is told apart, and most different parts of a repeated element.
 DEPTH, PARTS = 100, 64
 #: The share of the varying text that a container must hold to be gone into, and that links must have to make a doubtful element no article.
@@ -80,7 +84,7 @@ PARTS_OF_WORD = re.compile(r"[^a-z]+")
 class Node:
     """An element, a group of elements (name in brackets) or a text (name ``#``) of a page or a wrapper.
 
-    value: the text if it is the same wherever seen, else None (a slot). texts: places in the page's stream.
+    value: the text (in tables its ``key``) if it is the same wherever seen, else None (a slot). texts: places in the page's stream.
     """
 
     __slots__ = ("chars", "gone", "keep", "kids", "links", "name", "optional", "pages", "repeated", "shape", "texts", "value")
@@ -89,7 +93,7 @@ class Node:
         self.name, self.kids = name, kids if kids is not None else []
         self.optional = self.repeated = self.keep = self.gone = False
         self.pages, self.chars, self.links, self.shape = 1, 0, 0, 0
-        self.value: str | None = None
+        self.value: str | int | None = None
         self.texts: list[int] = []
 
 
@@ -370,21 +374,62 @@ def _counted(w: Node, p: Node) -> None:
         todo += [(x, y) for x, y in pairs(a.kids, b.kids) if x and y and x.name[0] != "("]
 
 
-def infer(pages: list[str]) -> Node:
-    """The wrapper of some pages of a host, judged."""
+def aligned(trees: Iterable[Node]) -> Node | None:
+    """The trees of pages, classes or parts of a host as one, not judged."""
     wrapper: Node | None = None
-    for page in pages:
-        tree = shaped(*tree_of(page))
+    for tree in trees:
         if wrapper is None:
             wrapper = tree
         else:
             _counted(wrapper, tree)
             wrapper = merged(wrapper, tree, repeat=False)
-    wrapper = wrapper or Node("page")
+    return wrapper
+
+
+def infer(pages: list[str]) -> Node:
+    """The wrapper of some pages of a host, judged."""
+    wrapper = aligned(shaped(*tree_of(page)) for page in pages) or Node("page")
     judge(wrapper, len(pages))
     return wrapper
 
 
+def key(text: str) -> int:
+    """What stands for a text in tables."""
+    h = xxhash.xxh64_intdigest(text.encode(errors="surrogatepass"))
+    return h - (h >> 63 << 64)
+
+
+def outline(root: Node) -> tuple[str, list[Node]]:
+    """The class of a tree, a digest of all that it holds but its texts, and the texts in order."""
+    parts: list[str] = []
+    texts: list[Node] = []
+    todo: list[Node | None] = [root]
+    while todo:
+        n = todo.pop()
+        if n is None:
+            parts.append(")")
+            continue
+        parts += (n.name, marks(n))
+        if n.name == "#":
+            texts.append(n)
+        elif n.kids:
+            parts.append("(")
+            todo += (None, *reversed(n.kids))
+    return blake2b("\n".join(parts).encode(errors="surrogatepass"), digest_size=16).hexdigest(), texts
+
+
+def weighted(form: Node, pages: int, texts: list[tuple[int | None, int, int]]) -> Node:
+    """The tree of a class by its form, its number of pages, and the value, chars and links of each text: what aligning its pages gives."""
+    for t, (value, chars, links) in zip(outline(form)[1], texts, strict=True):
+        t.value, t.chars, t.links = value, chars, links
+    todo = [form]
+    while todo:
+        n = todo.pop()
+        n.pages = pages
+        todo += [k for k in n.kids if k.name[0] != "("]
+    return form
+
+
 def expression(node: Node) -> str:
     """A wrapper in the notation of regular expressions."""
     if node.name == "#":
@@ -502,16 +547,47 @@ def walk_shown(node: Node, on: set[int]) -> Iterator[Node]:
         todo += [k for k in n.kids if id(k) in on]
 
 
+def pruned(root: Node) -> Node:
+    """A judged wrapper without what decides nothing: the inside of elements of which nothing stays, and of those where all that isn't known by its name alone stays."""
+    order = list(walk(root))
+    keeps: dict[int, bool] = {}
+    plain: dict[int, bool] = {}
+    for n in reversed(order):
+        keeps[id(n)] = n.keep or any(keeps[id(k)] for k in n.kids)
+        if n.name == "#":
+            plain[id(n)] = not n.gone
+        elif is_doubtful(n.name) or n.name[0] == "(":
+            plain[id(n)] = False
+        elif is_beside(n.name):
+            plain[id(n)] = not keeps[id(n)]
+        else:
+            plain[id(n)] = n.keep and all(plain[id(k)] for k in n.kids)
+    for n in order:
+        if n.name[0] != "(" and (not keeps[id(n)] or plain[id(n)]):
+            n.kids = []
+    return root
+
+
+def marks(node: Node) -> str:
+    return ("+" if node.repeated else "") + ("?" if node.optional else "")
+
+
 def packed(node: Node) -> list:
-    return [node.name, int(node.keep), node.value if node.gone else None, ("+" if node.repeated else "") + ("?" if node.optional else ""), [packed(k) for k in node.kids]]
+    return [node.name, marks(node) + ("k" if node.keep else "") + ("g" if node.gone else ""), node.value, node.pages, node.chars, node.links, [packed(k) for k in node.kids]]
 
 
 def unpacked(data: list) -> Node:
-    node = Node(data[0], [unpacked(k) for k in data[4]])
-    node.keep, node.value, node.gone, node.repeated, node.optional = bool(data[1]), data[2], data[2] is not None, "+" in data[3], "?" in data[3]
+    node = Node(data[0], [unpacked(k) for k in data[6]])
+    node.repeated, node.optional, node.keep, node.gone = (m in data[1] for m in "+?kg")
+    node.value, node.pages, node.chars, node.links = data[2:6]
     return node
 
 
+def form_of(node: Node) -> list:
+    """A tree packed without what tells pages of its class apart."""
+    return [node.name, marks(node), None, 1, 0, 0, [form_of(k) for k in node.kids]]
+
+
 # --- from a page to its text
 
 
@@ -522,7 +598,7 @@ def kept_texts(wrapper: Node, page: Node) -> list[int]:
     while todo:
         w, p, on = todo.pop()
         if p.name == "#":
-            if on and not (w and w.gone and w.value == p.value):
+            if on and not (w and w.gone and p.value is not None and w.value in (p.value, key(p.value))):
                 out += p.texts
         elif w:
             inside = w.keep if w.name[0] != "(" else on
@@ -558,32 +634,88 @@ def main_text(wrapper: Node, page: str) -> str:
 
 
 def extract(pages: list[str]) -> list[str]:
-    """Main texts of all pages of one host."""
-    wrapper = infer(sampled(pages))
+    """Main texts of all pages of one host, of up to FAN classes: what the Spark form gives."""
+    classes: dict[str, list[Node]] = {}
+    for page in dict.fromkeys(pages):
+        tree = shaped(*tree_of(page))
+        classes.setdefault(outline(tree)[0], []).append(tree)
+    wrapper = aligned(aligned(trees) for _, trees in sorted(classes.items(), key=lambda c: (-len(c[1]), c[0]))) or Node("page")
+    judge(wrapper, wrapper.pages)
     return [main_text(wrapper, p) for p in pages]
 
 
-def sampled(pages: list[str]) -> list[str]:
-    """The distinct pages with the least hash: what the Spark form samples by its own hash."""
-    short = {p for p in pages if len(p) <= SAMPLE_CHARS}
-    return sorted(short, key=lambda p: (blake2b(p.encode(errors="surrogatepass"), digest_size=8).digest(), p))[:SAMPLE_PAGES]
+def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_host, _page (a digest), _class, the class's form where the task first meets it, and the key, chars and links of each text."""
+    met: set[tuple[str, str]] = set()
+    for batch in batches:
+        for part in slices(batch):
+            rows = []
+            for host, page in zip(part.column("_host").to_pylist(), part.column("_text").to_pylist(), strict=True):
+                tree = shaped(*tree_of(page))
+                name, texts = outline(tree)
+                form = None
+                if (host, name) not in met:
+                    if len(met) > 50_000:
+                        met.clear()
+                    met.add((host, name))
+                    form = json.dumps(form_of(tree))
+                sums = [None if t.value is None else key(t.value) for t in texts], [t.chars for t in texts], [t.links for t in texts]
+                rows.append((host, blake2b(page.encode(errors="surrogatepass"), digest_size=16).hexdigest(), name, form, *sums))
+            kinds = [pa.string()] * 4 + [pa.list_(pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["_host", "_page", "_class", "_tree", "keys", "chars", "links"])
+
+
+def class_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "_tree"):
+            rows = zip(part.column("_tree").to_pylist(), part.column("_pages").to_pylist(), part.column("texts").to_pylist(), strict=True)
+            made = [json.dumps(packed(weighted(unpacked(json.loads(t)), n, [(x["key"], x["chars"], x["links"]) for x in texts or []]))) for t, n, texts in rows]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("_host", "_class", "_pages")), pa.array(made, pa.string())], names=["_host", "_class", "_pages", "_tree"])
+
+
+def aligned_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each run of rows of a host and part, in their order; its class is that of the first."""
+    rows = ((r["_host"], r["_part"], r["_class"], r["_tree"]) for batch in batches for part in slices(batch, "_tree") for r in part.to_pylist())
+    for (host, _), run in groupby(rows, key=lambda r: r[:2]):
+        first = next(run)
+        wrapper = aligned(unpacked(json.loads(r[3])) for r in chain([first], run))
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (host, first[2], wrapper.pages, json.dumps(packed(wrapper)))], names=["_host", "_class", "_pages", "_tree"])
+
+
+def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "_tree"):
+            made = []
+            for tree in part.column("_tree").to_pylist():
+                wrapper = unpacked(json.loads(tree))
+                judge(wrapper, wrapper.pages)
+                made.append(json.dumps(packed(pruned(wrapper))))
+            yield pa.RecordBatch.from_arrays([part.column("_host"), pa.array(made, pa.string())], names=["_wrapped_host", "_wrapper"])
 
 
 def wrappers(base: DataFrame) -> DataFrame:
-    """base: _host, _text. One row for each host: _wrapped_host, _wrapper (JSON). At most SAMPLE_PAGES pages of a host meet in a task."""
-    short = base.where(F.length("_text") <= SAMPLE_CHARS).select("_host", F.xxhash64("_text").alias("_hash"), "_text")
-    # The least hash of each of SALTS parts of a host, combined before the shuffle; then the least of those.
-    least = short.groupBy("_host", F.pmod("_hash", F.lit(SALTS)).alias("_salt")).agg(F.min("_hash").alias("_hash"))
-    ranked = least.withColumn("_n", F.row_number().over(Window.partitionBy("_host").orderBy("_hash")))
-    picked = written(ranked.where(F.col("_n") <= SAMPLE_PAGES).select(F.col("_host").alias("_ph"), F.col("_hash").alias("_pk")), "sampled-pages")
-    sample = short.join(picked, (F.col("_host") == F.col("_ph")) & (F.col("_hash") == F.col("_pk"))).groupBy("_host", "_hash").agg(F.min("_text").alias("_text"))
-
-    def run(table: pa.Table) -> pa.Table:
-        pages = [t for _, t in sorted(zip(table.column("_hash").to_pylist(), table.column("_text").to_pylist(), strict=True))]
-        return pa.table({"_wrapped_host": table.column("_host")[:1], "_wrapper": pa.array([json.dumps(packed(infer(pages)))])})
-
-    out = written(sample.groupBy("_host").applyInArrow(run, "_wrapped_host string, _wrapper string"), "wrappers")
-    drop_written(picked)
+    """base: _host, _text. One row for each host: _wrapped_host, _wrapper (JSON)."""
+    seen = written(base.mapInArrow(outlines, "_host string, _page string, _class string, _tree string, keys array<long>, chars array<long>, links array<long>"), "outlines")
+    forms = seen.where("_tree is not null").groupBy("_host", "_class").agg(F.min("_tree").alias("_tree"))
+    pages = seen.drop("_tree").dropDuplicates(["_host", "_page"])
+    texts = pages.select("_host", "_class", F.posexplode_outer(F.arrays_zip("keys", "chars", "links")).alias("pos", "t"))
+    same = (F.count("t.keys") == F.count("*")) & (F.min("t.keys") == F.max("t.keys"))
+    places = texts.groupBy("_host", "_class", "pos").agg(F.count("*").alias("n"), F.when(same, F.min("t.keys")).alias("key"), F.sum("t.chars").alias("chars"), F.sum("t.links").alias("links"))
+    place = F.when(F.col("pos").isNotNull(), F.struct("pos", "key", "chars", "links"))
+    classes = places.groupBy("_host", "_class").agg(F.max("n").alias("_pages"), F.sort_array(F.collect_list(place)).alias("texts"))
+    made = written(classes.join(forms, ["_host", "_class"]).mapInArrow(class_trees, "_host string, _class string, _pages long, _tree string"), "classes")
+    drop_written(seen)
+    while True:
+        counts = made.groupBy("_host").agg(F.count("*").alias("_n"))
+        if (counts.agg(F.max("_n")).first()[0] or 0) <= 1:
+            break
+        dealt = made.join(counts, "_host").withColumn("_part", F.pmod(F.xxhash64("_class"), F.ceil(F.col("_n") / FAN)))
+        order = dealt.repartition("_host", "_part").sortWithinPartitions("_host", "_part", F.desc("_pages"), "_class")
+        new = written(order.select("_host", "_part", "_class", "_tree").mapInArrow(aligned_parts, "_host string, _class string, _pages long, _tree string"), "aligned")
+        drop_written(made)
+        made = new
+    out = written(made.mapInArrow(judged, "_wrapped_host string, _wrapper string"), "wrappers")
+    drop_written(made)
     return out
 
 

@@ -500,6 +500,56 @@ def test_pages_without_article_by_host(spark):
     assert all(out[1][400 + i] == "All shared" for i in range(4))
 
 
+def test_wrappers_come_from_all_pages(spark):
+    """Two pages of hundred, or one very long page, tell that a text isn't fixed."""
+    page = "<html><body><div>Site of Ann</div><div><h2>{0}</h2><p>Story {1}</p></div></body></html>"
+    few = [page.format("Edition two" if i in (31, 77) else "Edition one", i) for i in range(100)]
+    long_ = [page.format("Edition one", i) for i in range(5)] + [page.format("Edition two", "long " * 60_000)]
+    rows = [(i, "http://a.example/", p) for i, p in enumerate(few)] + [(1000 + i, "http://b.example/", p) for i, p in enumerate(long_)]
+    got = {r.page_id: r.text for r in html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for first, pages in ((0, few), (1000, long_)):
+        assert [got[first + i] for i in range(len(pages))] == html_extract.extract(pages)
+        assert got[first + 1] == "Edition one\n\nStory 1"
+
+
+def test_classes_of_a_host_are_aligned_in_parts(spark, monkeypatch):
+    """Irregular pages: the tables give what the lists give, and in several rounds texts don't depend on order or partitions."""
+    r = random.Random(3)
+    hosts = {f"h{h}.example": [random_page(r) for _ in range(40)] for h in range(6)}
+    rows = [(100 * h + i, f"http://{host}/", p) for h, (host, pages) in enumerate(hosts.items()) for i, p in enumerate(pages)]
+
+    def texts(rows, parts):
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+        return {x.page_id: x.text for x in html_extract.main_texts(df).collect()}
+
+    got = texts(rows, 3)
+    for h, pages in enumerate(hosts.values()):
+        assert [got[100 * h + i] for i in range(40)] == html_extract.extract(pages)
+    monkeypatch.setattr(html_extract, "FAN", 3)
+    several = texts(rows, 1)
+    assert several == texts(rows[::-1], 7) and len(several) == len(rows)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_pruned_wrappers_decide_the_same(seed):
+    r = random.Random(seed)
+
+    def some(depth=0):
+        out = ""
+        for _ in range(r.randint(0, 5)):
+            kind = r.choice(["nav", "div class=menu", 'div class="x-related"', "article", "header", "main", "div class=social", "p", "div", "li", "text", "text", "link"])
+            if kind in ("text", "link"):
+                out += r.choice(["Same line", f"x{r.randint(0, 99)}"]) if kind == "text" else f"<a href=x>l{r.randint(0, 3)}</a>"
+            else:
+                out += f"<{kind}>{some(depth + 1) if depth < 4 else r.randint(0, 9)}</{kind.split()[0]}>"
+        return out
+
+    pages = [some() for _ in range(r.randint(1, 7))]
+    wrapper = html_extract.infer(pages)
+    less = html_extract.pruned(html_extract.unpacked(html_extract.packed(wrapper)))
+    assert all(html_extract.main_text(wrapper, p) == html_extract.main_text(less, p) for p in [*pages, some(), some()])
+
+
 # --- chats
 
 
