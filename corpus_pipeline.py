@@ -32,9 +32,10 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that share four fifths of their five-word shingles the one with the smallest doc_id stays.
 
-    Rows that share a doc_id stay or go together.
+    SimHash links documents whose fingerprints differ in four bits at most, if they share as much; the pairs
+    that 64 bits can't show are found by their shingles. Rows that share a doc_id stay or go together.
     """
-    gone = similar.similar_documents(docs, words=5, least=(4, 5))
+    gone = similar.similar_documents(docs, words=5, least=(4, 5), radius=4)
     return docs.join(gone.select("node"), F.col("doc_id") == F.col("node"), "left_anti")
 
 

@@ -50,22 +50,22 @@ def shingle_hashes(text: bytes, words: int) -> list[int]:
     return [h(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)]
 
 
-def fingerprints(texts: list[bytes], words: int = 4) -> np.ndarray:
-    """A bit is one if more than half of the text's shingle hashes have it."""
-    out = np.zeros(len(texts), np.uint64)
-    hashes, sizes, at = [], [], []
-    for i, t in enumerate(texts):
-        if h := shingle_hashes(t, words):
-            hashes += h
-            sizes.append(len(h))
-            at.append(i)
+def voted(hashes: list[np.ndarray]) -> np.ndarray:
+    """The fingerprint of each list of shingle hashes: a bit is one if more than half of them have it."""
+    out = np.zeros(len(hashes), np.uint64)
+    at = [i for i, h in enumerate(hashes) if len(h)]
     if at:
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        votes = np.add.reduceat(bits, np.cumsum([0, *sizes[:-1]]), axis=0, dtype=np.int32)
-        out[at] = np.packbits(votes * 2 > np.array(sizes)[:, None], axis=1, bitorder="little").view("<u8").ravel()
+        sizes = np.array([len(hashes[i]) for i in at])
+        bits = np.unpackbits(np.concatenate([hashes[i] for i in at]).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        votes = np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.int32)
+        out[at] = np.packbits(votes * 2 > sizes[:, None], axis=1, bitorder="little").view("<u8").ravel()
     return out
 
 
+def fingerprints(texts: list[bytes], words: int = 4) -> np.ndarray:
+    return voted([np.array(shingle_hashes(t, words), np.uint64) for t in texts])
+
+
 def with_fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     """_id and fp (64 bits as a long)."""
 
@@ -85,8 +85,8 @@ def covering_masks(radius: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def _close_in_bucket(fps: list[int], reps: list[int], radius: int) -> Iterator[tuple[int, int]]:
-    """Links each node of a bucket to the smallest of its component within the bucket."""
+def _close_in_bucket(fps: list[int], reps: list[int], radius: int, near_only: bool = False) -> Iterator[tuple[int, int]]:
+    """Links each node of a bucket to the smallest of its component within the bucket; near_only: to a node of it within the radius."""
     order = np.argsort(reps, kind="stable")
     r, f = np.array(reps, np.int64)[order], np.array(fps, np.int64)[order].view(np.uint64)
     free = np.ones(len(r), bool)
@@ -97,20 +97,22 @@ def _close_in_bucket(fps: list[int], reps: list[int], radius: int) -> Iterator[t
         todo = [i]
         while todo and free.any():
             left = np.flatnonzero(free)
-            near = left[np.bitwise_count(f[left] ^ f[todo.pop()]) <= radius]
+            at = todo.pop()
+            near = left[np.bitwise_count(f[left] ^ f[at]) <= radius]
             free[near] = False
             todo += near.tolist()
-            yield from ((int(r[k]), int(r[i])) for k in near)
+            to = int(r[at if near_only else i])
+            yield from ((max(int(r[k]), to), min(int(r[k]), to)) for k in near)
 
 
-def bucket_links(buckets: DataFrame, radius: int) -> DataFrame:
+def bucket_links(buckets: DataFrame, radius: int, near_only: bool = False) -> DataFrame:
     """buckets: key, members (array of structs fp, rep). Returns links a > b."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = set()
             for m in batch.column("members").to_pylist():
-                found.update(_close_in_bucket([x["fp"] for x in m], [x["rep"] for x in m], radius))
+                found.update(_close_in_bucket([x["fp"] for x in m], [x["rep"] for x in m], radius, near_only))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return buckets.mapInArrow(trimmed(run), "a long, b long")
@@ -139,15 +141,15 @@ def midpoint_links(nodes: DataFrame, radius: int) -> DataFrame:
     return around.join(least, "mid").where("rep > b").select(F.col("rep").alias("a"), "b").distinct()
 
 
-def links(nodes: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
-    """nodes: fp (distinct), rep. Links a > b between reps that connect all pairs within the radius."""
+def links(nodes: DataFrame, radius: int = 4, block: int = BLOCK, near_only: bool = False) -> DataFrame:
+    """nodes: fp (distinct), rep. Links a > b between reps that connect all pairs within the radius; near_only: by such pairs alone."""
     tables = [F.struct((F.col("fp").bitwiseAND(F.lit(m)).bitwiseXOR(F.lit(~m & (k * 0x9E3779B97F4A7C15 & 0x7FFFFFFFFFFFFFFF)))).alias("key"), F.lit(m).alias("mask")) for k, m in enumerate(covering_masks(radius))]
     keyed = nodes.select("fp", "rep", F.explode(F.array(*tables)).alias("t")).select("fp", "rep", "t.key", "t.mask")
     busy = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     met = keyed.join(busy, "key")
     small = met.where(F.col("n") <= block).groupBy("key").agg(F.collect_list(F.struct("fp", "rep")).alias("members"))
     found = written(met.where(F.col("n") > block), "large-buckets")
-    out = bucket_links(small, radius)
+    out = bucket_links(small, radius, near_only)
     return out if found.isEmpty() else out.unionByName(midpoint_links(found.select("fp", "rep", "mask"), radius))
 
 

@@ -1,15 +1,18 @@
-"""Near-duplicates by the exact similarity of their shingle sets, with a prefix filter.
+"""Near-duplicates by SimHash, each link checked on the shingle sets, and exactly for the pairs that SimHash leaves.
 
 Two documents are similar if their sets of word shingles have a Jaccard similarity
-of at least ``LEAST``. In any one order of all shingles, two sets this similar share
+of at least ``LEAST``. SimHash comes first: the fingerprints of the same shingles that
+lie within ``RADIUS`` bits are linked as in ``simhash``, and a link stays if the
+two whole sets are similar. Sets this similar may well differ in ten bits of 64, so pairs
+are left, and a prefix filter finds them: in any one order of all shingles, two similar sets share
 a shingle among the first n - ceil(LEAST * n) + 1 of each (n: the set's size), so
 documents that meet by such a prefix are all the candidates: no pair is missed, at
-any similarity from ``LEAST`` on, which no practical radius of a 64-bit fingerprint
-gives. Each candidate pair is then checked on the whole sets.
+any similarity from ``LEAST`` on. Each candidate pair is then checked on the whole sets; what
+SimHash brought together or ruled out isn't checked again.
 
 The order puts shingles that a sample of documents has more often last, so that
 common passages rarely make documents meet; the sample acts on the work and never on
-the result. Linking is in three steps: each document with those ``STARS`` of the smallest documents of its
+the result. After SimHash linking is in three steps: each document with those ``STARS`` of the smallest documents of its
 buckets that it meets most often; where that leaves a bucket's documents apart, with those of ``PIVOTS``
 further documents of its buckets; and then only pairs of a bucket that these links leave apart. Of
 these last, pairs are passed over whose sets differ in too many shingles by a parity sketch: each shingle flips one of
@@ -31,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, id_text, slices, texts_as_bytes, trimmed, written
+from .common import drop_written, id_text, join_groups, slices, texts_as_bytes, trimmed, written
 from .components import connected_components
-from .simhash import shingle_hashes
+from .simhash import links, shingle_hashes, voted
 
-#: The least similarity as a fraction of whole numbers.
-WORDS, LEAST = 5, (4, 5)
+#: Words of a shingle, the least similarity as a fraction of whole numbers, and the bits in which fingerprints that SimHash links may differ.
+WORDS, LEAST, RADIUS = 5, (4, 5), 4
 #: Documents whose shingles tell which are common, and the number of common ones.
 SAMPLE, COMMON = 20_000, 500_000
 #: Links of a document in one step at most, documents of a bucket that others are linked with in the second, and longs of a parity sketch.
@@ -82,7 +85,7 @@ def parity_sketch(shingles: np.ndarray) -> list[int]:
 
 
 def prefixes(base: DataFrame, words: int, least: tuple[int, int], common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """key, id, n (size of the set), pos (of the key in the order), and at position 0 the set's sketch. An empty set has the key 0 and the size 0."""
+    """key, id, n (size of the set), pos (of the key in the order), and at position 0 the set's sketch and the SimHash fingerprint. An empty set has the key 0 and the size 0."""
     shared = base.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,8 +93,9 @@ def prefixes(base: DataFrame, words: int, least: tuple[int, int], common: tuple[
         for batch in batches:
             for part in slices(batch):
                 rows: list[tuple] = []
-                for i, t in zip(part.column("_id").to_pylist(), texts_as_bytes(part), strict=True):
-                    s = shingle_set(t, words)
+                hashes = [np.array(shingle_hashes(t, words), np.uint64) for t in texts_as_bytes(part)]
+                for i, h in zip(part.column("_id").to_pylist(), hashes, strict=True):
+                    s = np.unique(h).view(np.int64)
                     if not len(s):
                         rows.append((np.zeros(1, np.int64), i, 0, [0] * SKETCH))
                         continue
@@ -104,9 +108,21 @@ def prefixes(base: DataFrame, words: int, least: tuple[int, int], common: tuple[
                 pos = np.concatenate([np.arange(k) for k in sizes])
                 cols = [np.concatenate([r[0] for r in rows]), np.repeat(np.array([r[1] for r in rows], np.int64), sizes), np.repeat(np.array([r[2] for r in rows], np.int32), sizes), pos.astype(np.int32)]
                 sketches = pa.array([x for r in rows for x in (r[3], *[None] * (len(r[0]) - 1))], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), sketches], names=["key", "id", "n", "pos", "sketch"])
+                fps = pa.array(np.repeat(voted(hashes).view(np.int64), sizes), mask=pos > 0)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), sketches, fps], names=["key", "id", "n", "pos", "sketch", "fp"])
 
-    return base.mapInArrow(trimmed(run), "key long, id long, n int, pos int, sketch array<long>")
+    return base.mapInArrow(trimmed(run), "key long, id long, n int, pos int, sketch array<long>, fp long")
+
+
+def simhash_pairs(fingerprints: DataFrame, radius: int) -> DataFrame:
+    """fingerprints: id, fp. Pairs a > b of ids within the radius, which connect all such pairs; of equal fingerprints each with the smallest id."""
+    made = written(fingerprints, "fingerprints")
+    nodes = written(made.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "nodes")
+    equal = join_groups(made, nodes.where("n > 1"), ["fp"], "n").where("id > rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    out = written(equal.unionByName(links(nodes.select("fp", "rep"), radius, near_only=True)).distinct(), "simhash")
+    drop_written(made)
+    drop_written(nodes)
+    return out
 
 
 def checked(pairs: DataFrame, base: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
@@ -121,7 +137,7 @@ def checked(pairs: DataFrame, base: DataFrame, words: int, least: tuple[int, int
     return out
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: tuple[int, int] = LEAST) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: tuple[int, int] = LEAST, radius: int = RADIUS) -> DataFrame:
     """Links of similar documents: node, root (smallest id of its component) for all that aren't roots."""
     p, q = least
     base = id_text(docs, id_col, text_col).where("_id is not null")
@@ -129,6 +145,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     made = prefixes(base, words, least, common)
     # An empty set doesn't meet a shingle whose hash is 0.
     keyed = written(made.withColumn("empty", F.col("n") == 0), "prefixes")
+    by_simhash = simhash_pairs(keyed.where("pos = 0").select("id", "fp"), radius)
+    close = checked(by_simhash, base, words, least)
     busy = keyed.groupBy("key", "empty").agg(F.count("*").alias("k"), F.min("id").alias("b"), F.min_by(F.struct("n", "pos"), "id").alias("at")).where("k > 1")
     met = written(keyed.join(busy, ["key", "empty"]).select("key", "empty", "id", "n", "pos", "b", "at"), "met")
 
@@ -152,8 +170,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         drop_written(roots)
         return out
 
-    first = written(most_met(meeting.select(F.col("id").alias("a"), "b")), "pairs")
-    stars = checked(first, base, words, least)
+    first = written(most_met(meeting.select(F.col("id").alias("a"), "b")).join(by_simhash, ["a", "b"], "left_anti"), "pairs")
+    stars = close.unionByName(checked(first, base, words, least))
+    first = by_simhash.unionByName(first)
     sketches = keyed.where("sketch IS NOT NULL").select(F.col("id").alias("of"), "sketch").dropDuplicates(["of"])
     left = apart_by(met.select("key", "empty", "id", "n", "pos"), stars, "apart")
     left = written(left.join(sketches, F.col("id") == F.col("of")).drop("of"), "sketched")

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from docprep.llm import queries
+from docprep.llm import queries, simhash, similar
 
 from .test_llm_corpus import brute_repeats
 
@@ -96,6 +96,52 @@ def test_near_stage_finds_all_similar_documents(spark):
     assert 10 < len(root) < len(texts) - 20
 
 
+def test_near_stage_goes_by_simhash_first(spark, monkeypatch):
+    """The first pairs that are checked are those of SimHash, all of them; what it leaves is found later, and no pair is checked twice."""
+    r = random.Random(11)
+    words = ["".join(r.choice("abcdefg") for _ in range(5)) for _ in range(900)]
+    texts = []
+    for size in (30, 300, 300, 900, 900):
+        base = r.choices(words, k=size)
+        for k in range(8):
+            w = list(base)
+            for _ in range(k % 4 * size // 300):
+                w[r.randrange(size)] = r.choice(words)
+            texts.append(" ".join(w) + (" " if k == 4 else ""))
+    fps = [int(x) for x in simhash.fingerprints([t.encode() for t in texts], 5)]
+    near = {(a, b) for a in range(len(texts)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4}
+    seen = []
+    plain = similar.checked
+
+    def checked(pairs, *rest):
+        out = plain(pairs, *rest)
+        seen.append(({(x.a, x.b) for x in pairs.collect()}, {(x.a, x.b) for x in out.collect()}))
+        return out
+
+    monkeypatch.setattr(similar, "checked", checked)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert set(rows(corpus_pipeline.near_dedup_stage(spark, docs, SF))) == set(similar_roots(dict(enumerate(texts))).values())
+    first, linked = seen[0]
+    assert linked and first <= near
+
+    def joined(pairs):
+        root = list(range(len(texts)))
+        for a, b in pairs:
+            low, high = sorted((root[a], root[b]))
+            root = [low if x == high else x for x in root]
+        return root
+
+    assert joined(first) == joined(near)
+    assert set().union(*(out for _, out in seen[1:])) and sum(len(p) for p, _ in seen) == len(set().union(*(p for p, _ in seen)))
+
+
+def test_close_fingerprints_alone_are_no_copies(spark, monkeypatch):
+    """Where all fingerprints are equal the check on the sets decides."""
+    monkeypatch.setattr(similar, "voted", lambda hashes: simhash.voted([h[:0] for h in hashes]))
+    docs = spark.createDataFrame([(i, " ".join(f"w{i // 2}x{k}" for k in range(40)) + " end" * (i % 2)) for i in range(8)] + [(9, "")], "doc_id long, text string")
+    assert set(rows(corpus_pipeline.near_dedup_stage(spark, docs, SF))) == {0, 2, 4, 6, 9}
+
+
 def test_suffix_stage(stages):
     before, after = rows(stages[3]), rows(stages[4])
     want = brute_repeats([(i, r.text) for i, r in before.items()])
