@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, written
+from .common import drop_written, shuffled, written
 
 
 SALTS, MOST_BUSY = 16, 100_000
@@ -20,7 +20,7 @@ def _with_least(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:
     busy = F.broadcast(edges.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > max(64, 2 * total // MOST_BUSY)).select("a", F.lit(SALTS).alias("parts")))
     dealt = edges.join(busy, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("salt"))
     copies = least.join(busy, "a", "left").select("a", "m", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("salt"))
-    return dealt.join(copies, ["a", "salt"]).drop("salt")
+    return dealt.join(shuffled(copies), ["a", "salt"]).drop("salt")
 
 
 def connected_components(links: DataFrame) -> DataFrame:

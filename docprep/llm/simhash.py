@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, id_text, join_groups, slices, texts_as_bytes, trimmed, written
+from .common import drop_written, id_text, join_groups, shuffled, slices, texts_as_bytes, trimmed, written
 from .components import connected_components
 
 BLOCK = 2048
@@ -137,8 +137,8 @@ def midpoint_links(nodes: DataFrame, radius: int) -> DataFrame:
     # An odd radius makes the sum of two halves one too many: check each link; the links to the least member alone would then not do.
     if radius % 2:
         other = around.select("mid", F.col("rep").alias("b"), F.col("fp").alias("bfp"))
-        return around.join(other, "mid").where((F.col("rep") > F.col("b")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("bfp"))) <= radius)).select(F.col("rep").alias("a"), "b").distinct()
-    return around.join(least, "mid").where("rep > b").select(F.col("rep").alias("a"), "b").distinct()
+        return around.join(shuffled(other), "mid").where((F.col("rep") > F.col("b")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("bfp"))) <= radius)).select(F.col("rep").alias("a"), "b").distinct()
+    return around.join(shuffled(least), "mid").where("rep > b").select(F.col("rep").alias("a"), "b").distinct()
 
 
 def links(nodes: DataFrame, radius: int = 4, block: int = BLOCK, near_only: bool = False) -> DataFrame:
@@ -146,7 +146,7 @@ def links(nodes: DataFrame, radius: int = 4, block: int = BLOCK, near_only: bool
     tables = [F.struct((F.col("fp").bitwiseAND(F.lit(m)).bitwiseXOR(F.lit(~m & (k * 0x9E3779B97F4A7C15 & 0x7FFFFFFFFFFFFFFF)))).alias("key"), F.lit(m).alias("mask")) for k, m in enumerate(covering_masks(radius))]
     keyed = nodes.select("fp", "rep", F.explode(F.array(*tables)).alias("t")).select("fp", "rep", "t.key", "t.mask")
     busy = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    met = keyed.join(busy, "key")
+    met = keyed.join(shuffled(busy), "key")
     small = met.where(F.col("n") <= block).groupBy("key").agg(F.collect_list(F.struct("fp", "rep")).alias("members"))
     found = written(met.where(F.col("n") > block), "large-buckets")
     out = bucket_links(small, radius, near_only)
@@ -160,6 +160,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     made = written(with_fingerprints(id_text(docs, id_col, text_col), words), "fingerprints")
     nodes = written(made.groupBy("fp").agg(F.min("_id").alias("rep"), F.count("*").alias("n")), "nodes")
     roots = connected_components(links(nodes.where("rep is not null").select("fp", "rep"), radius, block))
-    whole = written(nodes.join(roots, nodes["rep"] == roots["node"], "left").select("fp", "n", F.coalesce("root", "rep").alias("component_id")), "classes")
+    whole = written(nodes.join(shuffled(roots), nodes["rep"] == roots["node"], "left").select("fp", "n", F.coalesce("root", "rep").alias("component_id")), "classes")
     drop_written(nodes)
     return join_groups(made, whole, ["fp"], "n").select(F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -146,6 +146,20 @@ def test_components(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_tables_that_grow_are_not_broadcast(spark, tmp_path):
+    """Each row of a table of small files makes 31; Spark goes by the files, and would send the keys to the driver."""
+    spark.range(3000).select(F.xxhash64("id").alias("fp"), F.col("id").alias("rep")).write.parquet(f"{tmp_path}/nodes")
+    spark.range(1, 3000).select(F.col("id").alias("a"), F.lit(0).cast("long").alias("b")).write.parquet(f"{tmp_path}/links")
+    edges = spark.read.parquet(f"{tmp_path}/links")
+
+    def joins(df):
+        return [kind for kind in ("BroadcastHashJoin", "SortMergeJoin") for _ in range(df._jdf.queryExecution().sparkPlan().toString().count(kind))]
+
+    assert joins(simhash.links(spark.read.parquet(f"{tmp_path}/nodes"), 4)) == ["SortMergeJoin"]
+    # Only the busy nodes, whose number is bounded, are.
+    assert joins(components._with_least(edges, edges.toDF("a", "m"), 3000)) == ["BroadcastHashJoin"] * 2 + ["SortMergeJoin"]
+
+
 # --- suffixes
 
 
