@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, id_text, join_groups, slices, texts_as_bytes, trimmed, written
+from .common import drop_written, id_text, join_groups, shuffled, slices, texts_as_bytes, trimmed, written
 from .components import connected_components
 from .simhash import links, shingle_hashes, voted
 
@@ -129,9 +129,9 @@ def checked(pairs: DataFrame, base: DataFrame, words: int, least: tuple[int, int
     """Of the pairs a > b those that are similar. Only sets of documents in a pair are made and moved."""
     p, q = least
     ids = pairs.select(F.explode(F.array("a", "b")).alias("_in")).distinct()
-    sets = written(shingle_sets(base.join(ids, F.col("_id") == F.col("_in"), "left_semi"), words), "sets")
+    sets = written(shingle_sets(base.join(shuffled(ids), F.col("_id") == F.col("_in"), "left_semi"), words), "sets")
     left, right = sets.toDF("a", "sa"), sets.toDF("b", "sb")
-    both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
+    both = pairs.join(shuffled(left), "a").join(shuffled(right), "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
     out = written(both.where(F.col("i") * (p + q) >= (F.size("sa") + F.size("sb")) * p).select("a", "b").distinct(), "similar")
     drop_written(sets)
     return out
@@ -148,7 +148,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     by_simhash = simhash_pairs(keyed.where("pos = 0").select("id", "fp"), radius)
     close = checked(by_simhash, base, words, least)
     busy = keyed.groupBy("key", "empty").agg(F.count("*").alias("k"), F.min("id").alias("b"), F.min_by(F.struct("n", "pos"), "id").alias("at")).where("k > 1")
-    met = written(keyed.join(busy, ["key", "empty"]).select("key", "empty", "id", "n", "pos", "b", "at"), "met")
+    met = written(keyed.join(shuffled(busy), ["key", "empty"]).select("key", "empty", "id", "n", "pos", "b", "at"), "met")
 
     def possible(n, pos, m, at):
         """Whether what follows the first shared shingle can be enough."""
@@ -162,29 +162,29 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def apart_by(rows: DataFrame, links: DataFrame, name: str) -> DataFrame:
         """Rows of buckets whose documents have several roots, with their root r and the bucket's pivots: the smallest of the documents of each residue of a hash."""
         roots = written(connected_components(links), "roots")
-        rooted = rows.drop("r", "pivots").join(roots, F.col("id") == F.col("node"), "left").select(*(c for c in rows.columns if c not in ("r", "pivots")), F.coalesce("root", "id").alias("r"))
+        rooted = rows.drop("r", "pivots").join(shuffled(roots), F.col("id") == F.col("node"), "left").select(*(c for c in rows.columns if c not in ("r", "pivots")), F.coalesce("root", "id").alias("r"))
         part = F.pmod(F.xxhash64("id"), F.lit(PIVOTS))
         pivots = F.array_compact(F.array(*(F.min(F.when(part == j, F.struct("id", "n", "pos", "r"))) for j in range(PIVOTS))))
         split = rooted.groupBy("key", "empty").agg(F.min("r").alias("low"), F.max("r").alias("high"), pivots.alias("pivots")).where("low < high").select("key", "empty", "pivots")
-        out = written(rooted.join(split, ["key", "empty"]), name)
+        out = written(rooted.join(shuffled(split), ["key", "empty"]), name)
         drop_written(roots)
         return out
 
-    first = written(most_met(meeting.select(F.col("id").alias("a"), "b")).join(by_simhash, ["a", "b"], "left_anti"), "pairs")
+    first = written(most_met(meeting.select(F.col("id").alias("a"), "b")).join(shuffled(by_simhash), ["a", "b"], "left_anti"), "pairs")
     stars = close.unionByName(checked(first, base, words, least))
     first = by_simhash.unionByName(first)
     sketches = keyed.where("sketch IS NOT NULL").select(F.col("id").alias("of"), "sketch").dropDuplicates(["of"])
     left = apart_by(met.select("key", "empty", "id", "n", "pos"), stars, "apart")
-    left = written(left.join(sketches, F.col("id") == F.col("of")).drop("of"), "sketched")
+    left = written(left.join(shuffled(sketches), F.col("id") == F.col("of")).drop("of"), "sketched")
     drop_written(keyed)
     drop_written(met)
     at = left.select("id", "n", "pos", "r", F.explode("pivots").alias("at")).where("id <> at.id and r <> at.r").where(possible(F.col("n"), F.col("pos"), F.col("at.n"), F.col("at.pos")))
-    second = written(most_met(at.select(F.greatest("id", "at.id").alias("a"), F.least("id", "at.id").alias("b"))).join(first, ["a", "b"], "left_anti"), "pairs")
+    second = written(most_met(at.select(F.greatest("id", "at.id").alias("a"), F.least("id", "at.id").alias("b"))).join(shuffled(first), ["a", "b"], "left_anti"), "pairs")
     stars = stars.unionByName(checked(second, base, words, least))
     left = apart_by(left, stars, "apart")
     other = left.select("key", "empty", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "pos", "r", "sketch")))
     differ = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("sketch2")[i])) for i in range(SKETCH)), F.lit(0))
     near = differ * (p + q) <= (F.col("n") + F.col("n2")) * (q - p)
-    rest = left.join(other, ["key", "empty"]).where("r <> r2 and id > id2").where(possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"))).where(near)
-    pairs = rest.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct().join(first.unionByName(second), ["a", "b"], "left_anti")
+    rest = left.join(shuffled(other), ["key", "empty"]).where("r <> r2 and id > id2").where(possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"))).where(near)
+    pairs = rest.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct().join(shuffled(first.unionByName(second)), ["a", "b"], "left_anti")
     return connected_components(stars.unionByName(checked(written(pairs, "pairs"), base, words, least)))

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from docprep.llm import queries, simhash, similar
+from docprep.llm import common, queries, simhash, similar
 
 from .test_llm_corpus import brute_repeats
 
@@ -142,6 +142,23 @@ def test_close_fingerprints_alone_are_no_copies(spark, monkeypatch):
     assert set(rows(corpus_pipeline.near_dedup_stage(spark, docs, SF))) == {0, 2, 4, 6, 9}
 
 
+def test_near_stage_broadcasts_no_table(spark, monkeypatch):
+    """Spark takes a table's size from its files, which may be far smaller than its rows; only what was counted, and groups of a bounded number (SimHash's equal fingerprints), may be broadcast."""
+    monkeypatch.setattr(common, "MOST_SENT", 0, raising=False)
+    plain, plans = similar.written, {}
+
+    def written(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().sparkPlan().toString())
+        return plain(df, name)
+
+    monkeypatch.setattr(similar, "written", written)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = corpus_pipeline.near_dedup_stage(spark, docs, SF)
+    plans["kept"] = [kept._jdf.queryExecution().sparkPlan().toString()]
+    assert {"met", "sets", "similar", "pairs", "apart", "sketched", "kept"} <= set(plans)
+    assert not [name for name, made in plans.items() if name != "simhash" and any("BroadcastHashJoin" in p for p in made)]
+
+
 def test_suffix_stage(stages):
     before, after = rows(stages[3]), rows(stages[4])
     want = brute_repeats([(i, r.text) for i, r in before.items()])
