@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docprep.llm import exact_dedup, packing, similar, suffix_dedup, toxicity
-from docprep.llm.common import drop_written, keep_rows, shuffled, written
+from docprep.llm.common import counted, drop_written, keep_rows, written
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     that 64 bits can't show are found by their shingles. Rows that share a doc_id stay or go together.
     """
     gone = similar.similar_documents(docs, words=5, least=(4, 5), radius=4)
-    return docs.join(shuffled(gone.select("node")), F.col("doc_id") == F.col("node"), "left_anti")
+    return docs.join(counted(gone.select("node")), F.col("doc_id") == F.col("node"), "left_anti")
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

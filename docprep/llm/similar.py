@@ -14,10 +14,14 @@ The order puts shingles that a sample of documents has more often last, so that
 common passages rarely make documents meet; the sample acts on the work and never on
 the result. After SimHash linking is in three steps: each document with those ``STARS`` of the smallest documents of its
 buckets that it meets most often; where that leaves a bucket's documents apart, with those of ``PIVOTS``
-further documents of its buckets; and then only pairs of a bucket that these links leave apart. Of
-these last, pairs are passed over whose sets differ in too many shingles by a parity sketch: each shingle flips one of
+further documents of its buckets; and then only pairs of a bucket that these links leave apart. In
+all of them pairs are passed over whose sets differ in too many shingles by a parity sketch: each shingle flips one of
 ``SKETCH`` * 64 bits, so the bits in which two sketches differ are no more than the
-shingles that only one set has.
+shingles that only one set has. Wide sketches have as many bits as the set has shingles, to a power of two, and the two halves
+of one make the sketch of half the bits; so nearly all pairs that are checked on the sets are similar, and what that
+moves doesn't grow with the documents that share a shingle by chance.
+
+What takes much disk is done by ``PASSES`` parts of the keys, and shuffle files go after each.
 
 Edge cases: a null text counts as empty; texts without words are similar to one
 another and to nothing else; fewer words than a shingle make one shingle; repeated
@@ -27,14 +31,14 @@ never linked. Very long texts are read whole; an empty table has no links.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, id_text, join_groups, shuffled, slices, texts_as_bytes, trimmed, written
+from .common import counted, drop_written, id_text, join_groups, shuffled, slices, texts_as_bytes, trimmed, written, written_in_parts
 from .components import connected_components
 from .simhash import links, shingle_hashes, voted
 
@@ -44,6 +48,8 @@ WORDS, LEAST, RADIUS = 5, (4, 5), 4
 SAMPLE, COMMON = 20_000, 500_000
 #: Links of a document in one step at most, documents of a bucket that others are linked with in the second, and longs of a parity sketch.
 STARS, PIVOTS, SKETCH = 8, 8, 8
+#: Parts of the keys that are worked on one after the other, and rows that a part has at least.
+PASSES, PASS_ROWS = 4, 3_000_000
 
 
 def shingle_set(text: bytes, words: int) -> np.ndarray:
@@ -78,14 +84,38 @@ def common_shingles(base: DataFrame, words: int, documents: int) -> tuple[np.nda
     return keys[order], counts[order]
 
 
-def parity_sketch(shingles: np.ndarray) -> list[int]:
-    """SKETCH longs, of whose bits each shingle flips one."""
-    ones = np.bincount((shingles.view(np.uint64) >> np.uint64(32)).astype(np.int64) % (SKETCH * 64), minlength=SKETCH * 64) & 1
+def parity_sketch(shingles: np.ndarray, longs: int = SKETCH) -> list[int]:
+    """Longs, a power of two, of whose bits each shingle flips one."""
+    ones = np.bincount((shingles.view(np.uint64) >> np.uint64(32)).astype(np.int64) % (longs * 64), minlength=longs * 64) & 1
     return np.packbits(ones.astype(np.uint8)).view(np.int64).tolist()
 
 
+def wide_sketch(shingles: np.ndarray) -> list[int]:
+    """A sketch of about as many bits as there are shingles, at least as the narrow one."""
+    return parity_sketch(shingles, max(SKETCH, 1 << (len(shingles) // 64).bit_length()))
+
+
+def bits_apart(a: Column, b: Column) -> Column:
+    """Bits in which two sketches differ, the wider of which is folded to the other's width; one may be twice as wide."""
+
+    def folded(x: Column, to: Column) -> Column:
+        return F.when(F.size(x) > to, F.zip_with(F.slice(x, F.lit(1), to), F.slice(x, to + 1, to), lambda u, v: u.bitwiseXOR(v))).otherwise(x)
+
+    width = F.least(F.size(a), F.size(b))
+    return F.aggregate(F.zip_with(folded(a, width), folded(b, width), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, x: s + x)
+
+
+def not_too_far(pairs: DataFrame, sketches: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Of the pairs a, b those whose sketches (of, n, wide) don't rule out that they are similar."""
+    p, q = least
+    one, other = (sketches.toDF(x, f"n{x}", f"w{x}") for x in ("a", "b"))
+    both = pairs.join(shuffled(one), "a").join(shuffled(other), "b")
+    sizes = F.least("na", "nb") * (p + q) >= (F.col("na") + F.col("nb")) * p
+    return both.where(sizes).where(bits_apart(F.col("wa"), F.col("wb")) * (p + q) <= (F.col("na") + F.col("nb")) * (q - p)).select("a", "b").distinct()
+
+
 def prefixes(base: DataFrame, words: int, least: tuple[int, int], common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """key, id, n (size of the set), pos (of the key in the order), and at position 0 the set's sketch and the SimHash fingerprint. An empty set has the key 0 and the size 0."""
+    """key, id, n (size of the set), pos (of the key in the order), and at position 0 the set's sketch, its wide sketch and the SimHash fingerprint. An empty set has the key 0 and the size 0."""
     shared = base.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,21 +127,21 @@ def prefixes(base: DataFrame, words: int, least: tuple[int, int], common: tuple[
                 for i, h in zip(part.column("_id").to_pylist(), hashes, strict=True):
                     s = np.unique(h).view(np.int64)
                     if not len(s):
-                        rows.append((np.zeros(1, np.int64), i, 0, [0] * SKETCH))
+                        rows.append((np.zeros(1, np.int64), i, 0, [0] * SKETCH, [0] * SKETCH))
                         continue
                     weight = np.zeros(len(s), np.int64)
                     if len(known):
                         at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                         weight = np.where(known[at] == s, counts[at], 0)
-                    rows.append((s[np.lexsort((s, weight))[: prefix_size(len(s), least)]], i, len(s), parity_sketch(s)))
+                    rows.append((s[np.lexsort((s, weight))[: prefix_size(len(s), least)]], i, len(s), parity_sketch(s), wide_sketch(s)))
                 sizes = [len(r[0]) for r in rows]
                 pos = np.concatenate([np.arange(k) for k in sizes])
                 cols = [np.concatenate([r[0] for r in rows]), np.repeat(np.array([r[1] for r in rows], np.int64), sizes), np.repeat(np.array([r[2] for r in rows], np.int32), sizes), pos.astype(np.int32)]
-                sketches = pa.array([x for r in rows for x in (r[3], *[None] * (len(r[0]) - 1))], pa.list_(pa.int64()))
+                sketches = [pa.array([x for r in rows for x in (r[k], *[None] * (len(r[0]) - 1))], pa.list_(pa.int64())) for k in (3, 4)]
                 fps = pa.array(np.repeat(voted(hashes).view(np.int64), sizes), mask=pos > 0)
-                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), sketches, fps], names=["key", "id", "n", "pos", "sketch", "fp"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), *sketches, fps], names=["key", "id", "n", "pos", "sketch", "wide", "fp"])
 
-    return base.mapInArrow(trimmed(run), "key long, id long, n int, pos int, sketch array<long>, fp long")
+    return base.mapInArrow(trimmed(run), "key long, id long, n int, pos int, sketch array<long>, wide array<long>, fp long")
 
 
 def simhash_pairs(fingerprints: DataFrame, radius: int) -> DataFrame:
@@ -128,8 +158,9 @@ def simhash_pairs(fingerprints: DataFrame, radius: int) -> DataFrame:
 def checked(pairs: DataFrame, base: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
     """Of the pairs a > b those that are similar. Only sets of documents in a pair are made and moved."""
     p, q = least
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("_in")).distinct()
-    sets = written(shingle_sets(base.join(shuffled(ids), F.col("_id") == F.col("_in"), "left_semi"), words), "sets")
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("_in")).distinct(), "ids")
+    sets = written(shingle_sets(base.join(counted(ids), F.col("_id") == F.col("_in"), "left_semi"), words), "sets")
+    drop_written(ids)
     left, right = sets.toDF("a", "sa"), sets.toDF("b", "sb")
     both = pairs.join(shuffled(left), "a").join(shuffled(right), "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
     out = written(both.where(F.col("i") * (p + q) >= (F.size("sa") + F.size("sb")) * p).select("a", "b").distinct(), "similar")
@@ -147,44 +178,72 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     keyed = written(made.withColumn("empty", F.col("n") == 0), "prefixes")
     by_simhash = simhash_pairs(keyed.where("pos = 0").select("id", "fp"), radius)
     close = checked(by_simhash, base, words, least)
-    busy = keyed.groupBy("key", "empty").agg(F.count("*").alias("k"), F.min("id").alias("b"), F.min_by(F.struct("n", "pos"), "id").alias("at")).where("k > 1")
-    met = written(keyed.join(shuffled(busy), ["key", "empty"]).select("key", "empty", "id", "n", "pos", "b", "at"), "met")
+
+    def by_parts(rows: DataFrame, make: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+        """make(rows), which works key by key, for one part of the keys after the other."""
+        parts = max(1, min(PASSES, rows.count() // PASS_ROWS))
+        if parts == 1:
+            return written(make(rows), name)
+        return written_in_parts((make(rows.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == k)) for k in range(parts)), name)
+
+    def meet(rows: DataFrame) -> DataFrame:
+        busy = rows.groupBy("key", "empty").agg(F.count("*").alias("k"), F.min("id").alias("b"), F.min_by(F.struct("n", "pos"), "id").alias("at")).where("k > 1")
+        return rows.join(shuffled(busy), ["key", "empty"]).select("key", "empty", "id", "n", "pos", "b", "at")
+
+    met = by_parts(keyed.select("key", "empty", "id", "n", "pos"), meet, "met")
+    sketches = written(keyed.where("pos = 0").select(F.col("id").alias("of"), "n", "sketch", "wide").distinct(), "sketches")
+    drop_written(keyed)
 
     def possible(n, pos, m, at):
         """Whether what follows the first shared shingle can be enough."""
         return F.least(n - pos, m - at) * (p + q) >= (n + m) * p
 
     meeting = met.where(F.col("id") > F.col("b")).where(possible(F.col("n"), F.col("pos"), F.col("at.n"), F.col("at.pos")))
+
     def most_met(pairs: DataFrame) -> DataFrame:
-        counted = pairs.groupBy("a", "b").agg(F.count("*").alias("k")).groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct(-F.col("k"), "b"))), 1, STARS).alias("l"))
-        return counted.select("a", F.explode("l.b").alias("b"))
+        often = pairs.groupBy("a", "b").agg(F.count("*").alias("k")).groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct(-F.col("k"), "b"))), 1, STARS).alias("l"))
+        return often.select("a", F.explode("l.b").alias("b"))
 
     def apart_by(rows: DataFrame, links: DataFrame, name: str) -> DataFrame:
         """Rows of buckets whose documents have several roots, with their root r and the bucket's pivots: the smallest of the documents of each residue of a hash."""
         roots = written(connected_components(links), "roots")
-        rooted = rows.drop("r", "pivots").join(shuffled(roots), F.col("id") == F.col("node"), "left").select(*(c for c in rows.columns if c not in ("r", "pivots")), F.coalesce("root", "id").alias("r"))
+        side = counted(roots)
         part = F.pmod(F.xxhash64("id"), F.lit(PIVOTS))
         pivots = F.array_compact(F.array(*(F.min(F.when(part == j, F.struct("id", "n", "pos", "r"))) for j in range(PIVOTS))))
-        split = rooted.groupBy("key", "empty").agg(F.min("r").alias("low"), F.max("r").alias("high"), pivots.alias("pivots")).where("low < high").select("key", "empty", "pivots")
-        out = written(rooted.join(shuffled(split), ["key", "empty"]), name)
+
+        def split(own: DataFrame) -> DataFrame:
+            rooted = own.join(side, F.col("id") == F.col("node"), "left").select(*own.columns, F.coalesce("root", "id").alias("r"))
+            several = rooted.groupBy("key", "empty").agg(F.min("r").alias("low"), F.max("r").alias("high"), pivots.alias("pivots")).where("low < high").select("key", "empty", "pivots")
+            return rooted.join(shuffled(several), ["key", "empty"])
+
+        out = by_parts(rows.drop("r", "pivots"), split, name)
         drop_written(roots)
+        drop_written(rows)
         return out
 
-    first = written(most_met(meeting.select(F.col("id").alias("a"), "b")).join(shuffled(by_simhash), ["a", "b"], "left_anti"), "pairs")
+    wide = sketches.select("of", "n", "wide")
+
+    first = written(not_too_far(most_met(meeting.select(F.col("id").alias("a"), "b")).join(shuffled(by_simhash), ["a", "b"], "left_anti"), wide, least), "pairs")
     stars = close.unionByName(checked(first, base, words, least))
     first = by_simhash.unionByName(first)
-    sketches = keyed.where("sketch IS NOT NULL").select(F.col("id").alias("of"), "sketch").dropDuplicates(["of"])
     left = apart_by(met.select("key", "empty", "id", "n", "pos"), stars, "apart")
-    left = written(left.join(shuffled(sketches), F.col("id") == F.col("of")).drop("of"), "sketched")
-    drop_written(keyed)
-    drop_written(met)
     at = left.select("id", "n", "pos", "r", F.explode("pivots").alias("at")).where("id <> at.id and r <> at.r").where(possible(F.col("n"), F.col("pos"), F.col("at.n"), F.col("at.pos")))
-    second = written(most_met(at.select(F.greatest("id", "at.id").alias("a"), F.least("id", "at.id").alias("b"))).join(shuffled(first), ["a", "b"], "left_anti"), "pairs")
+    second = written(not_too_far(most_met(at.select(F.greatest("id", "at.id").alias("a"), F.least("id", "at.id").alias("b"))).join(shuffled(first), ["a", "b"], "left_anti"), wide, least), "pairs")
     stars = stars.unionByName(checked(second, base, words, least))
-    left = apart_by(left, stars, "apart")
-    other = left.select("key", "empty", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "pos", "r", "sketch")))
+    apart = apart_by(left, stars, "apart").drop("pivots")
+    narrow = shuffled(sketches.select("of", F.col("n").alias("of_n"), "sketch"))
+    left = written(apart.join(narrow, (F.col("id") == F.col("of")) & (F.col("n") == F.col("of_n"))).drop("of", "of_n"), "sketched")
+    drop_written(apart)
     differ = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("sketch2")[i])) for i in range(SKETCH)), F.lit(0))
     near = differ * (p + q) <= (F.col("n") + F.col("n2")) * (q - p)
-    rest = left.join(shuffled(other), ["key", "empty"]).where("r <> r2 and id > id2").where(possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"))).where(near)
-    pairs = rest.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct().join(shuffled(first.unionByName(second)), ["a", "b"], "left_anti")
-    return connected_components(stars.unionByName(checked(written(pairs, "pairs"), base, words, least)))
+
+    def unlinked(own: DataFrame) -> DataFrame:
+        other = own.select("key", "empty", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "pos", "r", "sketch")))
+        rest = own.join(shuffled(other), ["key", "empty"]).where("r <> r2 and id > id2").where(possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"))).where(near)
+        return rest.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
+
+    rest = by_parts(left, unlinked, "rest")
+    drop_written(left)
+    pairs = written(not_too_far(rest.distinct().join(shuffled(first.unionByName(second)), ["a", "b"], "left_anti"), wide, least), "pairs")
+    drop_written(sketches)
+    return connected_components(stars.unionByName(checked(pairs, base, words, least)))

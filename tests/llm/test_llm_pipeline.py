@@ -1,9 +1,12 @@
 """The pipeline's stages against brute force, and the registered queries against their SQL."""
 
 import random
+import time
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -159,6 +162,52 @@ def test_near_stage_broadcasts_no_table(spark, monkeypatch):
     assert not [name for name, made in plans.items() if name != "simhash" and any("BroadcastHashJoin" in p for p in made)]
 
 
+def test_shuffle_files_go_with_the_write(spark):
+    def files():
+        return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    before = files()
+    made = common.written(spark.range(5000).groupBy((F.col("id") % 999).alias("k")).count(), "counts")
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and made.count() == 999
+
+
+def test_near_stage_in_parts_moves_few_sets(spark, monkeypatch):
+    """Documents that share a passage, and no more, are told apart by their sketches; parts of the keys give what all at once give."""
+    r = random.Random(23)
+    words = ["".join(r.choice("abcdefg") for _ in range(5)) for _ in range(5000)]
+    passages = [r.choices(words, k=12) for _ in range(40)]
+    texts = [" ".join(r.choices(words, k=r.choice([150, 700, 3000])) + passages[k % 40]) for k in range(160)]
+    texts += [t.replace(" ", "  ") + " end" for t in texts[:9]] + [" ".join(t.split()[: len(t.split()) * 17 // 20]) for t in texts[9:15]]
+    plain, seen = similar.checked, []
+
+    def checked(pairs, *rest):
+        seen.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(similar, "checked", checked)
+    monkeypatch.setattr(similar, "PASS_ROWS", 1, raising=False)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert set(rows(corpus_pipeline.near_dedup_stage(spark, docs, SF))) == set(similar_roots(dict(enumerate(texts))).values())
+    assert 15 <= sum(seen) <= 20
+
+
+def test_sketches_are_a_lower_bound(spark):
+    r = random.Random(29)
+    sets = []
+    for n in (1, 9, 400, 520, 640, 4000, 5000):
+        own = [r.getrandbits(64) - (1 << 63) for _ in range(n)]
+        sets += [np.array(sorted(own[: n - k] + [r.getrandbits(63) for _ in range(k)]), np.int64) for k in (0, n // 20, n // 3)]
+    pairs = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if 0.8 <= len(a) / len(b) <= 1.25]
+    table = spark.createDataFrame([(i, j, similar.wide_sketch(sets[i]), similar.wide_sketch(sets[j])) for i, j in pairs], "i int, j int, a array<long>, b array<long>")
+    for x in table.select("i", "j", similar.bits_apart(F.col("a"), F.col("b")).alias("d")).collect():
+        apart = len(set(sets[x.i].tolist()) ^ set(sets[x.j].tolist()))
+        assert x.d <= apart and (apart < 100 or x.d > apart / 5)
+
+
 def test_suffix_stage(stages):
     before, after = rows(stages[3]), rows(stages[4])
     want = brute_repeats([(i, r.text) for i, r in before.items()])
