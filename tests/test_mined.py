@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +28,20 @@ def test_patterns_of_a_table(spark, monkeypatch, size):
     assert all(x.caveat_ids == [] for x in patterns.caveats_from(docs, spark.createDataFrame([], "caveat_id string, pattern string")).collect())
 
 
+def test_rows_with_many_ids_go_out_in_small_parts(monkeypatch):
+    """A short pattern stands in nearly every text, so a text may have as many ids as there are patterns."""
+    monkeypatch.setattr(patterns, "MOST_IDS", 500)
+    own = pa.table({"_p": ["a", "b", "", "zz"], "ids": [[f"i{k}" for k in range(200)], ["i7", "x"], ["e"], ["z"]]})
+    texts = ["a", None, "b", "", *["ab"] * 40]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array([["o"]] + [[]] * (len(texts) - 1))], names=["row", "low", "ids"])
+    out = list(patterns.matcher(own)(iter([batch])))
+    every = sorted(f"i{k}" for k in range(200))
+    assert max(len(b.column("ids").flatten()) for b in out) < 500 + 203
+    assert [x for b in out for x in b.column("row").to_pylist()] == list(range(len(texts)))
+    got = [x for b in out for x in b.column("ids").to_pylist()]
+    assert got[:4] == [["e", *every, "o"], [], ["e", "i7", "x"], ["e"]] and all(x == ["e", *every, "x"] for x in got[4:])
+
+
 def test_a_hundred_thousand_patterns(spark):
     rows = [(f"c{k}", f"clave{k:06d}x") for k in range(100_000)]
     texts = [(i, f"texto CLAVE{i * 997:06d}X y clave{i:06d}") for i in range(50)]
